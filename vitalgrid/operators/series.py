@@ -29,8 +29,9 @@ def before(keys=KEYS, chunk: str = CHUNK):
 
 
 def after(keys=KEYS, chunk: str = CHUNK):
-    return (Window.partitionBy(*keys).orderBy(chunk)
-            .rowsBetween(1, Window.unboundedFollowing))
+    """Backwards order: a frame that runs to the end would be re-read for every row."""
+    return (Window.partitionBy(*keys).orderBy(F.desc(chunk))
+            .rowsBetween(Window.unboundedPreceding, -1))
 
 
 def whole(keys=KEYS):

@@ -68,7 +68,7 @@ def interpolate(df: DataFrame, value: str = "value", limit: int = 5, keys=KEYS)
     """
     parts = [*keys, S.CHUNK]
     up_to = Window.partitionBy(*parts).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(*parts).orderBy("ts").rowsBetween(0, Window.unboundedFollowing)
+    back_from = Window.partitionBy(*parts).orderBy(F.desc("ts")).rowsBetween(Window.unboundedPreceding, 0)
     local = S.chunked(df, unit="day").withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*parts).orderBy("ts")))
     known = F.col(value).isNotNull()
@@ -93,8 +93,8 @@ def interpolate(df: DataFrame, value: str = "value", limit: int = 5, keys=KEYS)
     filled = (led
               .withColumn("_p0", F.coalesce(F.last(here, True).over(up_to), F.col("_before")))
               .withColumn("_p1", F.coalesce(
-                  F.first(F.when(known, F.struct(F.col("ts").alias("t"), F.col(value).alias("v"))), True)
-                  .over(onward),
+                  F.last(F.when(known, F.struct(F.col("ts").alias("t"), F.col(value).alias("v"))), True)
+                  .over(back_from),
                   F.struct(F.col("_after.t").alias("t"), F.col("_after.v").alias("v")))))
     gap_row = F.col("_rn") + F.col("_offset") - F.col("_p0.rn")
     t, t0, t1 = (F.unix_micros(F.col(c)) for c in ("ts", "_p0.t", "_p1.t"))

@@ -173,46 +173,44 @@ def a22(spark, sf):
   case event_type when 'view' then 'time' when 'click' then 'created_at' when 'purchase' then 'startTime'
     when 'signup' then 'ts' end as time_key from events""")
 def a3(spark, sf):
-    docs = C.records(spark, sf).withColumn("_d", F.try_parse_json("record")).withColumn("_p", REC.payload(F.col("_d")))
-    load = F.col("_p")
+    docs, load = REC.parse(C.records(spark, sf)), F.col("load")
     key = F.coalesce(*[F.when(F.nullif(REC.get(load, k, "string"), F.lit("")).isNotNull(), k) for k in REC.TIME_KEYS])
     return docs.select("event_id", (~REC.has(load, "note")).alias("nested"), key.alias("time_key"))
 
 
 @query("a4_user_of_record", "select event_id, cast(user_id as varchar) as user_id from events")
 def a4(spark, sf):
-    return C.records(spark, sf).select("event_id", REC.user_id(F.try_parse_json("record")).alias("user_id"))
+    return REC.parse(C.records(spark, sf)).select("event_id", REC.user_id(F.col("doc")).alias("user_id"))
 
 
 @query("a5_time_of_record", """select event_id, case when event_type <> 'error' then
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end as timestamp from events""")
 def a5(spark, sf):
-    load = REC.payload(F.try_parse_json("record"))
-    return C.records(spark, sf).select("event_id", REC.timestamp(load).alias("timestamp"))
+    return REC.parse(C.records(spark, sf)).select("event_id", REC.timestamp(F.col("load")).alias("timestamp"))
 
 
 @query("a6_metric_routing", """select event_id, case event_type when 'view' then 'heart_rate' when 'click' then 'steps'
   when 'purchase' then 'sleep' when 'signup' then 'steps' end as metric from events""")
 def a6(spark, sf):
-    load = REC.payload(F.try_parse_json("record"))
-    return C.records(spark, sf).select("event_id", REC.metric(load).alias("metric"))
+    return REC.parse(C.records(spark, sf)).select("event_id", REC.metric(F.col("load")).alias("metric"))
 
 
 @query("a7_value_coercion", """select event_id, case event_type when 'view' then value when 'click' then floor(value)
   when 'purchase' then value when 'signup' then 0.0 end as value from events where event_type <> 'error'""")
 def a7(spark, sf):
-    docs = C.records(spark, sf).withColumn("_p", REC.payload(F.try_parse_json("record")))
-    routed = docs.withColumn("metric", REC.metric(F.col("_p"))).where(F.col("metric").isNotNull())
-    return routed.select("event_id", REC.value(F.col("_p"), F.col("metric")).alias("value"))
+    docs = REC.parse(C.records(spark, sf))
+    routed = docs.withColumn("metric", REC.metric(F.col("load"))).where(F.col("metric").isNotNull())
+    raw = routed.withColumn("raw", REC.raw_value(F.col("load"), F.col("metric")))
+    return raw.select("event_id", REC.typed_value(F.col("raw"), F.col("metric")).alias("value"))
 
 
 @query("a8_sleep_interval_keys", """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as start_text,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as end_text from events where event_type = 'purchase'""")
 def a8(spark, sf):
-    docs = C.records(spark, sf).withColumn("_p", REC.payload(F.try_parse_json("record")))
-    slept = docs.where(REC.metric(F.col("_p")) == "sleep")
-    return slept.select("event_id", REC.first_truthy(F.col("_p"), REC.START_KEYS).alias("start_text"),
-                        REC.first_truthy(F.col("_p"), REC.END_KEYS).alias("end_text"))
+    docs = REC.parse(C.records(spark, sf))
+    slept = docs.where(REC.metric(F.col("load")) == "sleep")
+    return slept.select("event_id", REC.first_truthy(F.col("load"), REC.START_KEYS).alias("start_text"),
+                        REC.first_truthy(F.col("load"), REC.END_KEYS).alias("end_text"))
 
 
 _ROUTED = """routed as (select cast(user_id as varchar) as user_id, case event_type when 'view' then 'heart_rate'
@@ -287,7 +285,8 @@ def b1(spark, sf):
 
 @query("b2_value_column", f"select event_id, ts, {sr('value')} as value from events")
 def b2(spark, sf):
-    return plain_time(rounded(sniff.extract_series(C.table(spark, sf, "events"), keep=("event_id",)), "value"), "ts")
+    e = C.table(spark, sf, "events").withColumnRenamed("ts", "startTime")
+    return plain_time(rounded(sniff.extract_series(e, keep=("event_id",)), "value"), "ts")
 
 
 _WEARABLE = """select user_id, ts, case event_type when 'view' then value end as "restHR",

@@ -72,33 +72,42 @@ def metric(load: Column) -> Column:
             .when(slept, SLEEP))
 
 
-def value(load: Column, kind: Column) -> Column:
-    """Number of the routed metric: null if bad, but bad or missing steps are 0 and steps are whole."""
+def raw_value(load: Column, kind: Column) -> Column:
+    """The reading under the first key of its metric, still untyped."""
+    return (F.when(kind == HEART_RATE, first_of(load, HEART_RATE_KEYS)).when(kind == STEPS, first_of(load, STEPS_KEYS))
+            .when(kind == SLEEP, first_of(load, SLEEP_KEYS)))
 
-    def number(keys, to: str) -> Column:
-        v = first_of(load, keys)
-        return F.coalesce(v.try_cast(to), F.nullif(F.trim(v.try_cast("string")), F.lit("")).try_cast(to)).cast("double")
 
-    heart, asleep = number(HEART_RATE_KEYS, "double"), number(SLEEP_KEYS, "double")
-    return (F.when(kind == HEART_RATE, F.nanvl(heart, F.lit(None)))
-            .when(kind == STEPS, F.coalesce(number(STEPS_KEYS, "bigint"), F.lit(0.0)))
-            .when(kind == SLEEP, F.nanvl(asleep, F.lit(None))))
+def typed_value(raw: Column, kind: Column) -> Column:
+    """Number or null; steps are whole, and bad or missing steps are 0."""
+    steps = F.coalesce(raw.try_cast("bigint").cast("double"), F.lit(0.0))
+    return F.when(kind == STEPS, steps).otherwise(F.nanvl(raw.try_cast("double"), F.lit(None)))
+
+
+def parse(records: DataFrame, text: str = "record") -> DataFrame:
+    """Add ``doc`` and ``load`` (its payload); text that is no JSON object is dropped.
+
+    The documents come out of a generator, which parses each text once: filters
+    on what they hold cannot be moved below it and parse again.
+    """
+    docs = F.filter(F.array(F.try_parse_json(text)), is_object)
+    return records.select("*", F.inline(F.transform(
+        docs, lambda d: F.struct(d.alias("doc"), payload(d).alias("load")))))
 
 
 def route(records: DataFrame, text: str = "record") -> DataFrame:
-    """One typed row per matching record; text that is no JSON object is dropped."""
-    doc = records.withColumn("_doc", F.try_parse_json(text)).where(is_object(F.col("_doc")))
-    doc = doc.withColumn("_load", payload(F.col("_doc")))
-    load = F.col("_load")
-    routed = doc.withColumn("metric", metric(load)).where(F.col("metric").isNotNull())
-    source = F.when(F.schema_of_variant(get(F.col("_doc"), "type")) == "STRING", get(F.col("_doc"), "type", "string"))
+    """One typed row per matching record."""
+    doc, load = F.col("doc"), F.col("load")
+    routed = (parse(records, text).withColumn("metric", metric(load)).where(F.col("metric").isNotNull())
+              .withColumn("_raw", raw_value(load, F.col("metric"))))
+    source = F.when(F.schema_of_variant(get(doc, "type")) == "STRING", get(doc, "type", "string"))
     asleep = F.col("metric") == SLEEP
     return routed.select(
-        user_id(F.col("_doc")).alias("user_id"), "metric",
+        user_id(doc).alias("user_id"), "metric",
         F.when(~asleep, timestamp(load)).alias("timestamp"),
         F.when(asleep, first_truthy(load, START_KEYS)).alias("startTime"),
         F.when(asleep, first_truthy(load, END_KEYS)).alias("endTime"),
-        value(load, F.col("metric")).alias("value"), source.alias("source_type"))
+        typed_value(F.col("_raw"), F.col("metric")).alias("value"), source.alias("source_type"))
 
 
 def match_counts(routed: DataFrame, total: DataFrame) -> DataFrame:
@@ -109,12 +118,7 @@ def match_counts(routed: DataFrame, total: DataFrame) -> DataFrame:
 
 def key_types(records: DataFrame, text: str = "record") -> DataFrame:
     """Top-level keys of the records and how often each type occurs."""
-    entries = F.variant_explode if hasattr(F, "variant_explode") else None
-    doc = records.select(F.try_parse_json(text).alias("_doc")).where(is_object(F.col("_doc")))
-    if entries is None:
-        pairs = doc.select(F.explode(F.from_json(F.to_json("_doc"), "map<string,variant>")).alias("key", "_v"))
-        kind = F.schema_of_variant("_v")
-    else:
-        pairs = doc.lateralJoin(doc.sparkSession.tvf.variant_explode(F.col("_doc").outer()))
-        kind = F.schema_of_variant("value")
-    return pairs.groupBy("key", F.regexp_extract(kind, r"^\w+", 0).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    doc = parse(records, text).select("doc")
+    pairs = doc.lateralJoin(doc.sparkSession.tvf.variant_explode(F.col("doc").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), r"^\w+", 0)
+    return pairs.groupBy("key", kind.alias("type")).agg(F.count(F.lit(1)).alias("n"))
