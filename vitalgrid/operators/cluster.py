@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.schema import KEYS
-from vitalgrid.session import enable_checkpoints
+from vitalgrid.session import stored
 
 SMALL_SHARE = 0.05
 
@@ -23,48 +23,33 @@ def plane(df: DataFrame, keys=KEYS) -> DataFrame:
             .withColumn("p", (F.row_number().over(w) - 1) / F.col("n")))
 
 
+def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int) -> pd.DataFrame:
+    pdf = pdf.sort_values(["z", "ds"])
+    xy = pdf[["z", "p"]].to_numpy()
+    n = len(xy)
+    k = min(clusters, n // 2)
+    centres = xy[np.floor((np.arange(k) + 0.5) * n / k).astype(int)]
+    for turn in range(iterations + 1):
+        nearest = ((xy[:, None, :] - centres[None, :, :]) ** 2).sum(-1).argmin(1)
+        size = np.bincount(nearest, minlength=k)
+        if turn < iterations:
+            sums = np.column_stack([np.bincount(nearest, xy[:, c], k) for c in (0, 1)])
+            centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+    return pdf.assign(cluster=nearest, cluster_size=size[nearest])
+
+
 def small_clusters(points: DataFrame, clusters: int = 4, iterations: int = 10, share: float = SMALL_SHARE,
                    keys=KEYS) -> DataFrame:
     """K-means per series; ``is_small`` marks clusters with under ``share`` of the rows.
 
-    Centres start at evenly spaced ranks of ``z``. Every iteration is one window
-    over the same partitioning, so all of them run in the stage that sorted the
-    series, without another shuffle.
+    Centres start at evenly spaced ranks of ``z``. Grouped pandas on the series
+    key the points are already partitioned by; a group is one daily series of at
+    least two points.
     """
-    all_of = Window.partitionBy(*keys)
-    rank = F.row_number().over(all_of.orderBy("z", "ds"))
-    k = F.least(F.lit(clusters), F.floor(F.col("n") / 2))
-    df = points.withColumn("_rank", rank).withColumn("_k", k)
-    for j in range(clusters):
-        start = F.floor((j + 0.5) * F.col("n") / F.col("_k")) + 1
-        mine = (F.lit(j) < F.col("_k")) & (F.col("_rank") == start)
-        df = (df.withColumn(f"_z{j}", F.max(F.when(mine, F.col("z"))).over(all_of))
-              .withColumn(f"_p{j}", F.max(F.when(mine, F.col("p"))).over(all_of)))
-
-    def nearest(frame: DataFrame) -> DataFrame:
-        far = F.lit(float("inf"))
-        d = [F.coalesce((F.col("z") - F.col(f"_z{j}")) * (F.col("z") - F.col(f"_z{j}"))
-                        + (F.col("p") - F.col(f"_p{j}")) * (F.col("p") - F.col(f"_p{j}")), far)
-             for j in range(clusters)]
-        frame = frame.withColumn("_d", F.array(*d))
-        return (frame.withColumn("cluster", (F.array_position("_d", F.array_min("_d")) - 1).cast("int"))
-                .drop("_d"))
-
-    df = nearest(df)
-    for _ in range(iterations):
-        for c in ("z", "p"):
-            for j in range(clusters):
-                moved = F.avg(F.when(F.col("cluster") == j, F.col(c))).over(all_of)
-                df = df.withColumn(f"_n{c}{j}", F.coalesce(moved, F.col(f"_{c}{j}")))
-        df = df.drop(*[f"_{c}{j}" for c in "zp" for j in range(clusters)])
-        for c in ("z", "p"):
-            for j in range(clusters):
-                df = df.withColumnRenamed(f"_n{c}{j}", f"_{c}{j}")
-        df = nearest(df.drop("cluster"))
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, "cluster"))
-    return (df.withColumn("cluster_size", size)
-            .withColumn("is_small", F.col("cluster_size") < F.col("n") * share)
-            .drop("_rank", "_k", *[f"_{c}{j}" for c in "zp" for j in range(clusters)]))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+    labelled = points.groupBy(*keys).applyInPandas(
+        lambda pdf: _lloyd(pdf, clusters, iterations), f"{fields}, cluster int, cluster_size long")
+    return labelled.withColumn("is_small", F.col("cluster_size") < F.col("n") * share)
 
 
 def noise_points(points: DataFrame, eps: float = 0.5, min_samples: int = 3, keys=KEYS) -> DataFrame:
@@ -100,7 +85,10 @@ def noise_points(points: DataFrame, eps: float = 0.5, min_samples: int = 3, keys
 
 
 def flag_noise(points: DataFrame, eps: float = 0.5, min_samples: int = 3, keys=KEYS) -> DataFrame:
-    noise = noise_points(points, eps, min_samples, keys)
+    return mark_noise(points, noise_points(points, eps, min_samples, keys), keys)
+
+
+def mark_noise(points: DataFrame, noise: DataFrame, keys=KEYS) -> DataFrame:
     return (points.join(noise, [*keys, "ds"], "left")
             .withColumn("is_noise", F.coalesce("is_noise", F.lit(False))))
 
@@ -109,54 +97,56 @@ def square_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
 
 
-def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float = 1.0, min_samples: int = 2,
-                   rounds_per_checkpoint: int = 3) -> DataFrame:
+def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float = 1.0,
+                   min_samples: int = 2) -> DataFrame:
     """Density clusters per group ``by``; label = smallest row id of the cluster, -1 for noise.
 
     Equal vectors collapse into one weighted point first, so copies cost
     nothing. Pairs come from an equi-join on grid cells of the leading two
     dimensions. Labels spread along core-core edges and through each other's
-    labels until nothing changes; each few rounds the small label table is
-    checkpointed to the shared folder.
+    labels until nothing changes. What a later round reads again is a table in
+    the shared folder: it survives lost executors, ends the lineage, and its
+    known size lets Spark choose the joins.
     """
-    spark = matrix.sparkSession
-    enable_checkpoints(spark)
     by = list(by)
+    matrix = stored(matrix, "matrix")
     points = (matrix.groupBy(*by, x).agg(F.min(row_id).alias("pid"), F.count(F.lit(1)).alias("w"))
               .withColumn("c0", F.floor(F.element_at(x, 1) / eps))
               .withColumn("c1", F.floor(F.coalesce(F.try_element_at(F.col(x), F.lit(2)), F.lit(0.0)) / eps)))
     near = F.sequence(F.lit(-1), F.lit(1))
-    probe = (points.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), "c0", "c1")
-             .withColumn("_d0", F.explode(near)).withColumn("_d1", F.explode(near))
-             .select(*by, "src", "_x", (F.col("c0") + F.col("_d0")).alias("c0"),
-                     (F.col("c1") + F.col("_d1")).alias("c1")))
+    probe = (points.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), "c0", "c1",
+                           F.explode(near).alias("_d0"))
+             .select(*by, "src", "_x", (F.col("c0") + F.col("_d0")).alias("c0"), "c1", F.explode(near).alias("_d1"))
+             .withColumn("c1", F.col("c1") + F.col("_d1")))
     edges = (probe.join(points, [*by, "c0", "c1"])
              .where(square_distance(F.col("_x"), F.col(x)) <= eps * eps)
-             .select(*by, "src", F.col("pid").alias("dst"), "w").checkpoint())
-    weight = edges.groupBy(*by, "src").agg(F.sum("w").alias("_w"))
-    core = weight.where(F.col("_w") >= min_samples).select(*by, F.col("src").alias("pid"))
-    links = (edges.join(core.withColumnRenamed("pid", "src"), [*by, "src"], "left_semi")
-             .join(core.withColumnRenamed("pid", "dst"), [*by, "dst"], "left_semi")
-             .select(*by, "src", "dst"))
-    labels = core.withColumn("label", F.col("pid")).checkpoint()
-    changed, turn = 1, 0
+             .select(*by, "src", F.col("pid").alias("dst"), "w"))
+    weighed = stored(edges.withColumn("_w", F.sum("w").over(Window.partitionBy(*by, "src"))), "edges")
+    core = weighed.where(F.col("_w") >= min_samples).select(*by, F.col("src").alias("pid")).distinct()
+    links = (weighed.where(F.col("_w") >= min_samples)
+             .join(core.withColumnRenamed("pid", "dst"), [*by, "dst"], "left_semi").select(*by, "src", "dst"))
+    links = stored(links, "links")
+    labels = stored(links.groupBy(*by, F.col("src").alias("pid")).agg(F.min("dst").alias("label")), "labels")
+    changed = 1
     while changed:
-        seen = (links.join(labels.withColumnRenamed("pid", "dst"), [*by, "dst"])
-                .groupBy(*by, F.col("src").alias("pid")).agg(F.min("label").alias("near_label")))
-        best = labels.join(seen, [*by, "pid"]).select(
-            *by, "pid", F.col("label").alias("old"), F.least("label", "near_label").alias("label"))
-        jump = best.select(*by, F.col("pid").alias("label"), F.col("label").alias("far_label"))
-        moved = (best.join(jump, [*by, "label"])
-                 .select(*by, "pid", "old", F.least("label", "far_label").alias("label")))
-        turn += 1
-        moved = moved.checkpoint()
+        # Every point learns the smallest label two steps away over its edges,
+        # and passes it on to the point its own label names.
+        far = labels.select(*by, F.col("pid").alias("label"), F.col("label").alias("far"))
+        ahead = labels.join(far, [*by, "label"]).select(*by, "pid", "label", "far")
+        near = (links.join(ahead.select(*by, F.col("pid").alias("dst"), "far"), [*by, "dst"])
+                .groupBy(*by, F.col("src").alias("pid")).agg(F.min("far").alias("near")))
+        told = (ahead.join(near, [*by, "pid"])
+                .select(*by, F.inline(F.array(
+                    F.struct("pid", F.col("label").alias("old"), F.least("label", "far", "near").alias("label")),
+                    F.struct(F.col("label").alias("pid"), F.lit(None).cast("long").alias("old"),
+                             F.col("near").alias("label"))))))
+        moved = stored(told.groupBy(*by, "pid").agg(F.max("old").alias("old"), F.min("label").alias("label")), "labels")
         changed = moved.where(F.col("label") != F.col("old")).limit(1).count()
         labels = moved.drop("old")
-    border = (edges.join(labels.withColumnRenamed("pid", "dst"), [*by, "dst"])
-              .groupBy(*by, F.col("src").alias("pid")).agg(F.min("label").alias("label")))
-    labelled = points.select(*by, x, "pid").join(
-        labels.withColumnRenamed("label", "core_label"), [*by, "pid"], "left").join(border, [*by, "pid"], "left")
-    final = labelled.select(*by, x, F.coalesce("core_label", "label", F.lit(-1)).alias("dbscan"))
+    border = (weighed.join(labels.withColumnRenamed("pid", "dst"), [*by, "dst"])
+              .groupBy(*by, F.col("src").alias("pid")).agg(F.min("label").alias("border_label")))
+    final = (points.select(*by, x, "pid").join(labels, [*by, "pid"], "left").join(border, [*by, "pid"], "left")
+             .select(*by, x, F.coalesce("label", "border_label", F.lit(-1)).alias("dbscan")))
     return matrix.join(final, [*by, x])
 
 

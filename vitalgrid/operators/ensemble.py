@@ -96,9 +96,10 @@ def detect_methods(daily_df: DataFrame, min_points: int = 20, keys=KEYS) -> Data
     """Run the five methods on every series with enough points and some variance."""
     base = sigma.moments(gate(daily_df, min_points=5, keys=keys), keys)
     base = base.where((F.col("n") >= min_points) & (F.col("std") > 0))
-    steps = sigma.spikes(sigma.outliers(base), keys=keys)
-    banded = sigma.band_breaches(steps, min_points, keys)
-    return cluster.flag_noise(cluster.small_clusters(cluster.plane(banded, keys), keys=keys), keys=keys)
+    noise = cluster.noise_points(cluster.plane(base, keys), keys=keys)
+    banded = sigma.band_breaches(sigma.spikes(sigma.outliers(base), keys=keys), min_points, keys)
+    clustered = cluster.small_clusters(cluster.plane(banded, keys), keys=keys)
+    return cluster.mark_noise(clustered, noise, keys)
 
 
 def weigh(df: DataFrame, keys=KEYS) -> DataFrame:

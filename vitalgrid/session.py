@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,12 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Point reliable ``checkpoint()`` at the shared folder if nothing set it yet."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder for an intermediate table."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: computed once, no lineage, size known."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
