@@ -19,7 +19,7 @@ def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        return float(f"{v:.10g}")
+        return 0.0 if v == 0 and math.copysign(1, v) > 0 else float(f"{v:.10g}")
     return str(v) if not isinstance(v, (int, bool)) else v
 
 

@@ -25,7 +25,7 @@ def fit_sql(source: str, name: str, z: float, weekly: bool = True, yearly: str =
       when t + 1 = 90 then 'marathon' end"""
     return f"""{name}_0 as (select *, cast(date_diff('day', min(ds) over ({w}), ds) as double) as t,
       count(*) over ({w}) as n_rows, dayofweek(ds) as dow, month(ds) as mon, min(ds) over ({w}) as start_ds from {source}),
-    {name}_c as (select user_id, metric, coalesce(regr_slope(y, t), 0) as slope,
+    {name}_c as (select user_id, metric, case when count(*) > 1 then coalesce(regr_slope(y, t), 0) else 0 end as slope,
       case when count(*) > 1 then coalesce(regr_intercept(y, t), avg(y)) else avg(y) end as intercept from {name}_0 group by all),
     {name}_1 as (select f.*, slope, intercept, intercept + slope * t as trend, {event} as event
       from {name}_0 f join {name}_c using (user_id, metric)),

@@ -1 +1,156 @@
+"""Window features and clustering."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vitalgrid.operators import cluster as CL, features as FT
+from vitalgrid.plans import canonical as C, sql as Q
+from vitalgrid.plans.q_detect import ROW_ID, density_sql
+from vitalgrid.plans.registry import query, rounded, sr
+from vitalgrid.schema import KEYS
+
+WINS = f"""{Q.WINDOW_DAILY}, wins as (select user_id, metric, win, i % 30 as t, y from (select *, i // 30 as win from (select *,
+    row_number() over (partition by user_id, metric order by ds) - 1 as i, count(*) over (partition by user_id, metric) as c
+    from window_daily) where i // 30 < c // 30))"""
+
+
+def _auto_sql() -> str:
+    wave = ", ".join(f"sqrt(pow(sum(y * cos(-2 * pi() * {k} / 30 * t)), 2) + pow(sum(y * sin(-2 * pi() * {k} / 30 * t)), 2)) as fft_abs_{k}"
+                     for k in range(1, FT.FOURIER_TERMS + 1))
+    w = "partition by user_id, metric, win"
+    return f"""x as (select *, avg(y) over ({w}) as mu, stddev_pop(y) over ({w}) as sd, max(y) over ({w}) as top, min(y) over ({w}) as low,
+      lag(y) over ({w} order by t) as prev, lead(y) over ({w} order by t) as nxt, lead(y, 2) over ({w} order by t) as nxt2 from wins),
+  isles as (select *, count(*) filter (where not y > mu) over ({w} order by t) as ga, count(*) filter (where not y < mu) over ({w} order by t) as gb from x),
+  runs as (select *, count(*) filter (where y > mu) over ({w}, ga order by t) as up, count(*) filter (where y < mu) over ({w}, gb order by t) as down from isles),
+  auto as (select user_id, metric, win, sum(y) as sum_values, sum(y * y) as abs_energy, avg(abs(y - prev)) as mean_abs_change,
+    avg(y - prev) as mean_change, sqrt(sum(pow(y - prev, 2))) as cid_ce, avg(nxt2 * nxt * y) as c3_lag1,
+    case when max(sd) > 0 then sum((y - mu) * (nxt - mu)) / ((count(*) - 1) * max(sd * sd)) end as autocorr_lag1,
+    count(*) filter (where y > mu) as count_above_mean, count(*) filter (where y < mu) as count_below_mean,
+    max(up) as longest_above_mean, max(down) as longest_below_mean, count(*) filter (where y > prev and y > nxt) as number_peaks,
+    quantile_cont(y, 0.1) as quantile_10, quantile_cont(y, 0.9) as quantile_90, max(sd) / nullif(max(mu), 0) as variation_coefficient,
+    regr_slope(y, t) as trend_slope, regr_r2(y, t) as trend_r2, min(t) filter (where y = top) / 30.0::double as first_loc_max,
+    (max(t) filter (where y = top) + 1) / 30.0::double as last_loc_max, min(t) filter (where y = low) / 30.0::double as first_loc_min,
+    (max(t) filter (where y = low) + 1) / 30.0::double as last_loc_min,
+    count(*) filter (where abs(y - mu) > sd) / 30.0::double as ratio_beyond_1_sigma,
+    case when count(*) filter (where y = top) > 1 then 1.0::double else 0.0::double end as has_duplicate_max, {wave} from runs group by 1, 2, 3)"""
+
+
+COUNTS = ("count_above_mean", "count_below_mean", "longest_above_mean", "longest_below_mean", "number_peaks")
+REALS = tuple(c for c in FT.AUTOMATIC if c not in COUNTS)
+BIG = ("abs_energy", "c3_lag1", "sum_values", "mean_abs_change", "mean_change", "cid_ce", "quantile_10", "quantile_90",
+       "trend_slope", *(f"fft_abs_{k}" for k in range(1, FT.FOURIER_TERMS + 1)))
+
+
+def windows(spark, sf):
+    return FT.windows(C.window_daily(spark, sf))
+
+
+def automatic(spark, sf):
+    return FT.automatic(windows(spark, sf))
+
+
+@query("j1_windows_long", f"""with {WINS} select user_id, metric, win, t, {sr('y', 2)} as value from wins""")
+def j1(spark, sf):
+    long = windows(spark, sf).select(*KEYS, "win", F.col("t").cast("long").alias("t"), "value")
+    return rounded(long, "value", n=2)
+
+
+@query("j2_automatic_features", f"""with {WINS}, {_auto_sql()} select user_id, metric, win, {", ".join(COUNTS)},
+  {", ".join(f"{sr(f'{c} / (1 + abs({c}))', 5)} as {c}" if c in BIG else f"{sr(c, 5)} as {c}" for c in REALS)} from auto""")
+def j2(spark, sf):
+    feats = automatic(spark, sf)
+    # Features of very different size are compared by their leading digits.
+    squashed = feats.withColumns({c: F.col(c) / (1 + F.abs(c)) for c in BIG})
+    return rounded(squashed, *REALS, n=5)
+
+
+HOLED = """holed as (select user_id, metric, win, case when win % 5 = 0 then null when win % 7 = 1 then 'inf'::double else trend_r2 end as a,
+   case when win % 4 = 2 then '-inf'::double else variation_coefficient end as b, null::double as gone from auto)"""
+
+
+def _holed(spark, sf):
+    inf = float("inf")
+    w = F.col("win")
+    return automatic(spark, sf).select(
+        *KEYS, "win", F.when(w % 5 == 0, None).when(w % 7 == 1, inf).otherwise(F.col("trend_r2")).alias("a"),
+        F.when(w % 4 == 2, -inf).otherwise(F.col("variation_coefficient")).alias("b"),
+        F.lit(None).cast("double").alias("gone"))
+
+
+IMPUTED = """st as (select user_id, quantile_cont(a, 0.5) filter (where isfinite(a)) as ma, max(a) filter (where isfinite(a)) as ha,
+    min(b) filter (where isfinite(b)) as lb from holed group by 1),
+  imputed as (select user_id, metric, win, case when a is null then ma when a = 'inf' then ha else a end as a,
+    case when b = '-inf' then lb else b end as b from holed join st using (user_id))"""
+
+
+@query("j3_impute", f"""with {WINS}, {_auto_sql()}, {HOLED}, {IMPUTED} select user_id, metric, win, {sr('a')} as a, {sr('b')} as b from imputed""")
+def j3(spark, sf):
+    return rounded(FT.impute(_holed(spark, sf).drop("gone"), ("a", "b")), "a", "b")
+
+
+@query("j4_fill_median", f"""with {WINS}, {_auto_sql()}, {HOLED}, {IMPUTED} select user_id, metric, win, {sr('a')} as a, {sr('b')} as b from imputed""")
+def j4(spark, sf):
+    return rounded(FT.fill_median(_holed(spark, sf), ("a", "b", "gone")), "a", "b")
+
+
+SHORT = ("variation_coefficient", "trend_r2", "autocorr_lag1", "ratio_beyond_1_sigma", "first_loc_max")
+SCALED = "scaled as (select user_id, metric, win, {} from auto window w as (partition by user_id))".format(", ".join(
+    f"case when stddev_pop({c}) over w > 1e-12 then ({c} - avg({c}) over w) / stddev_pop({c}) over w else 0.0 end as {c}" for c in SHORT))
+
+
+def scaled(spark, sf):
+    return FT.standardise(automatic(spark, sf), SHORT).select(*KEYS, "win", *SHORT)
+
+
+@query("j5_standardise", f"""with {WINS}, {_auto_sql()}, {SCALED} select user_id, metric, win,
+  {", ".join(f"{sr(c)} as {c}" for c in SHORT)} from scaled""")
+def j5(spark, sf):
+    return rounded(scaled(spark, sf), *SHORT)
+
+
+@query("j5_standardise_embeddings", f"""with e as (select vec_id, label, embedding[1]::double as x0, embedding[2]::double as x1 from embeddings)
+  select vec_id, label, {sr('(x0 - avg(x0) over w) / stddev_pop(x0) over w')} as x0,
+  {sr('(x1 - avg(x1) over w) / stddev_pop(x1) over w')} as x1 from e window w as (partition by label)""")
+def j5_embeddings(spark, sf):
+    e = C.table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x0"),
+                                                F.col("embedding")[1].cast("double").alias("x1"))
+    return rounded(FT.standardise(e, ("x0", "x1"), by=("label",)).select("vec_id", "label", "x0", "x1"), "x0", "x1")
+
+
+def labelled(spark, sf, eps: float = 1.0):
+    """Window features with density labels; ids follow the order of the windows' keys."""
+    matrix = FT.vectors(scaled(spark, sf), SHORT)
+    ids = F.xxhash64("user_id", "metric", "win")
+    return CL.density_labels(matrix.withColumn("rid", ids), ("user_id",), "rid", eps=eps)
+
+
+@query("j6_kmeans_labels")
+def j6(spark, sf):
+    return CL.kmeans_labels(FT.vectors(scaled(spark, sf), SHORT)).select(*KEYS, "win", "kmeans")
+
+
+DENSITY = f"""numbered as (select *, {ROW_ID} as rid from scaled), {density_sql('numbered', 'db', 'user_id', 1.0, SHORT)}"""
+
+
+@query("j7_density_clusters", f"""with recursive {WINS}, {_auto_sql()}, {SCALED}, {DENSITY} select n.user_id, n.metric, n.win,
+  dbscan = -1 as is_noise, count(*) over (partition by n.user_id, dbscan) as cluster_size,
+  min(n.metric || '/' || lpad(n.win::varchar, 5, '0')) over (partition by n.user_id, dbscan) as first_window
+  from numbered n join db using (rid)""")
+def j7(spark, sf):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id", "dbscan")
+    name = F.concat_ws("/", "metric", F.lpad(F.col("win").cast("string"), 5, "0"))
+    return labelled(spark, sf).select(
+        *KEYS, "win", (F.col("dbscan") == -1).alias("is_noise"), F.count(F.lit(1)).over(w).alias("cluster_size"),
+        F.min(name).over(w).alias("first_window"))
+
+
+@query("j8_clusters_table")
+def j8(spark, sf):
+    from vitalgrid.session import stored
+
+    both = CL.kmeans_labels(labelled(spark, sf))
+    table = both.select(*KEYS, "win", "kmeans", "dbscan", F.col("metric").alias("source"))
+    return stored(scaled(spark, sf).join(table, [*KEYS, "win"]), "clusters")

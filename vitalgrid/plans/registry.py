@@ -23,9 +23,9 @@ def query(name: str, sql: str | None = None):
 
 
 def r(value, n: int = 6) -> Column:
-    """Rounded for comparison: a nudge keeps exact decimal ties on one side in both engines."""
+    """Rounded for comparison: a nudge keeps exact decimal ties on one side in both engines, no zero is negative."""
     c = F.col(value) if isinstance(value, str) else value
-    return F.round(c + F.lit(10.0 ** -(n + 3)), n)
+    return F.round(c + F.lit(10.0 ** -(n + 3)), n) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *names: str, n: int = 6) -> DataFrame:
@@ -39,4 +39,4 @@ def plain_time(df: DataFrame, *names: str) -> DataFrame:
 
 def sr(expression: str, n: int = 6) -> str:
     """SQL twin of ``r``."""
-    return f"round(({expression}) + 1e-{n + 3}, {n})"
+    return f"(round(({expression}) + 1e-{n + 3}, {n}) + 0.0)"
