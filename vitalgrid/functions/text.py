@@ -33,9 +33,13 @@ NON_ASCII = r"[^\x00-\x7F]"
 def to_ascii(text: Column) -> Column:
     """Replace known symbols by words, then drop what is still not ASCII.
 
-    Pure-ASCII text skips the replacements.
+    Pure-ASCII text passes through; other text is only searched for the symbols
+    found among its non-ASCII characters.
     """
-    replaced = text
-    for symbol, word in SYMBOLS:
-        replaced = F.replace(replaced, F.lit(symbol), F.lit(word))
+    foreign = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    table = F.array(*[F.struct(F.lit(s).alias("symbol"), F.lit(w).alias("word")) for s, w in SYMBOLS])
+    # The outer lambda computes the foreign characters once per text.
+    present = F.flatten(F.transform(F.array(foreign), lambda chars: F.filter(
+        table, lambda e: F.contains(chars, e["symbol"]))))
+    replaced = F.aggregate(present, text, lambda out, e: F.replace(out, e["symbol"], e["word"]))
     return F.when(text.rlike(NON_ASCII), F.regexp_replace(replaced, NON_ASCII, "")).otherwise(text)

@@ -27,14 +27,13 @@ def rolling_forecast(df: DataFrame, keys=KEYS, order=("ts",), ts: str = "ts", va
 
 
 def daily_forecast(daily_df: DataFrame, keys=KEYS, min_points: int = 10) -> DataFrame:
-    """Additive forecast of a daily series, or the rolling band if it is too short."""
+    """Additive forecast of a daily series, or the rolling band if it is too short. Keeps ``y``."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     counted = daily_df.where(F.col("y").isNotNull()).withColumn("_n", n)
-    short = rolling_band(counted, keys, ["ds"], "y")
-    fitted = FC.components(short, FC.DEFAULT, keys)
+    fitted = FC.components(rolling_band(counted, keys, ["ds"], "y"), FC.DEFAULT, keys)
     enough = F.col("_n") >= min_points
     return fitted.select(
-        *keys, "ds",
+        *keys, "ds", "y",
         F.when(enough, F.col("yhat")).otherwise(F.col("predicted")).alias("predicted"),
         F.when(enough, F.col("fit_lower")).otherwise(F.col("yhat_lower")).alias("yhat_lower"),
         F.when(enough, F.col("fit_upper")).otherwise(F.col("yhat_upper")).alias("yhat_upper"))
@@ -58,8 +57,11 @@ def flag(df: DataFrame, spread, value: str = "y", threshold_std: float = 3.0) ->
 def detect(daily_df: DataFrame, forecast: DataFrame | None = None, threshold_std: float = 3.0,
            keys=KEYS) -> DataFrame:
     """Residual detector on daily series, with a given forecast or its own."""
-    given = daily_forecast(daily_df, keys) if forecast is None else forecast
-    joined = with_forecast(daily_df, given, [*keys, "ds"])
+    if forecast is None:
+        missing = daily_df.where(F.col("y").isNull()).select(*keys, "ds", "y")
+        joined = daily_forecast(daily_df, keys).unionByName(missing, allowMissingColumns=True)
+    else:
+        joined = with_forecast(daily_df, forecast, [*keys, "ds"])
     joined = joined.withColumn("residual", F.col("y") - F.col("predicted"))
     spread = F.stddev_samp("residual").over(Window.partitionBy(*keys))
     return flag(joined.withColumn("_std", spread), F.col("_std"), "y", threshold_std).drop("_std")

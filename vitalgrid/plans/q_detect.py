@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.ladders import trend_label  # noqa: F401
 from vitalgrid.operators import cluster as CL, ensemble as E, features as FT, forecast as FC, report as RP, residual as R
 from vitalgrid.operators import series as S, sigma, stats, threshold as T
 from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.q_series import _GAPS, _HANDCRAFTED, threshold_sql
 from vitalgrid.plans.registry import plain_time, query, r, rounded, sr
 from vitalgrid.schema import DEFAULT_RULES, KEYS
+from vitalgrid.session import stored
 
 MOMENTS = """moments as (select *, count(y) over w as n, avg(y) over w as mean, stddev_samp(y) over w as std
   from {t} window w as (partition by user_id, metric))"""
@@ -323,8 +323,12 @@ VOTED = f"""{RESIDUAL}, {RULED}, {CLUSTERED}, {NUMBERED_WINS},
 
 
 def voted(spark, sf, min_votes: int = 2):
-    """All three detectors on daily series, then the vote."""
-    d = C.daily(spark, sf)
+    """All three detectors on daily series, then the vote.
+
+    Each detector reads the daily table anew, so it is stored once: it is what
+    is left of the raw samples after the one pass over them.
+    """
+    d = stored(C.daily(spark, sf), "daily")
     as_rows = d.select(*KEYS, F.col("ds").cast("timestamp").alias("ts"), F.col("y").alias("value"))
     ruled = T.detect(as_rows, T.rules_table(spark), unit="year").select(
         *KEYS, F.to_date("ts").alias("ds"), "threshold_anomaly")
