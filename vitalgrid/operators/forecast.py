@@ -38,7 +38,7 @@ ANALYSIS = Model(z=Z95, yearly=True)
 def _effect(residual: Column, keys, group: str) -> tuple[Column, Column]:
     """Mean residual of each group, and the mean over the series' groups."""
     of_group = Window.partitionBy(*keys, group)
-    return F.avg(residual).over(of_group), F.count(residual).over(of_group).cast("double")
+    return F.avg(residual).over(of_group), F.nullif(F.count(residual).over(of_group), F.lit(0)).cast("double")
 
 
 def _seasonal(df: DataFrame, name: str, residual: Column, keys, group: str, on: Column) -> DataFrame:
@@ -62,7 +62,7 @@ def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFr
     y, t = F.col("y"), F.col("t")
     df = (daily_df.withColumn("_start", F.min("ds").over(all_of))
           .withColumn("t", F.datediff("ds", "_start").cast("double"))
-          .withColumn("_rows", F.count(F.lit(1)).over(all_of))
+          .withColumn("_rows", F.count(y).over(all_of))
           .withColumn("slope", F.coalesce(F.regr_slope(y, t).over(all_of), F.lit(0.0)))
           .withColumn("intercept", F.coalesce(F.regr_intercept(y, t).over(all_of), F.avg(y).over(all_of)))
           .withColumn("trend", F.col("intercept") + F.col("slope") * t)
@@ -93,41 +93,53 @@ def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFr
             .drop("_rows"))
 
 
-FORECAST_COLUMNS = ("ds", "trend", "weekly", "yearly", "holiday_effect", "yhat", "yhat_lower", "yhat_upper")
+def effect_tables(fitted: DataFrame, model: Model, keys=KEYS) -> DataFrame:
+    """Add each series' weekday, month and event effects as small arrays."""
+    all_of = Window.partitionBy(*keys)
+
+    def table(column: str, group: str, values) -> Column:
+        return F.array(*[F.max(F.when(F.col(group) == v, F.col(column))).over(all_of) for v in values])
+
+    out = {"_w": table("weekly", "_dow", range(1, 8)), "_m": table("yearly", "_month", range(1, 13))}
+    if model.events:
+        out["_e"] = table("holiday_effect", "_event", [e[0] for e in model.calendar])
+    return fitted.withColumns(out)
 
 
 def forecast(daily_df: DataFrame, model: Model = DEFAULT, periods: int = 0, keys=KEYS) -> DataFrame:
-    """History plus ``periods`` future days per series."""
+    """History plus ``periods`` future days per series.
+
+    The last row of a series grows into its future days, so the forecast costs
+    no shuffle beyond the one of the fit.
+    """
     fitted = components(daily_df, model, keys)
-    bands = (F.col("fit_lower").alias("yhat_lower"), F.col("fit_upper").alias("yhat_upper"))
-    past = fitted.select(*keys, "ds", "trend", "weekly", "yearly", "holiday_effect", "yhat", *bands)
     if not periods:
-        return past
-    names = [e[0] for e in model.calendar]
-    at = [
-        F.max("ds").alias("_end"), F.max("_start").alias("_start"), F.max("slope").alias("slope"),
-        F.max("intercept").alias("intercept"), F.max("sigma").alias("sigma"),
-        F.array(*[F.max(F.when(F.col("_dow") == d, F.col("weekly"))) for d in range(1, 8)]).alias("_w"),
-        F.array(*[F.max(F.when(F.col("_month") == m, F.col("yearly"))) for m in range(1, 13)]).alias("_m")]
-    if model.events:
-        at.append(F.array(*[F.max(F.when(F.col("_event") == e, F.col("holiday_effect"))) for e in names]).alias("_e"))
-    params = fitted.groupBy(*keys).agg(*at)
-    future = params.withColumn("ds", F.explode(F.sequence(F.date_add("_end", 1), F.date_add("_end", periods))))
-    t = F.datediff("ds", "_start").cast("double")
-    zero = F.lit(0.0)
+        return fitted.select(*keys, "ds", "trend", "weekly", "yearly", "holiday_effect", "yhat",
+                             F.col("fit_lower").alias("yhat_lower"), F.col("fit_upper").alias("yhat_upper"))
+    last = F.max("ds").over(Window.partitionBy(*keys))
+    rows = effect_tables(fitted, model, keys).withColumn("_last", last)
+    ahead = F.sequence(F.lit(0), F.when(F.col("ds") == F.col("_last"), periods).otherwise(0))
+    rows = (rows.withColumn("_ahead", F.explode(ahead)).withColumn("ds", F.date_add("ds", F.col("_ahead")))
+            .withColumn("t", F.datediff("ds", "_start").cast("double")))
+    zero, new = F.lit(0.0), F.col("_ahead") > 0
     effect = zero
     if model.events:
-        event = D.event_of(t + 1, model.calendar)
-        for i, e in enumerate(names):
-            effect = F.when(event == e, F.coalesce(F.col("_e")[i], zero)).otherwise(effect)
-    future = (future.withColumn("trend", F.col("intercept") + F.col("slope") * t)
-              .withColumn("weekly", F.coalesce(F.element_at("_w", F.dayofweek("ds")), zero))
-              .withColumn("yearly", F.coalesce(F.element_at("_m", F.month("ds")), zero))
-              .withColumn("holiday_effect", effect)
-              .withColumn("yhat", F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("holiday_effect"))
-              .withColumn("yhat_lower", F.col("yhat") - model.z * F.col("sigma"))
-              .withColumn("yhat_upper", F.col("yhat") + model.z * F.col("sigma")))
-    return past.unionByName(future.select(*keys, *FORECAST_COLUMNS))
+        event = D.event_of(F.col("t") + 1, model.calendar)
+        for i, (name, *_) in enumerate(model.calendar):
+            effect = F.when(event == name, F.coalesce(F.col("_e")[i], zero)).otherwise(effect)
+
+    def value(own: str, later: Column) -> Column:
+        return F.when(new, later).otherwise(F.col(own)).alias(own)
+
+    rows = rows.select(
+        *keys, "ds", "sigma", value("trend", F.col("intercept") + F.col("slope") * F.col("t")),
+        value("weekly", F.coalesce(F.element_at("_w", F.dayofweek("ds")), zero)),
+        value("yearly", F.coalesce(F.element_at("_m", F.month("ds")), zero)), value("holiday_effect", effect))
+    yhat = F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("holiday_effect")
+    rows = rows.withColumn("yhat", yhat)
+    return rows.select(*keys, "ds", "trend", "weekly", "yearly", "holiday_effect", "yhat",
+                       (F.col("yhat") - model.z * F.col("sigma")).alias("yhat_lower"),
+                       (F.col("yhat") + model.z * F.col("sigma")).alias("yhat_upper"))
 
 
 def horizon(daily_df: DataFrame, periods: int, keys=KEYS) -> DataFrame:
@@ -152,19 +164,14 @@ def mae_last(daily_df: DataFrame, fitted: DataFrame, days: int = 7, keys=KEYS) -
 def holdout_mae(daily_df: DataFrame, model: Model = DEFAULT, days: int = 7, keys=KEYS) -> DataFrame:
     """Mean absolute error on the last ``days`` rows of a model fitted without them."""
     back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("ds").desc()))
-    ranked = daily_df.withColumn("_back", back)
-    train = ranked.where(F.col("_back") > days).drop("_back")
-    test = ranked.where(F.col("_back") <= days).drop("_back")
-    params = components(train, replace(model, events=False), keys).groupBy(*keys).agg(
-        F.max("_start").alias("_start"), F.max("slope").alias("slope"), F.max("intercept").alias("intercept"),
-        F.array(*[F.max(F.when(F.col("_dow") == d, F.col("weekly"))) for d in range(1, 8)]).alias("_w"),
-        F.array(*[F.max(F.when(F.col("_month") == m, F.col("yearly"))) for m in range(1, 13)]).alias("_m"))
+    split = daily_df.withColumn("_held", F.when(back <= days, F.col("y"))).withColumn(
+        "y", F.when(F.col("_held").isNull(), F.col("y")))
+    rows = effect_tables(components(split, replace(model, events=False), keys), model=replace(model, events=False), keys=keys)
     zero = F.lit(0.0)
-    yhat = (F.col("intercept") + F.col("slope") * F.datediff("ds", "_start")
-            + F.coalesce(F.element_at("_w", F.dayofweek("ds")), zero)
-            + F.coalesce(F.element_at("_m", F.month("ds")), zero))
-    return (test.join(params, list(keys)).groupBy(*keys)
-            .agg(F.avg(F.abs(yhat - F.col("y"))).alias("holdout_mae")))
+    yhat = (F.col("trend") + F.coalesce(F.element_at("_w", F.col("_dow")), zero)
+            + F.coalesce(F.element_at("_m", F.col("_month")), zero))
+    return (rows.where(F.col("_held").isNotNull() & F.col("intercept").isNotNull()).groupBy(*keys)
+            .agg(F.avg(F.abs(yhat - F.col("_held"))).alias("holdout_mae")))
 
 
 def event_impact(calendar: DataFrame, without: DataFrame, with_events: DataFrame, keys=KEYS) -> DataFrame:
