@@ -44,8 +44,9 @@ def _effect(residual: Column, keys, group: str) -> tuple[Column, Column]:
 def _seasonal(df: DataFrame, name: str, residual: Column, keys, group: str, on: Column) -> DataFrame:
     raw, count = _effect(residual, keys, group)
     all_of = Window.partitionBy(*keys)
-    centre = (F.sum(F.col("_raw") / F.col("_cnt")).over(all_of)
-              / F.sum(1.0 / F.col("_cnt")).over(all_of))
+    # Rows without a value take effects but do not weigh on their mean.
+    weight = F.when(residual.isNotNull(), 1.0 / F.col("_cnt"))
+    centre = F.sum(F.col("_raw") * weight).over(all_of) / F.sum(weight).over(all_of)
     return (df.withColumn("_raw", raw).withColumn("_cnt", count)
             .withColumn("_centre", centre)
             .withColumn(name, F.when(on, F.col("_raw") - F.col("_centre")).otherwise(0.0))
