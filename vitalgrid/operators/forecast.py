@@ -35,22 +35,15 @@ DETECTION = Model(z=Z95)
 ANALYSIS = Model(z=Z95, yearly=True)
 
 
-def _effect(residual: Column, keys, group: str) -> tuple[Column, Column]:
-    """Mean residual of each group, and the mean over the series' groups."""
-    of_group = Window.partitionBy(*keys, group)
-    return F.avg(residual).over(of_group), F.nullif(F.count(residual).over(of_group), F.lit(0)).cast("double")
-
-
 def _seasonal(df: DataFrame, name: str, residual: Column, keys, group: str, on: Column) -> DataFrame:
-    raw, count = _effect(residual, keys, group)
-    all_of = Window.partitionBy(*keys)
-    # Rows without a value take effects but do not weigh on their mean.
-    weight = F.when(residual.isNotNull(), 1.0 / F.col("_cnt"))
-    centre = F.sum(F.col("_raw") * weight).over(all_of) / F.sum(weight).over(all_of)
-    return (df.withColumn("_raw", raw).withColumn("_cnt", count)
-            .withColumn("_centre", centre)
-            .withColumn(name, F.when(on, F.col("_raw") - F.col("_centre")).otherwise(0.0))
-            .drop("_raw", "_cnt", "_centre"))
+    """Mean residual of each group, centred over the series' groups."""
+    of_group, all_of = Window.partitionBy(*keys, group), Window.partitionBy(*keys)
+    df = df.withColumns({
+        "_raw": F.avg(residual).over(of_group),
+        # Rows without a value take effects but do not weigh on their mean.
+        "_weight": F.when(residual.isNotNull(), 1.0 / F.nullif(F.count(residual).over(of_group), F.lit(0)))})
+    centre = F.sum(F.col("_raw") * F.col("_weight")).over(all_of) / F.sum("_weight").over(all_of)
+    return df.withColumn(name, F.when(on, F.col("_raw") - centre).otherwise(0.0))
 
 
 def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFrame:
@@ -61,13 +54,14 @@ def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFr
     """
     all_of = Window.partitionBy(*keys)
     y, t = F.col("y"), F.col("t")
-    df = (daily_df.withColumn("_start", F.min("ds").over(all_of))
-          .withColumn("t", F.datediff("ds", "_start").cast("double"))
-          .withColumn("_rows", F.count(y).over(all_of))
-          .withColumn("slope", F.coalesce(F.regr_slope(y, t).over(all_of), F.lit(0.0)))
-          .withColumn("intercept", F.coalesce(F.regr_intercept(y, t).over(all_of), F.avg(y).over(all_of)))
-          .withColumn("trend", F.col("intercept") + F.col("slope") * t)
-          .withColumn("_dow", F.dayofweek("ds")).withColumn("_month", F.month("ds")))
+    df = daily_df.withColumns({
+        "_start": F.min("ds").over(all_of), "_rows": F.count(y).over(all_of),
+        "_dow": F.dayofweek("ds"), "_month": F.month("ds")})
+    df = df.withColumn("t", F.datediff("ds", "_start").cast("double"))
+    df = df.withColumns({
+        "slope": F.coalesce(F.regr_slope(y, t).over(all_of), F.lit(0.0)),
+        "intercept": F.coalesce(F.regr_intercept(y, t).over(all_of), F.avg(y).over(all_of))})
+    df = df.withColumn("trend", F.col("intercept") + F.col("slope") * t)
     rest = y - F.col("trend")
     if model.weekly:
         df = _seasonal(df, "weekly", rest, keys, "_dow", F.lit(True))
@@ -87,11 +81,11 @@ def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFr
     else:
         df = df.withColumn("holiday_effect", F.lit(0.0))
     fitted = F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("holiday_effect")
-    df = (df.withColumn("yhat", fitted)
-          .withColumn("sigma", F.coalesce(F.stddev_samp(y - F.col("yhat")).over(all_of), F.lit(0.0))))
-    return (df.withColumn("fit_lower", F.col("yhat") - model.z * F.col("sigma"))
-            .withColumn("fit_upper", F.col("yhat") + model.z * F.col("sigma"))
-            .drop("_rows"))
+    df = df.withColumn("yhat", fitted)
+    df = df.withColumn("sigma", F.coalesce(F.stddev_samp(y - F.col("yhat")).over(all_of), F.lit(0.0)))
+    return df.withColumns({
+        "fit_lower": F.col("yhat") - model.z * F.col("sigma"),
+        "fit_upper": F.col("yhat") + model.z * F.col("sigma")}).drop("_rows", "_raw", "_weight")
 
 
 def effect_tables(fitted: DataFrame, model: Model, keys=KEYS) -> DataFrame:
