@@ -134,6 +134,11 @@ def standardise(matrix: DataFrame, columns, by=("user_id",)) -> DataFrame:
     return matrix.join(stats, list(by)).select(*rest, *scaled)
 
 
+def number_windows(matrix: DataFrame, by: str = "user_id", name: str = "rid") -> DataFrame:
+    """Number the windows of each user; a user has one per metric and 30 calendar days."""
+    return matrix.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy("metric", "win")).cast("long"))
+
+
 def vectors(matrix: DataFrame, columns, name: str = "x") -> DataFrame:
     rest = [c for c in matrix.columns if c not in columns]
     return matrix.select(*rest, F.array(*[F.col(c).cast("double") for c in columns]).alias(name))

@@ -235,10 +235,8 @@ def window_clusters(daily_df, eps: float = 0.5):
     wins = FT.windows(daily_df)
     feats = FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win"))
     scaled = FT.standardise(feats.fillna(0.0, list(FT.HANDCRAFTED)), FT.HANDCRAFTED).select(*KEYS, "win", *VECTOR)
-    matrix = FT.vectors(scaled, VECTOR).withColumn("rid", F.concat_ws("/", "metric", F.format_string("%05d", "win")))
-    labelled = CL.density_labels(
-        matrix.withColumn("rid", F.xxhash64("rid") % F.lit(2 ** 52).cast("long")), ("user_id",), "rid", eps=eps)
-    return wins, labelled
+    matrix = FT.number_windows(FT.vectors(scaled, VECTOR))
+    return wins, CL.density_labels(matrix, ("user_id",), "rid", eps=eps)
 
 
 CLUSTERED = f"""{WINDOW_FEATURES.format(t='daily')}, {SCALED},

@@ -120,9 +120,8 @@ def j5_embeddings(spark, sf):
 
 def labelled(spark, sf, eps: float = 1.0):
     """Window features with density labels; ids follow the order of the windows' keys."""
-    matrix = FT.vectors(scaled(spark, sf), SHORT)
-    ids = F.xxhash64("user_id", "metric", "win")
-    return CL.density_labels(matrix.withColumn("rid", ids), ("user_id",), "rid", eps=eps)
+    matrix = FT.number_windows(FT.vectors(scaled(spark, sf), SHORT))
+    return CL.density_labels(matrix, ("user_id",), "rid", eps=eps)
 
 
 @query("j6_kmeans_labels")
