@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUNS: dict[str, str] = {}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the zone: all timestamps in this library are UTC."""
@@ -17,27 +18,35 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else a folder below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    local = os.path.join(tempfile.gettempdir(), "vitalgrid-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; removed when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = f"{shared_dir(spark).rstrip('/')}/vitalgrid-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, spark, _RUNS[app])
+    return _RUNS[app]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # the session was stopped before
+        return
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder for an intermediate table."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it back: computed once, no lineage, size known."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
