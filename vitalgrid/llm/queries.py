@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from vitalgrid.llm import exact_dedup
+from vitalgrid.llm import exact_dedup, mixing
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -26,3 +26,8 @@ def query(name: str, sql: str | None = None):
         doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from d""")
 def op8(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mix_sources")
+def op10(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"))
