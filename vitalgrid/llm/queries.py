@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from vitalgrid.llm import exact_dedup, mixing
+from vitalgrid.llm import exact_dedup, langid, mixing
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -31,3 +31,8 @@ def op8(spark, sf_dir):
 @query("op10_mix_sources")
 def op10(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
