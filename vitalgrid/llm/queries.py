@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from vitalgrid.llm import exact_dedup, langid, mixing
+from vitalgrid.llm import exact_dedup, langid, mixing, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -36,3 +36,8 @@ def op10(spark, sf_dir):
 @query("op4_language_id")
 def op4(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
