@@ -147,7 +147,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .join(F.broadcast(plan.select("source_no", "blocks")), "source_no")
              .withColumn("copy", F.floor(F.col("draw") / F.col("blocks")).cast("int"))
              .withColumn("block", permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.col("factor"), key)))
-    draws = drawn.select("shard", "source_no", "copy", "block").join(pieces, ["source_no", "block"])
+    drawn = drawn.select("shard", "source_no", "copy", "block").hint("merge")  # grows with the corpus: never broadcast
+    draws = drawn.join(pieces, ["source_no", "block"])
     draws = draws.select("shard", F.xxhash64(F.lit(seed + 1), "source_no", "copy", "block", "word_from").alias("place"),
                          "row_id", "copy", "word_from", "word_to")
     return rows, plan, draws
