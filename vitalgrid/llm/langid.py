@@ -94,14 +94,13 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) ->
     return near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= PER_LANG).select("lang", "text", "r")
 
 
-@F.pandas_udf("binary")
 def packed_presence(texts: pd.Series) -> pd.Series:
     """Presence bits of whole texts: DIM / 8 bytes whatever the length."""
     return pd.Series([np.packbits(batch([t]) > 0).tobytes() for t in texts])
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
-    rows = training_rows(docs, id_col, text_col, lang_col).select("lang", "r", packed_presence("text").alias("bits"))
+    rows = training_rows(docs, id_col, text_col, lang_col).select("lang", "r", F.pandas_udf(packed_presence, "binary")("text").alias("bits"))
     got = sorted(rows.collect(), key=lambda r: (r["lang"], r["r"]))
     x = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), DIM // 8), axis=1)
     x = x.astype(np.float32)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from vitalgrid.llm import exact_dedup, langid, mixing, toxicity
+from vitalgrid.llm import exact_dedup, langid, mixing, pii, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -41,3 +41,8 @@ def op4(spark, sf_dir):
 @query("op6_toxicity")
 def op6(spark, sf_dir):
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_personal_data")
+def op2(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))

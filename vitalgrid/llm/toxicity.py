@@ -61,7 +61,6 @@ def fit(docs: list[list[int]], grades: np.ndarray, words: int) -> tuple[np.ndarr
     return w, gaps[0] + np.concatenate([[0], np.cumsum(np.exp(gaps[1:]))])
 
 
-@F.pandas_udf("array<string>")
 def vocabulary_words(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: sorted(words_of(t)))
 
@@ -78,7 +77,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[dict, np.ndarray]:
-    rows = stored(training_rows(docs, labels, id_col, text_col).select("y", "r", vocabulary_words("text").alias("words")),
+    rows = stored(training_rows(docs, labels, id_col, text_col).select("y", "r", F.pandas_udf(vocabulary_words, "array<string>")("text").alias("words")),
                   "toxicity-sample")
     n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if len(n) < 2:
