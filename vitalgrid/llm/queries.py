@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from vitalgrid.llm import exact_dedup, langid, mixing, pii, toxicity
+from pyspark.sql import functions as F
+
+from vitalgrid.llm import exact_dedup, langid, mixing, neighbours, pii, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -46,3 +48,16 @@ def op6(spark, sf_dir):
 @query("op2_personal_data")
 def op2(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op7_nearest_neighbours", """
+    with v as (select vec_id, embedding::double[] as e from embeddings
+               where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                   and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    p as (select a.vec_id as query_id, b.vec_id,
+              list_reduce(list_transform(generate_series(1, len(a.e)), lambda i: a.e[i] * b.e[i]), lambda x, y: x + y) as score
+          from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+    r as (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from p)
+    select query_id, rank, vec_id, score from r where rank <= 20""")
+def op7(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
