@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, langid, mixing, neighbours, pii, toxicity
+from vitalgrid.llm import exact_dedup, langid, line_templates, mixing, neighbours, pii, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -61,3 +61,8 @@ def op2(spark, sf_dir):
     select query_id, rank, vec_id, score from r where rank <= 20""")
 def op7(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_line_templates")
+def op3(spark, sf_dir):
+    return line_templates.dedup_lines(table(spark, sf_dir, "documents"))
