@@ -68,8 +68,11 @@ def vocabulary_words(texts: pd.Series) -> pd.Series:
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """At most PER_LABEL texts of either label by a hash order; a document with several labels is toxic if one says so."""
     marked = (labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("g_id"))
-              .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("y")).withColumn("place", F.xxhash64("g_id", F.lit(5))))
-    chosen = (marked.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("place", "g_id")))
+              .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("y")).withColumn("place", F.pmod(F.xxhash64("g_id", F.lit(5)), F.lit(1 << 20))))
+    counts = marked.groupBy(F.col("y").alias("c_y")).agg(F.count("*").alias("n"))
+    near = (marked.join(F.broadcast(counts), F.col("y") == F.col("c_y"))  # two rows; leaves about twice the bound to rank
+            .filter(F.col("place") * F.col("n") < 2 * PER_LABEL * (1 << 20)))
+    chosen = (near.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("place", "g_id")))
               .filter(F.col("r") <= PER_LABEL))
     ids = F.broadcast(chosen.select("g_id", "y", "r"))  # 2 * PER_LABEL ids at most
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, F.col("id") == F.col("g_id"))
