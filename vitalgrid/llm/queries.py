@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, langid, line_templates, mixing, neighbours, pii, toxicity
+from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, pii, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -66,3 +66,20 @@ def op7(spark, sf_dir):
 @query("op3_line_templates")
 def op3(spark, sf_dir):
     return line_templates.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op5_merkle_fixity", """
+    with r as (select page_id, concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Target-URI: ',
+            coalesce(url, ''), chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ',
+            strlen(coalesce(html, '')), chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)) as rec,
+            substr(sha256(page_id::varchar), 1, 2) as fate from pages),
+    m as (select *, length(rec) // 2 as mid from r where fate in ('00', '01', '02'))
+    select page_id, strlen(rec) as length, case when fate = '02' then 'missing' else 'changed' end as status,
+        sha256(rec) as sha256_expected,
+        case fate when '00' then sha256(concat(substr(rec, 1, mid), case when substr(rec, mid + 1, 1) = '#' then '$' else '#' end,
+                                               substr(rec, mid + 2)))
+                  when '01' then sha256(substr(rec, 1, mid)) end as sha256_found
+    from m""")
+def op5(spark, sf_dir):
+    found = fixity.audited(table(spark, sf_dir, "pages"))
+    return found.select("page_id", (F.col("hi") - F.col("lo")).alias("length"), "status", "sha256_expected", "sha256_found")
