@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, pii, toxicity
+from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pii, toxicity
 from vitalgrid.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -83,3 +83,8 @@ def op3(spark, sf_dir):
 def op5(spark, sf_dir):
     found = fixity.audited(table(spark, sf_dir, "pages"))
     return found.select("page_id", (F.col("hi") - F.col("lo")).alias("length"), "status", "sha256_expected", "sha256_found")
+
+
+@query("op9_ngram_join")
+def op9(spark, sf_dir):
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
