@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pii, toxicity
+from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pieces, pii, toxicity
 from vitalgrid.llm.common import table
 
+#: A public byte-pair model with byte fallback.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
@@ -88,3 +91,10 @@ def op5(spark, sf_dir):
 @query("op9_ngram_join")
 def op9(spark, sf_dir):
     return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
+@query("op1_sentencepiece")
+def op1(spark, sf_dir):
+    model = pieces.Model.load(PIECE_MODEL)
+    coded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return coded.withColumn("decoded_sha256", F.sha2(pieces.decoded(F.col("ids"), model), 256))
