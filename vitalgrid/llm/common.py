@@ -22,8 +22,8 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     return [F.col(id_col).alias("k_id"), F.xxhash64(text_col).alias("k_text")]
 
 
-def rows_with(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose ``row_key`` is in ``keys`` (k_id, k_text), with their own columns; null ids match."""
-    own = docs.withColumn("k_text_", F.xxhash64(text_col))
-    return own.join(keys, own[id_col].eqNullSafe(keys["k_id"]) & (own["k_text_"] == keys["k_text"]),
-                    "left_semi").select(*docs.columns)
+def rows_without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is not in ``keys`` (k_id, k_text), with their own columns; null ids match."""
+    own = docs.select(F.struct(*docs.columns).alias("row_"), *[c.alias(f"own_{n}") for c, n in zip(row_key(id_col, text_col), ("id", "text"))])
+    return own.join(keys, F.col("own_id").eqNullSafe(F.col("k_id")) & (F.col("own_text") == F.col("k_text")),
+                    "left_anti").select("row_.*")

@@ -21,6 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vitalgrid.llm.common import rows_without
 from vitalgrid.llm.components import components
 from vitalgrid.session import stored
 
@@ -99,12 +100,12 @@ def described(docs: DataFrame) -> DataFrame:
                 rows.append((len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None,
                              np.packbits(bits.astype(np.uint8)).view(np.int64)))
             out = pd.DataFrame(rows, columns=["n", "cls", "bits"])
-            yield out.assign(doc_id=pdf["doc_id"].astype("Int64"), cell=pd.array([None] * len(out), "Int32"), counts=None)
+            yield out.assign(doc_id=pdf["doc_id"].astype("Int64"), k_text=pdf["k_text"], cell=pd.array([None] * len(out), "Int32"), counts=None)
         cells = _cells(counts)
-        yield cells.assign(doc_id=pd.array([None] * len(cells), "Int64"), n=pd.array([None] * len(cells), "Int64"), cls=None,
-                           bits=None)
+        yield cells.assign(doc_id=pd.array([None] * len(cells), "Int64"), k_text=pd.array([None] * len(cells), "Int64"),
+                           n=pd.array([None] * len(cells), "Int64"), cls=None, bits=None)
 
-    return docs.mapInPandas(read, "doc_id long, n long, cls binary, bits array<long>, cell int, counts binary")
+    return docs.mapInPandas(read, "doc_id long, k_text long, n long, cls binary, bits array<long>, cell int, counts binary")
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -200,18 +201,20 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels) ->
             .filter(100 * F.col("common") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b"))
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of each row.
+def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, k_text (hash of the text), n_shingles, component_id, stays of each row.
 
     Null and wordless texts have no shingles and are their own component. Ids are integers; the smallest one of a
-    component names it, null ids last. Rows that repeat one another share a class. Other columns are not looked at.
+    component names it, null ids last. The rows of that id stay (of several texts with it, the one of smallest hash).
+    Rows that repeat one another are one document. Other columns are not looked at; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(text_col).alias("k_text"))
     told = stored(described(texts), "ngram-documents")
     levels = spark.sparkContext.broadcast(levels_of(gathered(
         told.filter("cell is not null").select("cell", "counts"), COUNTERS, np.uint32)))
-    rows = told.filter("cell is null").select("doc_id", "n", "cls", "bits")
+    rows = told.filter("cell is null").select("doc_id", "k_text", "n", "cls", "bits")
     classes = stored(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                              F.first("bits").alias("bits")), "ngram-classes")
     placed = (prefixes(texts, levels).groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -234,8 +237,23 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     links = stored(links.union(confirmed(stored(more, "ngram-more"), classes, texts, levels)), "ngram-links")
     roots = components(links)
-    rooted = rows.select("doc_id", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
-    rooted = stored(rooted.select("doc_id", "n", F.coalesce("root", "cls").alias("root")), "ngram-rooted")
-    named = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("first_id"))
-    return (rooted.join(named, "root", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("first_id", "doc_id").alias("component_id")))
+    rooted = rows.select("doc_id", "k_text", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
+    rooted = stored(rooted.select("doc_id", "k_text", "n", F.coalesce("root", "cls").alias("root")), "ngram-rooted")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k_text")
+    homes = rooted.filter("root is not null").groupBy("root").agg(F.min(place).alias("home"))
+    alone = F.col("home").isNull()
+    return (rooted.join(homes, "root", "left")
+            .select("doc_id", "k_text", F.col("n").alias("n_shingles"),
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("home.doc_id")).alias("component_id"),
+                    (alone | (place == F.col("home"))).alias("stays")))
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of each row; see ``joined``."""
+    return joined(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with their columns."""
+    gone = joined(docs, id_col, text_col).filter(~F.col("stays")).select(F.col("doc_id").alias("k_id"), "k_text").distinct()
+    return rows_without(docs, gone, id_col, text_col)
