@@ -8,6 +8,9 @@ document and dropped from the others. DataFrame functions only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.llm.common import row_key
@@ -28,8 +31,12 @@ KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf."""
     cut = docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    masked = cut.select(*KEY, "line_no", F.trim(F.regexp_replace(F.regexp_replace("line", DIGIT_TOKEN, FIELD), r"\s+", " "))
-                        .alias("masked"))
+    # most lines have neither digits nor white space but single spaces: the replacements are spared them
+    fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGIT_TOKEN, FIELD)).otherwise(F.col("line"))
+    uneven = reduce(or_, [F.col("line").contains(c) for c in ("  ", "\t", "\r", "\x0b", "\f")])
+    masked = (cut.select(*KEY, "line_no", uneven.alias("uneven"), fields.alias("line"))
+              .select(*KEY, "line_no", F.trim(F.when(F.col("uneven"), F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line")))
+                      .alias("masked")))
     tokens = masked.withColumn("tokens", F.split("masked", " ")).filter(F.size("tokens") >= LEAST_TOKENS)
     return tokens.select(*KEY, "line_no", "masked", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
                          F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
@@ -66,10 +73,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                    .join(crowd.groupBy("leaf", *LINE).agg(F.min("masked").alias("masked")), ["leaf", *LINE]), "template-known", "zstd")
     made = templates(known).select(*LINE, F.xxhash64("template").alias("t1"), F.xxhash64(F.lit(1), "template").alias("t2"))
     where = stored(held.select(*LINE, *KEY).join(made, LINE), "template-where", "zstd")
-    first = (where.groupBy("t1", "t2", *KEY).agg(F.lit(1).alias("one"))
+    first = stored(where.groupBy("t1", "t2", *KEY).agg(F.lit(1).alias("one"))
              .groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min(F.struct(F.col("k_id").isNull(), "k_id", "k_text")).alias("home"))
              .filter(F.col("n") >= LEAST_DOCS)
-             .select("t1", "t2", F.col("home.k_id").alias("home_id"), F.col("home.k_text").alias("home_text")))
+             .select("t1", "t2", F.col("home.k_id").alias("home_id"), F.col("home.k_text").alias("home_text")), "template-first")
     again = (where.join(first, ["t1", "t2"])
              .filter(~(F.col("k_id").eqNullSafe(F.col("home_id")) & F.col("k_text").eqNullSafe(F.col("home_text"))))
              .select(F.col("k_id").alias("d_id"), F.col("k_text").alias("d_text"), *LINE))
