@@ -29,7 +29,7 @@ KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf."""
+    """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf (null if too short)."""
     cut = docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
     # most lines have neither digits nor white space but single spaces: the replacements are spared them
     fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGIT_TOKEN, FIELD)).otherwise(F.col("line"))
@@ -37,9 +37,10 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     masked = (cut.select(*KEY, "line_no", uneven.alias("uneven"), fields.alias("line"))
               .select(*KEY, "line_no", F.trim(F.when(F.col("uneven"), F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line")))
                       .alias("masked")))
-    tokens = masked.withColumn("tokens", F.split("masked", " ")).filter(F.size("tokens") >= LEAST_TOKENS)
+    tokens = masked.withColumn("tokens", F.split("masked", " "))
     return tokens.select(*KEY, "line_no", "masked", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
-                         F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
+                         F.when(F.size("tokens") >= LEAST_TOKENS, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
+                         .alias("leaf"))
 
 
 def templates(known: DataFrame) -> DataFrame:
@@ -62,7 +63,8 @@ def templates(known: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """k_id, k_text, line_no of each line whose template has an earlier document; documents are ordered by id, null last."""
-    every = stored(lines(docs, id_col, text_col), "template-lines", "zstd")
+    # filtered once stored: a filter before that would be pushed down and mask every line twice
+    every = stored(lines(docs, id_col, text_col), "template-lines", "zstd").filter("leaf is not null")
     # a leaf of one document cannot hold a recurring template
     busy = (every.groupBy("leaf").agg(F.count("*").alias("n"), F.min("k_text").alias("a"), F.max("k_text").alias("b"),
                                       F.min("k_id").alias("c"), F.max("k_id").alias("d"))
