@@ -23,11 +23,11 @@ See a professional if anomalies get frequent or severe, if a trend keeps worseni
 DISCLAIMER
 This report is for information only. It is no medical diagnosis and no treatment advice."""
 
-# Short causes per kind of metric.
-CAUSES = (("heart", "exercise, stress, caffeine, or a heart condition if it repeats"),
-          ("step", "very active days, sick or rest days, travel, or a change of routine"),
-          ("sleep", "stress, late work, travel, illness, or a shifted schedule"))
-OTHER_CAUSE = "values far from the usual pattern; compare them with recent activities"
+# What a reader may check first, by a word of the metric's name.
+CAUSES = (("heart", "sport, coffee, worry or fever on those days; ask a doctor if they come back"),
+          ("step", "long walks, journeys, illness or days off"),
+          ("sleep", "late evenings, journeys, illness or worry"))
+OTHER_CAUSE = "what else happened on those days"
 
 
 def lines(*parts) -> Column:
@@ -70,21 +70,21 @@ def metric_block(facts: DataFrame) -> DataFrame:
     heart = lines(
         text("Health Status: ", L.heart_status(mean), " at ", fixed(mean, 1), " bpm; 60-100 bpm is normal at rest."),
         score, text("- Pattern: ", either(L.is_stable(std, mean, 0.15), "stable", "variable")),
-        text("- Recent trend: ", either(trend < 0, "Improving cardiovascular fitness",
-                                        "Increased stress or activity")),
+        text("- Recent trend: ", either(trend < 0, "beats per minute are going down",
+                                        "beats per minute are not going down")),
         F.when(L.heart_emergency(mean), text("[EMERGENCY ALERT] Readings of ", fixed(F.col("min"), 0), "-",
                                              fixed(F.col("max"), 0), " bpm need a professional's attention.")))
     steps = lines(
         text("Activity Level: ", L.activity_level(mean), " at ", fixed(mean, 0),
              " steps per day; 10,000 are recommended."),
-        score, text("- Pattern: ", either(L.is_stable(std, mean, 0.25), "Regular and consistent", "Highly variable")),
-        text("- Recent trend: ", either(trend > 0, "Increasing physical activity", "Declining activity levels")))
+        score, text("- Pattern: ", either(L.is_stable(std, mean, 0.25), "even from day to day", "uneven from day to day")),
+        text("- Recent trend: ", either(trend > 0, "more steps than the week before", "no more steps than the week before")))
     sleep = lines(
         text("Sleep Quality: ", L.sleep_quality(mean), " at ", fixed(mean, 1),
              " hours per night; 7-9 are recommended."),
-        score, text("- Pattern: ", either(L.is_stable(std, mean, 0.15), "Very stable sleep schedule",
-                                          "Irregular sleep patterns")),
-        text("- Recent trend: ", either(trend > 0, "Improving sleep duration", "Declining sleep hours")))
+        score, text("- Pattern: ", either(L.is_stable(std, mean, 0.15), "nights of much the same length",
+                                          "nights of differing length")),
+        text("- Recent trend: ", either(trend > 0, "longer nights than the week before", "nights no longer than the week before")))
     story = (F.when(kind.contains("heart"), heart).when(kind.contains("step"), steps)
              .when(kind.contains("sleep"), sleep))
     return facts.withColumn("block", lines(head, story))
@@ -113,7 +113,7 @@ def anomaly_section(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
         F.array_sort(F.collect_list("_e")).alias("_list"))
     body = F.when(F.size("_list") > 0, lines(
         "Top Recent Anomalies:", F.array_join(F.transform("_list", lambda e: e["line"]), "\n"))
-    ).otherwise("No significant anomalies detected. Patterns appear stable.")
+    ).otherwise("No day stands out.")
     share = fixed(F.col("anomalies") / F.col("_n") * 100, 2)
     return counts.select(*keys, "anomalies", lines(
         text("Metric: ", metric_title(F.col("metric"))),
@@ -170,26 +170,26 @@ def insight_card(flagged: DataFrame, keys=KEYS) -> DataFrame:
     kind = F.lower("metric")
     week = stats.recent_extremes(daily_df.where(kind.contains("step")), keys=keys)
     week = week.select(*keys, lines(
-        text("Steps weekly pattern (last ", F.col("days").cast("string"), " days):"),
-        text("- Highest steps on ", weekday_name(F.col("max_ds")), " (", thousands(F.col("max_y")), " steps)."),
-        text("- Lowest steps on ", weekday_name(F.col("min_ds")), " (", thousands(F.col("min_y")), " steps).")
+        text("Steps in the last ", F.col("days").cast("string"), " days:"),
+        text("- most on ", weekday_name(F.col("max_ds")), " (", thousands(F.col("max_y")), ")"),
+        text("- fewest on ", weekday_name(F.col("min_ds")), " (", thousands(F.col("min_y")), ")")
     ).alias("_week"))
     slept = daily_df.where(kind.contains("sleep"))
     hi, lo = F.col("max_hours"), F.col("min_hours")
     nights = stats.weekday_pattern(slept, keys).join(stats.recent_trend(slept, keys), list(keys)).select(
         *keys, lines(
-            "Sleep weekday pattern (average):",
-            F.when(F.abs(hi - lo) < 0.25, text("- Sleep duration is similar across weekdays (~",
-                                               fixed((hi + lo) / 2, 1), " hours per night)."))
-            .otherwise(lines(text("- Most sleep on ", F.col("max_weekday"), " (~", fixed(hi, 1), " hours)."),
-                             text("- Least sleep on ", F.col("min_weekday"), " (~", fixed(lo, 1), " hours)."))),
+            "Sleep by weekday:",
+            F.when(F.abs(hi - lo) < 0.25, text("- near the same on every weekday: ",
+                                               fixed((hi + lo) / 2, 1), " hours"))
+            .otherwise(lines(text("- longest on ", F.col("max_weekday"), ": ", fixed(hi, 1), " hours"),
+                             text("- shortest on ", F.col("min_weekday"), ": ", fixed(lo, 1), " hours"))),
             F.when(F.col("n") >= 14, L.sleep_trend_text(F.col("recent_trend")))).alias("_nights"))
     joined = counts.join(week, list(keys), "left").join(nights, list(keys), "left")
     return joined.select(*keys, lines(
-        text("Summary: ", F.col("n_anom").cast("string"), " anomalies detected:"),
+        text("Flagged days: ", F.col("n_anom").cast("string")),
         text("- High: ", F.col("n_high").cast("string")), text("- Medium: ", F.col("n_medium").cast("string")),
         text("- Low: ", F.col("n_low").cast("string")), "",
-        text("Possible reasons: ", likely_cause(F.col("metric"))),
+        text("Look first at: ", likely_cause(F.col("metric"))),
         F.col("_week"), F.col("_nights")).alias("card"))
 
 

@@ -45,18 +45,18 @@ BLOCK = f"""blocks as (select user_id, metric, concat_ws({NL}, 'Metric: ' || {TI
       'Health Status: ' || case when mean > 100 then 'Elevated' when mean >= 60 then 'Normal' else 'Low' end || ' at ' || {f('mean', 1)}
         || ' bpm; 60-100 bpm is normal at rest.', {_SCORE},
       '- Pattern: ' || {_either('std < mean * 0.15', 'stable', 'variable')},
-      '- Recent trend: ' || {_either('trend < 0', 'Improving cardiovascular fitness', 'Increased stress or activity')},
+      '- Recent trend: ' || {_either('trend < 0', 'beats per minute are going down', 'beats per minute are not going down')},
       case when mean > 120 or mean < 40 then '[EMERGENCY ALERT] Readings of ' || {f('min', 0)} || '-' || {f('max', 0)}
         || ' bpm need a professional''s attention.' end)
     when 'steps' then concat_ws({NL}, 'Activity Level: ' || case when mean < 5000 then 'Sedentary' when mean < 7500 then 'Low Active'
         when mean < 10000 then 'Somewhat Active' when mean < 12500 then 'Active' else 'Very Active' end || ' at ' || {f('mean', 0)}
         || ' steps per day; 10,000 are recommended.', {_SCORE},
-      '- Pattern: ' || {_either('std < mean * 0.25', 'Regular and consistent', 'Highly variable')},
-      '- Recent trend: ' || {_either('trend > 0', 'Increasing physical activity', 'Declining activity levels')})
+      '- Pattern: ' || {_either('std < mean * 0.25', 'even from day to day', 'uneven from day to day')},
+      '- Recent trend: ' || {_either('trend > 0', 'more steps than the week before', 'no more steps than the week before')})
     when 'sleep' then concat_ws({NL}, 'Sleep Quality: ' || case when mean < 6 then 'Poor' when mean < 7 then 'Good'
         when mean <= 9 then 'Excellent' else 'Too Much' end || ' at ' || {f('mean', 1)} || ' hours per night; 7-9 are recommended.', {_SCORE},
-      '- Pattern: ' || {_either('std < mean * 0.15', 'Very stable sleep schedule', 'Irregular sleep patterns')},
-      '- Recent trend: ' || {_either('trend > 0', 'Improving sleep duration', 'Declining sleep hours')}) end) as block from facts)"""
+      '- Pattern: ' || {_either('std < mean * 0.15', 'nights of much the same length', 'nights of differing length')},
+      '- Recent trend: ' || {_either('trend > 0', 'longer nights than the week before', 'nights no longer than the week before')}) end) as block from facts)"""
 
 SECTION = f"""{MOMENTS.format(t='body')}, marked as (select *, coalesce(y < mean - 2.5 * std or y > mean + 2.5 * std, false) as hit from moments),
   listed as (select *, case when hit then row_number() over (partition by user_id, metric, hit order by ds desc) end as k from marked),
@@ -64,7 +64,7 @@ SECTION = f"""{MOMENTS.format(t='body')}, marked as (select *, coalesce(y < mean
      'Anomalies Detected: ' || count(*) filter (where hit), 'Percentage of Data: ' || {f('100.0 * count(*) filter (where hit) / count(*)', 2)} || '%',
      case when count(*) filter (where hit) > 0 then 'Top Recent Anomalies:' || {NL} || string_agg(k || '. Date: ' || strftime(ds, '%Y-%m-%d')
        || ', Value: ' || {f('y', 2)} || ' ' || {UNIT} || ', Deviation: ' || {f('(y - mean) / std', 2)} || ' std_dev from mean', {NL} order by k)
-       filter (where k <= 5) else 'No significant anomalies detected. Patterns appear stable.' end) as section
+       filter (where k <= 5) else 'No day stands out.' end) as section
     from listed group by user_id, metric)"""
 
 
@@ -112,22 +112,22 @@ _COUNT = "'{}' || count(*) filter (where is_anom and severity = '{}')"
 
 
 @query("k6_insight_card", f"""with {Q.DAILY}, {scored_sql()}, {mode_sql('bal', E.BALANCED)},
-  cards as (select user_id, metric, concat_ws({NL}, 'Summary: ' || count(*) filter (where is_anom) || ' anomalies detected:',
+  cards as (select user_id, metric, concat_ws({NL}, 'Flagged days: ' || count(*) filter (where is_anom),
      {_COUNT.format('- High: ', 'High')}, {_COUNT.format('- Medium: ', 'Medium')}, {_COUNT.format('- Low: ', 'Low')}, '',
-     'Possible reasons: ' || {_CAUSE}) as head from bal group by user_id, metric having count(*) filter (where is_anom) > 0),
+     'Look first at: ' || {_CAUSE}) as head from bal group by user_id, metric having count(*) filter (where is_anom) > 0),
   k as (select *, row_number() over (partition by user_id, metric order by ds desc) as back from bal),
-  week as (select user_id, metric, 'Steps weekly pattern (last ' || count(*) || ' days):' || {NL} || '- Highest steps on '
-     || dayname(first(ds order by y desc, ds)) || ' (' || format('{{:,}}', cast(floor(max(y) + 0.5 + 1e-9) as bigint)) || ' steps).' || {NL}
-     || '- Lowest steps on ' || dayname(first(ds order by y, ds)) || ' (' || format('{{:,}}', cast(floor(min(y) + 0.5 + 1e-9) as bigint))
-     || ' steps).' as line from k where metric = 'steps' and back <= 7 group by user_id, metric),
+  week as (select user_id, metric, 'Steps in the last ' || count(*) || ' days:' || {NL} || '- most on '
+     || dayname(first(ds order by y desc, ds)) || ' (' || format('{{:,}}', cast(floor(max(y) + 0.5 + 1e-9) as bigint)) || ')' || {NL}
+     || '- fewest on ' || dayname(first(ds order by y, ds)) || ' (' || format('{{:,}}', cast(floor(min(y) + 0.5 + 1e-9) as bigint))
+     || ')' as line from k where metric = 'steps' and back <= 7 group by user_id, metric),
   wd as (select user_id, metric, dayname(ds) as wd, avg(y) as m from bal where metric = 'sleep' group by all),
   wx as (select user_id, metric, first(wd order by m desc, wd) as a, first(wd order by m, wd) as b,
      case when max(m) > 24 then max(m) / 60 else max(m) end as hi, case when max(m) > 24 then min(m) / 60 else min(m) end as lo from wd group by all),
   tr as (select user_id, metric, count(*) as n, avg(y) filter (where back <= 7) - avg(y) filter (where back between 8 and 14) as d
      from k where metric = 'sleep' group by all),
-  nights as (select user_id, metric, concat_ws({NL}, 'Sleep weekday pattern (average):', case when abs(hi - lo) < 0.25
-     then '- Sleep duration is similar across weekdays (~' || {f('(hi + lo) / 2', 1)} || ' hours per night).'
-     else '- Most sleep on ' || a || ' (~' || {f('hi', 1)} || ' hours).' || {NL} || '- Least sleep on ' || b || ' (~' || {f('lo', 1)} || ' hours).' end,
+  nights as (select user_id, metric, concat_ws({NL}, 'Sleep by weekday:', case when abs(hi - lo) < 0.25
+     then '- near the same on every weekday: ' || {f('(hi + lo) / 2', 1)} || ' hours'
+     else '- longest on ' || a || ': ' || {f('hi', 1)} || ' hours' || {NL} || '- shortest on ' || b || ': ' || {f('lo', 1)} || ' hours' end,
      case when n >= 14 then case when abs(d) < 0.1 then 'Sleep duration is relatively stable over recent weeks.'
        when d > 0 then 'Sleep duration is increasing in the most recent week.' else 'Sleep duration is decreasing in the most recent week.' end end) as line
      from wx join tr using (user_id, metric))
