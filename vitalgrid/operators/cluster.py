@@ -23,7 +23,9 @@ def plane(df: DataFrame, keys=KEYS) -> DataFrame:
             .withColumn("p", (F.row_number().over(w) - 1) / F.col("n")))
 
 
-def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int) -> pd.DataFrame:
+def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int, min_points: int) -> pd.DataFrame:
+    if len(pdf) < min_points or not pdf["std"].iloc[0] > 0:
+        return pdf.assign(cluster=pd.array([None] * len(pdf), "Int32"), cluster_size=len(pdf))
     pdf = pdf.sort_values(["z", "ds"])
     xy = pdf[["z", "p"]].to_numpy()
     n = len(xy)
@@ -39,16 +41,16 @@ def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int) -> pd.DataFrame:
 
 
 def small_clusters(points: DataFrame, clusters: int = 4, iterations: int = 10, share: float = SMALL_SHARE,
-                   keys=KEYS) -> DataFrame:
+                   min_points: int = 2, keys=KEYS) -> DataFrame:
     """K-means per series; ``is_small`` marks clusters with under ``share`` of the rows.
 
     Centres start at evenly spaced ranks of ``z``. Grouped pandas on the series
-    key the points are already partitioned by; a group is one daily series of at
-    least two points.
+    key the points are already partitioned by; a group is one daily series. A
+    series that is constant or has under ``min_points`` stays without clusters.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
     labelled = points.groupBy(*keys).applyInPandas(
-        lambda pdf: _lloyd(pdf, clusters, iterations), f"{fields}, cluster int, cluster_size long")
+        lambda pdf: _lloyd(pdf, clusters, iterations, min_points), f"{fields}, cluster int, cluster_size long")
     return labelled.withColumn("is_small", F.col("cluster_size") < F.col("n") * share)
 
 

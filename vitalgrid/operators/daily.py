@@ -30,10 +30,9 @@ def canonical(df: DataFrame, keys=KEYS, ds: str = "ds", y: str = "y") -> DataFra
             .dropna(subset=["date", "value"]))
 
 
-def first_file_wins(files: DataFrame, ordinal: str = "file_ordinal", keys=KEYS, max_files: int = 6) -> DataFrame:
-    """One value per day: that of the earliest file holding the day."""
-    return (files.where(F.col(ordinal) < max_files)
-            .groupBy(*keys, "ds").agg(F.min_by("y", ordinal).alias("y")))
+def first_file_wins(files: DataFrame, ordinal: str = "file_ordinal", keys=KEYS) -> DataFrame:
+    """One value per day: that of the earliest file holding the day, however many files there are."""
+    return files.groupBy(*keys, "ds").agg(F.min_by("y", ordinal).alias("y"))
 
 
 def last_of_day(df: DataFrame, ts: str = "ts", tie: str = "event_id", keys=KEYS) -> DataFrame:
@@ -60,9 +59,10 @@ def value_on(daily_df: DataFrame, as_of, keys=KEYS) -> DataFrame:
         F.max(F.when(F.col("ds") == at, F.col("y"))).alias("y"))
 
 
-def rows_on(df: DataFrame, as_of, keys=KEYS) -> DataFrame:
-    """How many rows of each series fall on one day."""
-    return df.groupBy(*keys).agg(F.count_if(F.col("ds") == F.lit(as_of).cast("date")).alias("n"))
+def rows_on(df: DataFrame, as_of, keys=KEYS, flag: str | None = None) -> DataFrame:
+    """How many (flagged) rows of each series fall on one day; a series without any has 0."""
+    hit = F.col("ds") == F.lit(as_of).cast("date")
+    return df.groupBy(*keys).agg(F.count_if(hit & F.col(flag) if flag else hit).alias("n"))
 
 
 def event_of(day_number: Column, calendar=HOLIDAY_DAYS) -> Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.functions.scalars import date_range
 from vitalgrid.operators import cluster, sigma
 from vitalgrid.schema import KEYS
+from vitalgrid.session import stored
 
 METHODS = (("threshold_anomaly", "Rule-Based"), ("residual_anomaly", "Model-Based"),
            ("cluster_anomaly", "Cluster-Based"))
@@ -92,13 +93,30 @@ def gate(daily_df: DataFrame, start=None, end=None, min_points: int = 5, keys=KE
     return window.withColumn("_n", n).where(F.col("_n") >= min_points).drop("_n")
 
 
-def detect_methods(daily_df: DataFrame, min_points: int = 20, keys=KEYS) -> DataFrame:
-    """Run the five methods on every series with enough points and some variance."""
-    base = sigma.moments(gate(daily_df, min_points=5, keys=keys), keys)
-    base = base.where((F.col("n") >= min_points) & (F.col("std") > 0))
-    noise = cluster.noise_points(cluster.plane(base, keys), keys=keys)
+# Points a series needs before its mean and spread, or its clusters and forecast, say anything.
+FEW, ENOUGH = 3, 20
+
+
+def method_status(n: Column, std: Column, min_points: int = ENOUGH) -> Column:
+    """Which of the five methods a series has points for."""
+    return (F.when(n < FEW, "too few points").when(F.coalesce(std, F.lit(0.0)) <= 0, "constant series")
+            .when(n < min_points, "outliers and spikes only").otherwise("all methods"))
+
+
+def detect_methods(daily_df: DataFrame, min_points: int = ENOUGH, keys=KEYS) -> DataFrame:
+    """The five methods on every series; all valid rows stay.
+
+    A method that lacks points or variance votes no, and ``method_status`` says
+    why. The daily table is read twice, so it is stored.
+    """
+    base = stored(sigma.moments(daily_df.where(F.col("y").isNotNull()), keys), "daily")
+    base = base.withColumn("method_status", method_status(F.col("n"), F.col("std"), min_points))
+    full, some = F.col("method_status") == "all methods", F.col("n") >= FEW
+    noise = cluster.noise_points(cluster.plane(base.where(full), keys), keys=keys)
     banded = sigma.band_breaches(sigma.spikes(sigma.outliers(base), keys=keys), min_points, keys)
-    clustered = cluster.small_clusters(cluster.plane(banded, keys), keys=keys)
+    judged = banded.withColumns({"is_outlier": F.col("is_outlier") & some, "is_spike": F.col("is_spike") & some,
+                                 "is_breach": F.col("is_breach") & full})
+    clustered = cluster.small_clusters(cluster.plane(judged, keys), min_points=min_points, keys=keys)
     return cluster.mark_noise(clustered, noise, keys)
 
 
@@ -142,6 +160,6 @@ def explain(df: DataFrame) -> DataFrame:
     return df.withColumn("explanation", F.when(F.col("is_anom"), text).otherwise(TEXT_UNFLAGGED))
 
 
-def detect(daily_df: DataFrame, mode: Sensitivity = BALANCED, min_points: int = 20, keys=KEYS) -> DataFrame:
+def detect(daily_df: DataFrame, mode: Sensitivity = BALANCED, min_points: int = ENOUGH, keys=KEYS) -> DataFrame:
     """The scored ensemble from daily series to explained, graded flags."""
     return explain(grade(flag(weigh(detect_methods(daily_df, min_points, keys), keys), mode), mode))

@@ -90,12 +90,12 @@ def metric_block(facts: DataFrame) -> DataFrame:
     return facts.withColumn("block", lines(head, story))
 
 
-def recent_outliers(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
-    """The latest outliers of each series, newest first, with their deviation."""
+def recent_outliers(daily_df: DataFrame, top: int | None = 5, keys=KEYS) -> DataFrame:
+    """The latest outliers of each series, newest first, with their deviation; all of them without ``top``."""
     flagged = sigma.deviation(sigma.outliers(sigma.moments(daily_df, keys))).where("is_outlier")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("ds").desc()))
-    return (flagged.withColumn("rank", rank).where(F.col("rank") <= top)
-            .select(*keys, "rank", "ds", "y", "deviation"))
+    ranked = flagged.withColumn("rank", rank).select(*keys, "rank", "ds", "y", "deviation")
+    return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
 def anomaly_section(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
@@ -161,11 +161,11 @@ def likely_cause(metric: Column) -> Column:
 
 
 def insight_card(flagged: DataFrame, keys=KEYS) -> DataFrame:
-    """Summary card of each series with flagged days: counts, causes, weekly or weekday pattern."""
+    """Summary card of each series: flagged days, causes, weekly or weekday pattern."""
     severe = lambda s: F.count_if(F.col("is_anom") & (F.col("severity") == s))
     counts = flagged.groupBy(*keys).agg(
         F.count_if("is_anom").alias("n_anom"), severe("High").alias("n_high"),
-        severe("Medium").alias("n_medium"), severe("Low").alias("n_low")).where(F.col("n_anom") > 0)
+        severe("Medium").alias("n_medium"), severe("Low").alias("n_low"))
     daily_df = flagged.select(*keys, "ds", "y")
     kind = F.lower("metric")
     week = stats.recent_extremes(daily_df.where(kind.contains("step")), keys=keys)

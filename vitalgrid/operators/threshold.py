@@ -94,7 +94,7 @@ def detect(df: DataFrame, rules: DataFrame, keys=KEYS, ts: str = "ts", value: st
 
     def reason(word: str, sign: str, limit: str):
         return F.concat(F.lit(f"{word} "), F.col("value_name"), F.lit(f" ({sign}"),
-                        F.format_string("%.0f", F.col(limit)), F.lit(")"))
+                        F.regexp_replace(F.col(limit).cast("string"), r"\.0$", ""), F.lit(")"))
 
     return flagged.select(
         *df.columns,

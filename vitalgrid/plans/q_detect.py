@@ -69,7 +69,7 @@ NOISE = """near as (select a.user_id, a.metric, a.ds, b.ds as other from {t} a j
     select (n.user_id, n.metric, n.ds) from near n join core c on n.user_id = c.user_id and n.metric = c.metric and n.other = c.ds))"""
 
 POINTS = """points as (select *, (y - mean) / (std + 1e-6) as z,
-  (row_number() over (partition by user_id, metric order by ds) - 1) / n as p from base)"""
+  (row_number() over (partition by user_id, metric order by ds) - 1) / n as p from base where n >= 20 and std > 0)"""
 
 
 # --- rule based ---------------------------------------------------------------------------------
@@ -88,7 +88,10 @@ def h1(spark, sf):
 def e10(spark, sf):
     flagged = T.detect(C.observed_minutes(spark, sf), T.rules_table(spark))
     report = stats.detector_report(flagged, "threshold_anomaly").drop("user_id")
-    return rounded(report, "anomaly_percentage")
+    # the labels' numbers are free, the sizes are not
+    sizes = F.array_sort(F.map_values(F.from_json("cluster_distribution", "map<string,bigint>")))
+    return rounded(report.withColumn("cluster_sizes", F.array_join(sizes.cast("array<string>"), ","))
+                   .drop("cluster_distribution"), "anomaly_percentage")
 
 
 # --- residuals ----------------------------------------------------------------------------------
@@ -150,9 +153,9 @@ def d2(spark, sf):
 
 @query("h3_daily_sigma_outliers", f"""with {Q.DAILY}, {MOMENTS.format(t='daily')}, o as (select *, row_number() over (
    partition by user_id, metric order by ds desc) as rank from moments where y < mean - 2.5 * std or y > mean + 2.5 * std)
-  select user_id, metric, rank, ds, {sr('y', 2)} as y, {sr('(y - mean) / std')} as deviation from o where rank <= 15""")
+  select user_id, metric, rank, ds, {sr('y', 2)} as y, {sr('(y - mean) / std')} as deviation from o""")
 def h3(spark, sf):
-    top = RP.recent_outliers(C.daily(spark, sf), top=15)
+    top = RP.recent_outliers(C.daily(spark, sf), top=None)
     return rounded(rounded(top.withColumn("rank", F.col("rank").cast("long")), "y", n=2), "deviation").orderBy(*KEYS, "rank")
 
 
@@ -178,24 +181,30 @@ def h5(spark, sf):
     return rounded(d.select(*KEYS, "ds", "yhat", "is_breach"), "yhat", n=2)
 
 
-BASE = f"""{MOMENTS.format(t='daily')}, base as (select * from moments where n >= 20 and std > 0), {POINTS}"""
+BASE = f"""{MOMENTS.format(t='daily')}, base as (select * from moments), {POINTS}"""
+STATUS = """case when n < 3 then 'too few points' when coalesce(std, 0) <= 0 then 'constant series'
+  when n < 20 then 'outliers and spikes only' else 'all methods' end"""
 
 
 def _points(spark, sf):
-    base = sigma.moments(C.daily(spark, sf)).where("n >= 20 and std > 0")
-    return CL.plane(base)
+    """All days as points; the clustering methods leave short and constant series without a verdict."""
+    return CL.plane(sigma.moments(C.daily(spark, sf)))
 
 
 @query("h6_kmeans_small_clusters", f"""with {Q.DAILY}, {BASE}, {kmeans_sql('points', 'km')}
-  select user_id, metric, ds, cluster, cluster_size, is_small from km""")
+  select user_id, metric, ds, cluster, coalesce(cluster_size, n) as cluster_size, coalesce(is_small, false) as is_small
+  from base left join km using (user_id, metric, ds)""")
 def h6(spark, sf):
-    return CL.small_clusters(_points(spark, sf)).select(*KEYS, "ds", "cluster", "cluster_size", "is_small")
+    return CL.small_clusters(_points(spark, sf), min_points=E.ENOUGH).select(
+        *KEYS, "ds", "cluster", "cluster_size", "is_small")
 
 
 @query("h7_dbscan_noise", f"""with {Q.DAILY}, {BASE}, {NOISE.format(t='points')} select user_id, metric, ds,
-  (user_id, metric, ds) in (select (user_id, metric, ds) from noise) as is_noise from points""")
+  (user_id, metric, ds) in (select (user_id, metric, ds) from noise) as is_noise, {STATUS} as method_status from base""")
 def h7(spark, sf):
-    return CL.flag_noise(_points(spark, sf)).select(*KEYS, "ds", "is_noise")
+    points = _points(spark, sf).withColumn("method_status", E.method_status(F.col("n"), F.col("std")))
+    noise = CL.noise_points(points.where("method_status = 'all methods'"))
+    return CL.mark_noise(points, noise).select(*KEYS, "ds", "is_noise", "method_status")
 
 
 # --- voted ensemble -----------------------------------------------------------------------------
@@ -227,7 +236,7 @@ def density_sql(source: str, name: str, by: str, eps: float, columns, min_sample
 
 
 ROW_ID = "dense_rank() over (order by user_id, metric, win)"
-VECTOR = ("mean", "std", "skew")
+VECTOR = FT.HANDCRAFTED
 
 
 def window_clusters(daily_df, eps: float = 0.5):
@@ -261,12 +270,17 @@ def h8(spark, sf):
 
 @query("h8_cluster_report", f"""with recursive {Q.DAILY}, {CLUSTERED} select user_id, count(distinct dbscan) as total_clusters,
   count(*) filter (where cluster_anomaly) as anomalies_detected,
-  {sr('100.0 * count(*) filter (where cluster_anomaly) / count(*)')} as anomaly_percentage from cluster_flags group by 1
-  having count(*) >= 3""")
+  {sr('100.0 * count(*) filter (where cluster_anomaly) / count(*)')} as anomaly_percentage,
+  (select string_agg(s::varchar, ',' order by s) from (select count(*) as s from cluster_flags x
+    where x.user_id = c.user_id group by dbscan)) as cluster_sizes from cluster_flags c group by 1 having count(*) >= 3
+  union all select user_id, 0, 0, 0.0, '' from cluster_flags group by 1 having count(*) < 3""")
 def h8_report(spark, sf):
     _, labelled = window_clusters(C.daily(spark, sf))
     report = CL.cluster_report(CL.flag_small(labelled, ("user_id",), "dbscan"), ("user_id",))
-    return rounded(report.drop("cluster_distribution").where("total_clusters > 0"), "anomaly_percentage")
+    # the labels' numbers are free, the sizes are not
+    sizes = F.array_sort(F.map_values(F.from_json("cluster_distribution", "map<string,bigint>")))
+    return rounded(report.withColumn("cluster_sizes", F.array_join(sizes.cast("array<string>"), ","))
+                   .drop("cluster_distribution"), "anomaly_percentage")
 
 
 def _lof_sql() -> str:
@@ -476,10 +490,12 @@ def g4(spark, sf):
 
 def scored_sql() -> str:
     return f"""{BASE}, {fit_sql('base', 'fit', FC.Z95)}, {kmeans_sql('points', 'km')}, {NOISE.format(t='points')},
-  five as (select b.user_id, b.metric, b.ds, b.y, b.y < b.mean - 2.5 * b.std or b.y > b.mean + 2.5 * b.std as is_outlier,
-      coalesce(b.y - lag(b.y) over w, 0) as change, abs(coalesce(b.y - lag(b.y) over w, 0)) > 2 * b.std as is_spike,
-      b.y < lo or b.y > hi as is_breach, is_small, noise.ds is not null as is_noise
-    from base b join fit using (user_id, metric, ds) join km using (user_id, metric, ds) left join noise using (user_id, metric, ds)
+  five as (select b.user_id, b.metric, b.ds, b.y, {STATUS} as method_status,
+      n >= 3 and coalesce(b.y < b.mean - 2.5 * b.std or b.y > b.mean + 2.5 * b.std, false) as is_outlier,
+      coalesce(b.y - lag(b.y) over w, 0) as change,
+      n >= 3 and coalesce(abs(coalesce(b.y - lag(b.y) over w, 0)) > 2 * b.std, false) as is_spike,
+      n >= 20 and b.std > 0 and (b.y < lo or b.y > hi) as is_breach, coalesce(is_small, false) as is_small, noise.ds is not null as is_noise
+    from (select * from base) b join (select user_id, metric, ds, lo, hi from fit) fit using (user_id, metric, ds) left join km using (user_id, metric, ds) left join noise using (user_id, metric, ds)
     window w as (partition by b.user_id, b.metric order by b.ds)),
   rated as (select *, is_outlier::int + is_spike::int + is_breach::int + is_small::int + is_noise::int as votes,
       0.4 * is_outlier::int + 0.3 * is_spike::int + 0.4 * is_breach::int + 0.3 * is_small::int + 0.4 * is_noise::int as raw from five),
@@ -501,10 +517,10 @@ def mode_sql(name: str, mode) -> str:
 
 
 @query("h14_scored_ensemble", f"""with {Q.DAILY}, {scored_sql()} select user_id, metric, ds, is_outlier, is_spike, is_breach,
-  is_small, is_noise, votes, {sr('score')} as score, type from scored""")
+  is_small, is_noise, votes, {sr('score')} as score, type, method_status from scored""")
 def h14(spark, sf):
     scored = E.weigh(E.detect_methods(C.daily(spark, sf)))
-    return rounded(scored.select(*KEYS, "ds", *E.WEIGHTS, "votes", "score", "type"), "score")
+    return rounded(scored.select(*KEYS, "ds", *E.WEIGHTS, "votes", "score", "type", "method_status"), "score")
 
 
 @query("h15_sensitivity_modes", f"""with {Q.DAILY}, {scored_sql()}, {mode_sql('bal', E.BALANCED)}, {mode_sql('more', E.CATCH_MORE)},
@@ -550,11 +566,10 @@ def g2(spark, sf):
     return rounded(rounded(top, "y", n=2), "deviation")
 
 
-@query("e23_anomalies_on_day", f"""with {Q.DAILY}, {MOMENTS.format(t='daily')}, o as (select * from moments
-   where y < mean - 2.5 * std or y > mean + 2.5 * std) select user_id, metric,
-   count(*) filter (where ds = date '2000-01-15') as n from o group by all""")
+@query("e23_anomalies_on_day", f"""with {Q.DAILY}, {MOMENTS.format(t='daily')}, o as (select *, coalesce(
+   y < mean - 2.5 * std or y > mean + 2.5 * std, false) as hit from moments) select user_id, metric,
+   count(*) filter (where hit and ds = date '2000-01-15') as n from o group by all""")
 def e23(spark, sf):
     from vitalgrid.operators.daily import rows_on
 
-    found = sigma.outliers(sigma.moments(C.daily(spark, sf))).where("is_outlier")
-    return rows_on(found, "2000-01-15")
+    return rows_on(sigma.outliers(sigma.moments(C.daily(spark, sf))), "2000-01-15", flag="is_outlier")

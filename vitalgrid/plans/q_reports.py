@@ -114,7 +114,7 @@ _COUNT = "'{}' || count(*) filter (where is_anom and severity = '{}')"
 @query("k6_insight_card", f"""with {Q.DAILY}, {scored_sql()}, {mode_sql('bal', E.BALANCED)},
   cards as (select user_id, metric, concat_ws({NL}, 'Flagged days: ' || count(*) filter (where is_anom),
      {_COUNT.format('- High: ', 'High')}, {_COUNT.format('- Medium: ', 'Medium')}, {_COUNT.format('- Low: ', 'Low')}, '',
-     'Look first at: ' || {_CAUSE}) as head from bal group by user_id, metric having count(*) filter (where is_anom) > 0),
+     'Look first at: ' || {_CAUSE}) as head from bal group by user_id, metric),
   k as (select *, row_number() over (partition by user_id, metric order by ds desc) as back from bal),
   week as (select user_id, metric, 'Steps in the last ' || count(*) || ' days:' || {NL} || '- most on '
      || dayname(first(ds order by y desc, ds)) || ' (' || format('{{:,}}', cast(floor(max(y) + 0.5 + 1e-9) as bigint)) || ')' || {NL}

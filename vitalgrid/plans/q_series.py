@@ -423,8 +423,8 @@ def threshold_sql(rules, source: str = "minutes") -> str:
   runs as (select *, hi and count(*) filter (where hi) over (partition by user_id, metric, hg order by ts) >= need as h,
       lo and count(*) filter (where lo) over (partition by user_id, metric, lg order by ts) >= need as l from isles),
   flagged as (select user_id, metric, ts, value, h or l as threshold_anomaly,
-      case when l then 'Low ' || value_name || ' (<' || cast(cast(low as bigint) as varchar) || ')'
-           when h then 'High ' || value_name || ' (>' || cast(cast(high as bigint) as varchar) || ')' else '' end as anomaly_reason,
+      case when l then 'Low ' || value_name || ' (<' || regexp_replace(low::double::varchar, '\.0$', '') || ')'
+           when h then 'High ' || value_name || ' (>' || regexp_replace(high::double::varchar, '\.0$', '') || ')' else '' end as anomaly_reason,
       case when l then 'Medium' when h then 'High' else 'Normal' end as severity from runs)"""
 
 

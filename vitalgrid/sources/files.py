@@ -79,9 +79,13 @@ def union_splits(train: DataFrame, test: DataFrame | None) -> DataFrame:
 
 
 def sources_per_metric(files: DataFrame, by=("metric",)) -> DataFrame:
-    """Sorted distinct file names per metric; files are few, rows are not, so names dedupe first."""
-    return (files.select(*by, "file_name").distinct().groupBy(*by)
-            .agg(F.array_join(F.array_sort(F.collect_list("file_name")), ", ").alias("sources")))
+    """The files each metric comes from, one row a file."""
+    return files.select(*by, "file_name").distinct()
+
+
+def joined_sources(sources: DataFrame, by=("metric",)) -> DataFrame:
+    """The file names of ``sources_per_metric`` as one sorted text, for reports over few files."""
+    return sources.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list("file_name")), ", ").alias("sources"))
 
 
 def sample_rows(df: DataFrame, n: int, source: str, order_hash, tie: str, salts: int = 64) -> DataFrame:

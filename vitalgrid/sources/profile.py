@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def null_counts(df: DataFrame, top: int = 20) -> DataFrame:
-    """Type and number of nulls of each column, most nulls first; one pass over the data."""
+def null_counts(df: DataFrame, top: int | None = None) -> DataFrame:
+    """Type and number of nulls of each column, most nulls first (the first ``top``, if given); one pass."""
     counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
     rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
                               F.col(f"`{f.name}`").alias("nulls")) for f in df.schema])
-    return counts.select(F.inline(rows)).orderBy(F.desc("nulls"), "column").limit(top)
+    listed = counts.select(F.inline(rows)).orderBy(F.desc("nulls"), "column")
+    return listed if top is None else listed.limit(top)
 
 
 def overview(df: DataFrame) -> DataFrame:
