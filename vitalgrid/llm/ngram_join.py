@@ -30,10 +30,13 @@ WORDS, PERCENT = 4, 85
 #: Counters of the frequency sketch and marks of the class filter, whatever the corpus: 4 MB and 8 MB. With very many
 #: classes they tell less apart, which costs time and changes no result.
 COUNTERS, MARKS = 1 << 20, 1 << 23
+#: The sketch counts a shingle when a task meets it again among the last SEEN_FOR shingles, so that the many that occur
+#: once do not drown the frequent ones; a task remembers them by slot.
+SEEN_SLOTS, SEEN_FOR = 1 << 25, 1 << 22
 CELL = 1 << 14
 FRAGMENTS, PARITY_BITS = 8, 1024
 KEY_BITS = 58
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,11 +94,16 @@ def described(docs: DataFrame) -> DataFrame:
     """Rows with n, cls (digest of the set, null if empty) and parity bits of each document, and cells of the sketch."""
     def read(frames):
         known, counts = _Words(), np.zeros(COUNTERS, np.uint32)
+        seen, passed = np.zeros(SEEN_SLOTS, bool), 0
         for pdf in frames:
             rows = []
             for text in pdf["text"]:
                 h = shingles(text, known)
-                np.add.at(counts, (h >> np.uint64(44)).astype(np.int64), 1)
+                slot = (h & np.uint64(SEEN_SLOTS - 1)).astype(np.int64)
+                np.add.at(counts, (h[seen[slot]] >> np.uint64(44)).astype(np.int64), 1)
+                seen[slot], passed = True, passed + len(h)
+                if passed > SEEN_FOR:
+                    seen[:], passed = False, 0
                 bits = np.bincount((h & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
                 rows.append((len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None,
                              np.packbits(bits.astype(np.uint8)).view(np.int64)))
@@ -111,7 +119,7 @@ def described(docs: DataFrame) -> DataFrame:
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """Rank of each counter in the order: 0 up to about the mean, then by powers of two of what exceeds it."""
     mean = counts.mean() if len(counts) else 0.0
-    above = counts - (mean + 6 * np.sqrt(mean) + 8)
+    above = counts - (mean + 4 * np.sqrt(mean) + 2)
     return np.where(above > 0, 1 + np.log2(np.maximum(above, 1)), 0).astype(np.uint8)
 
 
@@ -139,7 +147,7 @@ def prefixes(docs: DataFrame, levels) -> DataFrame:
 
 
 def segments(docs: DataFrame, levels, wanted: DataFrame) -> DataFrame:
-    """cls, fragment, keys of the classes ``wanted`` (cls, doc_id of one document each).
+    """cid, fragment, keys of the classes ``wanted`` (cls, cid, doc_id of one document each).
 
     Other documents are passed over by a filter of fixed size; what it lets through in error is dropped by the join.
     """
@@ -173,7 +181,7 @@ def segments(docs: DataFrame, levels, wanted: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["cls", "fragment", "keys"])
 
     found = docs.mapInPandas(read, "cls binary, fragment int, keys array<long>")
-    return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls", "fragment"])
+    return found.join(wanted.select("cls", "cid"), "cls").dropDuplicates(["cid", "fragment"]).drop("cls")
 
 
 def possible(na: Column, nb: Column, ia: Column, ib: Column) -> Column:
@@ -183,17 +191,17 @@ def possible(na: Column, nb: Column, ia: Column, ib: Column) -> Column:
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels) -> DataFrame:
     """The links among candidate pairs (a, b), by exact overlaps summed over the fragments."""
-    of = lambda s: classes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "bits")])
+    of = lambda s: classes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "bits")])
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = (pairs.join(of("a"), F.col("a") == F.col("cls_a")).join(of("b"), F.col("b") == F.col("cls_b"))
+    near = (pairs.join(of("a"), F.col("a") == F.col("cid_a")).join(of("b"), F.col("b") == F.col("cid_b"))
             .filter(apart <= F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b")))
             .select("a", "b", "n_a", "n_b"))
     near = stored(near, "ngram-pairs")
-    ends = near.select(F.col("a").alias("cls")).union(near.select(F.col("b").alias("cls"))).distinct()
-    wanted = stored(classes.join(ends, "cls", "left_semi").select("cls", "doc_id"), "ngram-wanted")
+    ends = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
+    wanted = stored(classes.join(ends, "cid", "left_semi").select("cls", "cid", "doc_id"), "ngram-wanted")
     parts = stored(segments(docs, levels, wanted), "ngram-segments")
-    one = parts.select(F.col("cls").alias("a"), F.col("fragment").alias("fragment"), F.col("keys").alias("keys_a"))
-    two = parts.select(F.col("cls").alias("b"), F.col("fragment").alias("fragment"), F.col("keys").alias("keys_b"))
+    one = parts.select(F.col("cid").alias("a"), F.col("fragment").alias("fragment"), F.col("keys").alias("keys_a"))
+    two = parts.select(F.col("cid").alias("b"), F.col("fragment").alias("fragment"), F.col("keys").alias("keys_b"))
     counted = (near.join(one, "a").join(two, ["b", "fragment"])
                .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("keys_a", "keys_b")).alias("common")))
     total = F.sum("common").cast("long")
@@ -215,37 +223,39 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     levels = spark.sparkContext.broadcast(levels_of(gathered(
         told.filter("cell is not null").select("cell", "counts"), COUNTERS, np.uint32)))
     rows = told.filter("cell is null").select("doc_id", "k_text", "n", "cls", "bits")
+    # a class is known by a short number from here on
     classes = stored(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-                                                             F.first("bits").alias("bits")), "ngram-classes")
+                                                             F.first("bits").alias("bits"))
+                     .withColumn("cid", F.monotonically_increasing_id()), "ngram-classes")
+    numbers = classes.select("cls", "cid")
     placed = (prefixes(texts, levels).groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-              .select("cls", "n", F.posexplode("prefix").alias("place", "key")))
+              .join(numbers, "cls").select("cid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "key")))
     at_key = Window.partitionBy("key")
-    shared = stored(placed.withColumn("hub", F.min(F.struct("place", "n", "cls")).over(at_key))
+    shared = stored(placed.withColumn("hub", F.min(F.struct("place", "n", "cid")).over(at_key))
                     .withColumn("m", F.count("*").over(at_key)).filter("m > 1").drop("m"), "ngram-shared")
-    tried = stored(shared.filter((F.col("cls") != F.col("hub.cls"))
+    tried = stored(shared.filter((F.col("cid") != F.col("hub.cid"))
                                  & possible(F.col("n"), F.col("hub.n"), F.col("place"), F.col("hub.place")))
-                   .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct(), "ngram-tried")
+                   .select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct(), "ngram-tried")
     links = stored(confirmed(tried, classes, texts, levels), "ngram-links")
     roots = components(links)
-    marked = stored(shared.drop("hub").join(roots, F.col("cls") == F.col("node"), "left")
-                    .select("key", "cls", "n", "place", F.coalesce("root", "cls").alias("root")), "ngram-marked")
+    marked = stored(shared.drop("hub").join(roots, F.col("cid") == F.col("node"), "left")
+                    .select("key", "cid", "n", "place", F.coalesce("root", "cid").alias("root")), "ngram-marked")
     mixed = marked.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
     open_ = marked.join(mixed, "key", "left_semi")
-    a, b = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "place", "root")]) for s in "ab")
-    more = (a.join(b, (a["key"] == b["key"]) & (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b"))
+    a, b = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "place", "root")]) for s in "ab")
+    more = (a.join(b, (a["key"] == b["key"]) & (F.col("cid_a") < F.col("cid_b")) & (F.col("root_a") != F.col("root_b"))
                    & possible(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")))
-            .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+            .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     links = stored(links.union(confirmed(stored(more, "ngram-more"), classes, texts, levels)), "ngram-links")
     roots = components(links)
-    rooted = rows.select("doc_id", "k_text", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
-    rooted = stored(rooted.select("doc_id", "k_text", "n", F.coalesce("root", "cls").alias("root")), "ngram-rooted")
+    some = rows.filter("n > 0").select("doc_id", "k_text", "n", "cls").join(numbers, "cls")
+    rooted = stored(some.join(roots, F.col("cid") == F.col("node"), "left")
+                    .select("doc_id", "k_text", "n", F.coalesce("root", "cid").alias("root")), "ngram-rooted")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k_text")
-    homes = rooted.filter("root is not null").groupBy("root").agg(F.min(place).alias("home"))
-    alone = F.col("home").isNull()
-    return (rooted.join(homes, "root", "left")
-            .select("doc_id", "k_text", F.col("n").alias("n_shingles"),
-                    F.when(alone, F.col("doc_id")).otherwise(F.col("home.doc_id")).alias("component_id"),
-                    (alone | (place == F.col("home"))).alias("stays")))
+    homes = stored(rooted.groupBy("root").agg(F.min(place).alias("home")), "ngram-homes")
+    known = rooted.join(homes, "root").select("doc_id", "k_text", F.col("n").alias("n_shingles"),
+                                              F.col("home.doc_id").alias("component_id"), (place == F.col("home")).alias("stays"))
+    return known.union(rows.filter("n = 0").select("doc_id", "k_text", "n", "doc_id", F.lit(True)))
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
