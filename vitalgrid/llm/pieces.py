@@ -14,10 +14,11 @@ merge that comes after it and every piece encodes to itself; both are checked wh
 from __future__ import annotations
 
 import heapq
-import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitalgrid.session import run_dir, scratch_path
@@ -26,7 +27,7 @@ SPACE = "▁"
 #: Characters of a unit that a 64-bit mask can hold; longer units are merged in the task that holds them.
 MASK_CHARS = 60
 #: Characters of a block of documents, and of a stretch of text that is cut at once.
-BLOCK_CHARS, STRETCH = 1 << 24, 1 << 20
+BLOCK_CHARS, STRETCH = 1 << 25, 1 << 20
 #: What an unknown character costs a unigram path below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -137,7 +138,28 @@ class _Codes(dict):
         return code
 
 
-BLOCK = "block string, doc_ids array<long>, lengths array<int>, codes binary, units array<string>"
+BLOCK = "block long, doc_ids array<long>, lengths array<int>, codes binary, units array<string>"
+#: A block's number: the task that made it above this bit, its count below.
+TASK_BIT = 20
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """uint32 codes, compressed plane by plane of bytes: most high bytes are 0."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def ranked(codes: np.ndarray, units: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Codes and units renumbered, frequent ones first by powers of two, in the order of their text within."""
+    often = np.log2(np.bincount(codes, minlength=len(units))).astype(int)
+    order = sorted(range(len(units)), key=lambda i: (-often[i], units[i]))
+    place = np.empty(len(units), np.uint32)
+    place[order] = np.arange(len(units), dtype=np.uint32)
+    return place[codes], [units[i] for i in order]
 
 
 def blocked(docs: DataFrame, model) -> DataFrame:
@@ -149,9 +171,9 @@ def blocked(docs: DataFrame, model) -> DataFrame:
         number, codes, ids, lengths, parts, size = 0, _Codes(), [], [], [], 0
 
         def block():
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-            return pd.DataFrame({"block": [f"{task}-{number}"], "doc_ids": [ids], "lengths": [np.array(lengths, np.int32)],
-                                 "codes": [zlib.compress(flat.tobytes(), 3)], "units": [list(codes)]})
+            flat, units = ranked(np.concatenate(parts), list(codes))
+            return pd.DataFrame({"block": [task << TASK_BIT | number], "doc_ids": [ids],
+                                 "lengths": [np.array(lengths, np.int32)], "codes": [packed(flat)], "units": [units]})
 
         for pdf in frames:
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -238,30 +260,34 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     (blocked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), shared)
      .write.bucketBy(partitions, "block").option("path", path).option("compression", "zstd").saveAsTable(name))
     blocks = spark.table(name)
-    asked = blocks.select(F.col("block").alias("asker"), F.posexplode("units").alias("code", "unit")).filter(
-        (F.length("unit") > 1) & (F.length("unit") <= MASK_CHARS))
-    masks = segmented(asked.select("unit").distinct(), model)
+    # dealt by unit once, for their segmentation and for the answers; the unused maxima keep both readings alike,
+    # so that Spark reuses the exchange
+    asked = (blocks.select(F.col("block").alias("asker"), F.posexplode("units").alias("code", "unit"))
+             .filter((F.length("unit") > 1) & (F.length("unit") <= MASK_CHARS)).repartition(partitions, "unit"))
+    distinct = asked.groupBy("unit").agg(F.max("asker").alias("a"), F.max("code").alias("c")).filter("a is not null and c is not null")
+    masks = segmented(distinct, model)
     answers = asked.join(masks, "unit").select("asker", "code", "mask")
 
     def spell(own: pd.DataFrame, masks: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
         ids, lengths, units = own["doc_ids"].iloc[0], own["lengths"].iloc[0], own["units"].iloc[0]
-        mask = dict(zip(masks["code"].tolist(), masks["mask"].tolist()))
-        spelled = []
-        for code, unit in enumerate(units):
-            bits = mask.get(code)
-            if bits is not None:
+        mask = np.zeros(len(units), np.int64)
+        mask[masks["code"].to_numpy()] = masks["mask"].to_numpy()
+        flat, counts = array("i"), np.zeros(len(units), np.int64)
+        for code, (unit, bits) in enumerate(zip(units, mask.tolist())):
+            if bits:
                 cuts = [i for i in range(len(unit)) if bits >> i & 1] + [len(unit)]
                 parts = [unit[a:b] for a, b in zip(cuts, cuts[1:])]
             elif len(unit) > MASK_CHARS:
                 parts = merged(unit, m.ranks)[0] if m.kind == "bpe" else best_path(unit, m)
             else:
                 parts = unit
-            spelled.append([i for p in parts for i in m.ids_of(p)])
-        counts = np.array([len(x) for x in spelled], np.int64)
-        begin = np.concatenate([[0], np.cumsum(counts)])
-        flat = np.fromiter((i for x in spelled for i in x), np.int32, int(begin[-1]))
-        codes = np.frombuffer(zlib.decompress(own["codes"].iloc[0]), np.uint32)
+            before = len(flat)
+            for p in parts:
+                flat.extend(m.ids_of(p))
+            counts[code] = len(flat) - before
+        flat, begin = np.array(flat, np.int32), np.cumsum(counts) - counts
+        codes = unpacked(own["codes"].iloc[0])
         out, at = [], 0
         for size in lengths:
             mine = codes[at : at + size]
