@@ -143,7 +143,9 @@ def test_sigma_and_spikes(spark):
 def test_degenerate_series(spark, values):
     df = days(spark, values)
     assert sigma.outliers(sigma.moments(df)).where("is_outlier").count() == 0
-    assert E.detect(df).count() == 0
+    judged = E.detect(df).collect()
+    assert len(judged) == len(values) and not any(r.is_anom for r in judged)
+    assert {r.method_status for r in judged} <= {"too few points", "constant series"}
     assert len(stats.summary(df).collect()) == bool(values)
 
 
@@ -160,6 +162,8 @@ def test_first_file_and_last_of_day(spark):
     rows = [(1, "m", d, 2.0, 1), (1, "m", d, 1.0, 0), (1, "m", d, 9.0, 7)]
     files = spark.createDataFrame(rows, DAY + ", file_ordinal int")
     assert D.first_file_wins(files).first().y == 1.0
+    late = spark.createDataFrame([(1, "m", d, 9.0, 7)], "user_id long, metric string, ds date, y double, file_ordinal int")
+    assert D.first_file_wins(late).first().y == 9.0
     late = minutes(spark, [1.0, 2.0]).withColumn("event_id", F.lit(0))
     assert D.last_of_day(late).first().y == 2.0
 
@@ -201,7 +205,9 @@ def test_scored_ensemble(spark):
     assert hit.explanation.startswith(E.TEXT_OUTLIER) and hit.explanation.endswith("(Severity: High).")
     calm = [r for r in got.values() if not r.is_anom]
     assert len(calm) > 80 and {r.explanation for r in calm} == {E.TEXT_UNFLAGGED}
-    assert E.detect(days(spark, values[:19])).count() == 0
+    short = E.detect(days(spark, values[:19])).collect()
+    assert len(short) == 19 and {r.method_status for r in short} == {"outliers and spikes only"}
+    assert not any(r.is_breach or r.is_small or r.is_noise for r in short)
 
 
 def test_steps_always_include_band_breaches(spark):
@@ -346,3 +352,16 @@ def test_partition_invariance(spark):
     df = days(spark, rng.normal(100, 20, 80)).unionByName(days(spark, rng.normal(5, 1, 40), "sleep", 2))
     runs = [sorted(map(tuple, E.detect(df.repartition(n)).select(*KEYS, "ds", "score", "explanation").collect())) for n in (1, 16)]
     assert [r[:3] + r[4:] for r in runs[0]] == [r[:3] + r[4:] for r in runs[1]]
+
+
+def test_kmeans_of_windows_is_the_same_on_every_run(spark):
+    rows = [(u, "m", w, [float(w % 3 * 10 + u), float(w)]) for u in (1, 2) for w in range(9)] + [(3, "m", 0, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "user_id long, metric string, win long, x array<double>")
+    one, two = (sorted(map(tuple, CL.kmeans_labels(d).collect())) for d in (df, df.repartition(5)))
+    assert one == two and len(one) == 19 and [r[-1] for r in one if r[0] == 3] == [0]
+
+
+def test_vectors_are_standardised_in_every_dimension(spark):
+    df = spark.createDataFrame([(1, "a", [1.0, 5.0, 2.0]), (2, "a", [3.0, 5.0, 4.0]), (3, "b", [9.0, 9.0, 9.0])], "id long, g string, v array<double>")
+    got = {r.id: r.v for r in FT.standardise_vectors(df, "v", ("g",)).collect()}
+    assert got == {1: [-1.0, 0.0, -1.0], 2: [1.0, 0.0, 1.0], 3: [0.0, 0.0, 0.0]}

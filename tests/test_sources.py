@@ -117,3 +117,17 @@ def test_profile(spark):
     assert [(r.column, r.nulls) for r in profile.null_counts(df).collect()] == [("b", 2), ("a", 1)]
     assert profile.overview(df).first().asDict() == {"total_rows": 3, "columns": "a, b", "n_columns": 2}
     assert isinstance(df.schema, T.StructType)
+
+
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "a.csv").write_text("user_id,timestamp,steps\nu1,2024-01-01,5\n")
+    (tmp_path / "in" / "b c.csv").write_text("steps,user_id,timestamp\n7,u2,2024-01-02\n")
+    (tmp_path / "in" / "deep" / "c.csv").write_text("Steps,user_id,noise\n9,u3,x\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("timestamp", T.StringType()),
+                           T.StructField("steps", T.LongType())])
+    got = files.read_csv(spark, str(tmp_path / "in"), schema).select("user_id", "timestamp", "steps").collect()
+    assert {tuple(r) for r in got} == {("u1", "2024-01-01", 5), ("u2", "2024-01-02", 7), ("u3", None, 9)}
+    many = files.read_many(spark, str(tmp_path / "in")).select("user_id", "steps").collect()
+    assert ("u2", "7") in {tuple(r) for r in many}

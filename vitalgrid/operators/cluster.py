@@ -6,8 +6,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.schema import KEYS
@@ -152,14 +150,30 @@ def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float
     return matrix.join(final, [*by, x])
 
 
-def kmeans_labels(matrix: DataFrame, x: str = "x", clusters: int = 4, seed: int = 42) -> DataFrame:
-    """One k-means model over all rows: k is at most the number of rows, one row gets label 0."""
-    rows = matrix.limit(clusters).count()
-    if rows < 2:
-        return matrix.withColumn("kmeans", F.lit(0))
-    fitted = KMeans(k=min(clusters, rows), seed=seed, featuresCol="_v", predictionCol="kmeans").fit(
-        matrix.select(array_to_vector(x).alias("_v")))
-    return fitted.transform(matrix.withColumn("_v", array_to_vector(x))).drop("_v")
+def _window_means(pdf: pd.DataFrame, x: str, order: list[str], clusters: int, iterations: int) -> pd.DataFrame:
+    pdf = pdf.sort_values(order)
+    pts = np.vstack(pdf[x].to_numpy())
+    n, k = len(pts), min(clusters, len(pts))
+    centres = pts[np.floor((np.arange(k) + 0.5) * n / k).astype(int)]
+    for turn in range(iterations + 1):
+        # rounded, so that ties of equal windows break alike everywhere
+        nearest = np.round(((pts[:, None, :] - centres[None, :, :]) ** 2).sum(-1), 9).argmin(1)
+        if turn < iterations:
+            centres = np.stack([pts[nearest == j].mean(0) if (nearest == j).any() else centres[j] for j in range(k)])
+    return pdf.drop(columns=[x]).assign(kmeans=nearest.astype(np.int32))
+
+
+def kmeans_labels(matrix: DataFrame, x: str = "x", by=("user_id",), order=("metric", "win"), clusters: int = 4,
+                  iterations: int = 10) -> DataFrame:
+    """K-means over the windows of each user; the same labels on every run.
+
+    Centres start at evenly spaced windows in ``order``. k is at most the number
+    of windows. Grouped pandas: a user has one window per metric and 30 days.
+    """
+    rest = matrix.drop(x)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
+    return matrix.groupBy(*by).applyInPandas(
+        lambda pdf: _window_means(pdf, x, list(order), clusters, iterations), f"{fields}, kmeans int")
 
 
 def _lof(pdf: pd.DataFrame, x: str, contamination: float) -> pd.DataFrame:

@@ -134,6 +134,18 @@ def standardise(matrix: DataFrame, columns, by=("user_id",)) -> DataFrame:
     return matrix.join(stats, list(by)).select(*rest, *scaled)
 
 
+def standardise_vectors(matrix: DataFrame, x: str, by) -> DataFrame:
+    """``standardise`` for all dimensions of an array column: statistics by group and dimension, then back in place."""
+    long = matrix.select(*by, F.posexplode(x).alias("_d", "_x"))
+    stats = (long.groupBy(*by, "_d").agg(F.avg("_x").alias("mu"), F.stddev_pop("_x").alias("sd"))
+             .groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_d", "mu", "sd"))).alias("_s")))
+
+    def scale(v, s):
+        return F.when(s["sd"] > 1e-12, (v - s["mu"]) / s["sd"]).otherwise(0.0)
+
+    return matrix.join(stats, list(by)).withColumn(x, F.zip_with(F.col(x).cast("array<double>"), "_s", scale)).drop("_s")
+
+
 def number_windows(matrix: DataFrame, by: str = "user_id", name: str = "rid") -> DataFrame:
     """Number the windows of each user; a user has one per metric and 30 calendar days."""
     return matrix.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy("metric", "win")).cast("long"))

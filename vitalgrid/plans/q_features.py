@@ -9,6 +9,7 @@ from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.q_detect import ROW_ID, density_sql
 from vitalgrid.plans.registry import query, rounded, sr
 from vitalgrid.schema import KEYS
+from vitalgrid.session import stored
 
 WINS = f"""{Q.WINDOW_DAILY}, wins as (select user_id, metric, win, i % 30 as t, y from (select *, i // 30 as win from (select *,
     row_number() over (partition by user_id, metric order by ds) - 1 as i, count(*) over (partition by user_id, metric) as c
@@ -38,10 +39,6 @@ def _auto_sql() -> str:
 
 COUNTS = ("count_above_mean", "count_below_mean", "longest_above_mean", "longest_below_mean", "number_peaks")
 REALS = tuple(c for c in FT.AUTOMATIC if c not in COUNTS)
-BIG = ("abs_energy", "c3_lag1", "sum_values", "mean_abs_change", "mean_change", "cid_ce", "quantile_10", "quantile_90",
-       "trend_slope", *(f"fft_abs_{k}" for k in range(1, FT.FOURIER_TERMS + 1)))
-
-
 def windows(spark, sf):
     return FT.windows(C.window_daily(spark, sf))
 
@@ -56,13 +53,17 @@ def j1(spark, sf):
     return rounded(long, "value", n=2)
 
 
+def _digits(c: str) -> str:
+    return f"case when abs({c}) < 1e-9 then 0.0 else round({c} / pow(10, floor(log10(abs({c})) + 1e-9)) + 1e-9, 5) * pow(10, floor(log10(abs({c})) + 1e-9)) end"
+
+
 @query("j2_automatic_features", f"""with {WINS}, {_auto_sql()} select user_id, metric, win, {", ".join(COUNTS)},
-  {", ".join(f"{sr(f'{c} / (1 + abs({c}))', 5)} as {c}" if c in BIG else f"{sr(c, 5)} as {c}" for c in REALS)} from auto""")
+  {", ".join(f"{sr(f'cast({_digits(c)} as double)', 6)} as {c}" for c in REALS)} from auto""")
 def j2(spark, sf):
-    feats = automatic(spark, sf)
-    # Features of very different size are compared by their leading digits.
-    squashed = feats.withColumns({c: F.col(c) / (1 + F.abs(c)) for c in BIG})
-    return rounded(squashed, *REALS, n=5)
+    """The features themselves, to six significant digits."""
+    size = lambda c: F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c)) + 1e-9))
+    near = {c: F.when(F.abs(c) < 1e-9, 0.0).otherwise(F.round(F.col(c) / size(c) + 1e-9, 5) * size(c)) for c in REALS}
+    return rounded(automatic(spark, sf).withColumns(near), *REALS, n=6)
 
 
 HOLED = """holed as (select user_id, metric, win, case when win % 5 = 0 then null when win % 7 = 1 then 'inf'::double else trend_r2 end as a,
@@ -94,42 +95,80 @@ def j4(spark, sf):
     return rounded(FT.fill_median(_holed(spark, sf), ("a", "b", "gone")), "a", "b")
 
 
-SHORT = ("variation_coefficient", "trend_r2", "autocorr_lag1", "ratio_beyond_1_sigma", "first_loc_max")
-SCALED = "scaled as (select user_id, metric, win, {} from auto window w as (partition by user_id))".format(", ".join(
-    f"case when stddev_pop({c}) over w > 1e-12 then ({c} - avg({c}) over w) / stddev_pop({c}) over w else 0.0 end as {c}" for c in SHORT))
+SCALED = "filled as (select user_id, metric, win, {} from auto window w as (partition by user_id)), ".format(", ".join(
+    f"coalesce({c}, quantile_cont({c}, 0.5) over w)::double as {c}" for c in FT.AUTOMATIC)) + (
+    "scaled as (select user_id, metric, win, {} from filled window w as (partition by user_id))".format(", ".join(
+        f"case when stddev_pop({c}) over w > 1e-12 then ({c} - avg({c}) over w) / stddev_pop({c}) over w else 0.0 end as {c}"
+        for c in FT.AUTOMATIC)))
 
 
 def scaled(spark, sf):
-    return FT.standardise(automatic(spark, sf), SHORT).select(*KEYS, "win", *SHORT)
+    """All automatic features, imputed, then standardised per user: the matrix that is clustered."""
+    filled = FT.fill_median(stored(automatic(spark, sf), "features"), FT.AUTOMATIC)
+    kept = [c for c in FT.AUTOMATIC if c in filled.columns]
+    return FT.standardise(filled, kept).select(*KEYS, "win", *kept)
+
+
+def features_of(matrix):
+    return [c for c in FT.AUTOMATIC if c in matrix.columns]
 
 
 @query("j5_standardise", f"""with {WINS}, {_auto_sql()}, {SCALED} select user_id, metric, win,
-  {", ".join(f"{sr(c)} as {c}" for c in SHORT)} from scaled""")
+  {", ".join(f"{sr(c)} as {c}" for c in FT.AUTOMATIC)} from scaled""")
 def j5(spark, sf):
-    return rounded(scaled(spark, sf), *SHORT)
+    matrix = scaled(spark, sf)
+    return rounded(matrix, *features_of(matrix))
 
 
-@query("j5_standardise_embeddings", f"""with e as (select vec_id, label, embedding[1]::double as x0, embedding[2]::double as x1 from embeddings)
-  select vec_id, label, {sr('(x0 - avg(x0) over w) / stddev_pop(x0) over w')} as x0,
-  {sr('(x1 - avg(x1) over w) / stddev_pop(x1) over w')} as x1 from e window w as (partition by label)""")
+@query("j5_standardise_embeddings", f"""with e as (select vec_id, label, unnest(generate_series(1, len(embedding))) as d,
+    unnest(embedding)::double as x from embeddings), s as (select *, avg(x) over w as mu, stddev_pop(x) over w as sd from e
+    window w as (partition by label, d))
+  select vec_id, label, d - 1 as dim, {sr('case when sd > 1e-12 then (x - mu) / sd else 0.0 end')} as x from s""")
 def j5_embeddings(spark, sf):
-    e = C.table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x0"),
-                                                F.col("embedding")[1].cast("double").alias("x1"))
-    return rounded(FT.standardise(e, ("x0", "x1"), by=("label",)).select("vec_id", "label", "x0", "x1"), "x0", "x1")
+    scaled = FT.standardise_vectors(C.table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), "embedding", ("label",))
+    long = scaled.select("vec_id", "label", F.posexplode("embedding").alias("dim", "x"))
+    return rounded(long.withColumn("dim", F.col("dim").cast("long")), "x")
 
 
 def labelled(spark, sf, eps: float = 1.0):
     """Window features with density labels; ids follow the order of the windows' keys."""
-    matrix = FT.number_windows(FT.vectors(scaled(spark, sf), SHORT))
+    wide = scaled(spark, sf)
+    matrix = FT.number_windows(FT.vectors(wide, features_of(wide)))
     return CL.density_labels(matrix, ("user_id",), "rid", eps=eps)
 
 
-@query("j6_kmeans_labels")
+def lloyd_sql(source: str, name: str, columns, clusters: int = 4, iterations: int = 10) -> str:
+    """Unrolled k-means per user over ``source``: CTEs ending in ``name(user_id, metric, win, kmeans)``.
+
+    Centres are rows of their own, so that all columns fit: long form (rid, d, x), distances summed by centre.
+    """
+    values = ", ".join(f"('{c}', {c})" for c in columns)
+    out = f"""{name}_n as (select *, {ROW_ID} as rid, row_number() over (partition by user_id order by metric, win) as rk,
+      count(*) over (partition by user_id) as n from {source}),
+    {name}_x as materialized (select user_id, rid, n, rk, least({clusters}, n) as k, u.d, u.x from {name}_n,
+      lateral (select unnest([{", ".join(f"'{c}'" for c in columns)}]) as d, unnest([{", ".join(columns)}]) as x) u),
+    {name}_c0 as materialized (select user_id, j, d, max(x) as x from {name}_x, (select unnest(generate_series(0, {clusters - 1})) as j)
+      where j < k and rk = floor((j + 0.5) * n / k) + 1 group by all)"""
+    for i in range(iterations + 1):
+        out += f""",
+    {name}_a{i} as materialized (select user_id, rid, first(j order by dist, j) as j from (select a.user_id, a.rid, c.j,
+      round(sum((a.x - c.x) * (a.x - c.x)), 9) as dist from {name}_x a join {name}_c{i} c on a.user_id = c.user_id and a.d = c.d group by all) group by all)"""
+        if i < iterations:
+            out += f""",
+    {name}_c{i + 1} as materialized (select c.user_id, c.j, c.d, coalesce(m.x, c.x) as x from {name}_c{i} c left join
+      (select a.user_id, l.j, a.d, avg(a.x) as x from {name}_x a join {name}_a{i} l using (user_id, rid) group by all) m using (user_id, j, d))"""
+    return out + f""",
+    {name} as (select user_id, metric, win, j as kmeans from {name}_n join {name}_a{iterations} using (user_id, rid))"""
+
+
+@query("j6_kmeans_labels", f"""with {WINS}, {_auto_sql()}, {SCALED}, {lloyd_sql('scaled', 'km', FT.AUTOMATIC)}
+  select user_id, metric, win, kmeans::int as kmeans from km""")
 def j6(spark, sf):
-    return CL.kmeans_labels(FT.vectors(scaled(spark, sf), SHORT)).select(*KEYS, "win", "kmeans")
+    matrix = scaled(spark, sf)
+    return CL.kmeans_labels(FT.vectors(matrix, features_of(matrix))).select(*KEYS, "win", "kmeans")
 
 
-DENSITY = f"""numbered as (select *, {ROW_ID} as rid from scaled), {density_sql('numbered', 'db', 'user_id', 1.0, SHORT)}"""
+DENSITY = f"""numbered as (select *, {ROW_ID} as rid from scaled), {density_sql('numbered', 'db', 'user_id', 1.0, FT.AUTOMATIC)}"""
 
 
 @query("j7_density_clusters", f"""with recursive {WINS}, {_auto_sql()}, {SCALED}, {DENSITY} select n.user_id, n.metric, n.win,
@@ -146,10 +185,14 @@ def j7(spark, sf):
         F.min(name).over(w).alias("first_window"))
 
 
-@query("j8_clusters_table")
+@query("j8_clusters_table", f"""with recursive {WINS}, {_auto_sql()}, {SCALED}, {DENSITY}, {lloyd_sql('scaled', 'km', FT.AUTOMATIC)}
+  select n.user_id, n.metric, n.win, {", ".join(f"{sr(f'n.{c}')} as {c}" for c in FT.AUTOMATIC)}, kmeans::int as kmeans,
+   dbscan = -1 as is_noise, n.metric as source from numbered n join db using (rid) join km on n.user_id = km.user_id
+   and n.metric = km.metric and n.win = km.win""")
 def j8(spark, sf):
-    from vitalgrid.session import stored
-
-    both = CL.kmeans_labels(labelled(spark, sf))
-    table = both.select(*KEYS, "win", "kmeans", "dbscan", F.col("metric").alias("source"))
-    return stored(scaled(spark, sf).join(table, [*KEYS, "win"]), "clusters")
+    wide = stored(scaled(spark, sf), "scaled")
+    names = features_of(wide)
+    matrix = FT.number_windows(FT.vectors(wide, names))
+    both = CL.kmeans_labels(CL.density_labels(matrix, ("user_id",), "rid", eps=1.0))
+    table = both.select(*KEYS, "win", "kmeans", (F.col("dbscan") == -1).alias("is_noise"), F.col("metric").alias("source"))
+    return rounded(wide.join(table, [*KEYS, "win"]), *names)

@@ -136,13 +136,13 @@ def d5(spark, sf):
 
 @query("e20_largest_event", f"""with {Q.DAILY}, {TASK3} select user_id, metric, event, {sr('max(absdiff)', 2)} as absdiff
   from (select *, row_number() over (partition by user_id, metric order by absdiff desc, ds) as k from impact where absdiff is not null)
-  where k = 1 and absdiff > 1e-6 group by all""")
+  where k = 1 group by all""")
 def e20(spark, sf):
     recent = latest_rows(C.daily(spark, sf), 120)
     impact = FC.event_impact(D.holiday_calendar(recent), FC.forecast(recent, TASK_WEEKLY, 30),
                              FC.forecast(recent, TASK_EVENTS, 30))
     top = FC.largest_event(impact)
-    return top.where(F.abs("diff") > 1e-6).select(*KEYS, "event", r(F.abs("diff"), 2).alias("absdiff"))
+    return top.select(*KEYS, "event", r(F.abs("diff"), 2).alias("absdiff"))
 
 
 @query("e18_best_worst_weekday", f"""with {Q.DAILY}, {fit_sql('daily', 'fit', FC.Z80)}, w as (select user_id, metric,
@@ -193,12 +193,13 @@ COMPARED = f"""{fit_sql('daily', 'fa', FC.Z95)}, {fit_sql('daily', 'fb', FC.Z95,
 
 
 @query("i7_compare_events", f"""with {Q.DAILY}, {COMPARED} select fa.user_id, fa.metric, fa.ds, fb.event, {sr('fa.yhat', 2)} as yhat_without,
-  {sr('fb.yhat', 2)} as yhat_with, {sr('fa.lo', 2)} as lower_without, {sr('fb.hi', 2)} as upper_with
+  {sr('fb.yhat', 2)} as yhat_with, {sr('fa.lo', 2)} as lower_without, {sr('fa.hi', 2)} as upper_without,
+  {sr('fb.lo', 2)} as lower_with, {sr('fb.hi', 2)} as upper_with
   from fa join fb using (user_id, metric, ds)""")
 def i7(spark, sf):
     both = FC.compare_events(C.daily(spark, sf))
-    return rounded(both.select(*KEYS, "ds", "event", "yhat_without", "yhat_with", "lower_without", "upper_with"),
-                   "yhat_without", "yhat_with", "lower_without", "upper_with", n=2)
+    numbers = [f"{c}_{k}" for c in ("yhat", "lower", "upper") for k in ("without", "with")]
+    return rounded(both.select(*KEYS, "ds", "event", *numbers), *numbers, n=2)
 
 
 @query("d7_flags_on_forecasts", f"""with {Q.DAILY}, {scored_sql()}, {mode_sql('bal', E.BALANCED)} select user_id, metric, ds,

@@ -107,13 +107,15 @@ def c8(spark, sf):
 
 
 @query("c9_hours_if_minutes", f"""with {Q.DAILY} select user_id, ds, {sr('''case when
-  max(y) over (partition by user_id) > 24 then y / 60.0 else y end''')} as hours from daily where metric = 'sleep'""")
+  top > 24 then y / 60.0 else y end''')} as hours from daily join (select user_id, max(m) as top from (select user_id,
+  dayofweek(ds) as wd, avg(y) as m from daily where metric = 'sleep' group by all) group by 1) using (user_id) where metric = 'sleep'""")
 def c9(spark, sf):
     from pyspark.sql import Window
 
     slept = C.daily(spark, sf).where(F.col("metric") == "sleep")
-    largest = F.max("y").over(Window.partitionBy("user_id"))
-    hours = slept.withColumn("_top", largest).select(
+    weekday = F.avg("y").over(Window.partitionBy("user_id", F.dayofweek("ds")))
+    largest = F.max("_mean").over(Window.partitionBy("user_id"))
+    hours = slept.withColumn("_mean", weekday).withColumn("_top", largest).select(
         "user_id", "ds", X.hours_if_minutes(F.col("y"), F.col("_top")).alias("hours"))
     return rounded(hours, "hours")
 
@@ -423,8 +425,8 @@ def threshold_sql(rules, source: str = "minutes") -> str:
   runs as (select *, hi and count(*) filter (where hi) over (partition by user_id, metric, hg order by ts) >= need as h,
       lo and count(*) filter (where lo) over (partition by user_id, metric, lg order by ts) >= need as l from isles),
   flagged as (select user_id, metric, ts, value, h or l as threshold_anomaly,
-      case when l then 'Low ' || value_name || ' (<' || regexp_replace(low::double::varchar, '\.0$', '') || ')'
-           when h then 'High ' || value_name || ' (>' || regexp_replace(high::double::varchar, '\.0$', '') || ')' else '' end as anomaly_reason,
+      case when l then 'Low ' || value_name || ' (<' || regexp_replace(low::double::varchar, '[.]0$', '') || ')'
+           when h then 'High ' || value_name || ' (>' || regexp_replace(high::double::varchar, '[.]0$', '') || ')' else '' end as anomaly_reason,
       case when l then 'Medium' when h then 'High' else 'Normal' end as severity from runs)"""
 
 

@@ -93,18 +93,20 @@ def a14(spark, sf):
 
 @query("a15_many_files_scan", f"""select metric, count(*) as n, {sr('sum(value)', 4)} as total from (
    select case event_type when 'view' then 'heart_rate' when 'click' then 'steps' else 'sleep' end as metric, value
-   from events where event_type in ('view', 'click', 'purchase')) group by 1""")
+   from events where event_type in ('view', 'click', 'purchase', 'signup')) group by 1""")
 def a15(spark, sf):
+    """Files that name and order their columns differently, in one folder."""
     e = C.table(spark, sf, "events")
     path = scratch_path(spark, "many")
-    for event, name in (("view", "my_heartrate"), ("click", "all_steps"), ("purchase", "sleep_log"), ("error", "misc")):
-        rows = e.where(F.col("event_type") == event).select(
-            F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("logDate"), "value")
-        files.write_csv(rows, f"{path}/{name}")
-    loaded = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).select(
-        "*", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("file_name"))
-    long = sniff.extract_series(loaded.withColumn("metric", sniff.metric_of_file(F.col("file_name"))).drop("file_name"),
-                                keep=("metric",)).where(F.col("metric").isNotNull())
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    for event, name, columns in (
+            ("view", "my_heartrate", [day.alias("logDate"), F.col("value")]),
+            ("click", "all_steps", [F.col("value"), F.lit("w").alias("device"), day.alias("logDate")]),
+            ("purchase", "sleep_log", [F.col("user_id"), F.col("value"), day.alias("timestamp")]),
+            ("signup", "sleep_extra", [day.alias("timestamp"), F.col("value")]),
+            ("error", "misc", [day.alias("logDate"), F.col("value")])):
+        files.write_csv(e.where(F.col("event_type") == event).select(*columns), f"{path}/{name}")
+    long = files.read_series(spark, path, lambda p: sniff.metric_of_file(F.element_at(F.split(p, "/"), -2)))
     return long.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), r(F.sum("value"), 4).alias("total"))
 
 

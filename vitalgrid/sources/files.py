@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.errors import AnalysisException
 
@@ -18,28 +20,72 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The CSV files below a path, grouped by their header line; a file without a line is in no group.
+
+    One pass over the first block of each file keeps one row a file.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("place")).where("start = 0"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [[unquote(f) for f in r["files"]] for r in found]
+
+
+def csv_groups(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One frame for each header among the files below a path, as text, with the ``file_path`` of each row."""
+    return [spark.read.option("header", True).csv(files).select("*", F.col("_metadata.file_path").alias("file_path"))
+            for files in header_groups(spark, path)]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, allow=None) -> DataFrame:
-    """CSV with a header; only allowed columns (any case) are parsed, a missing path is an empty frame.
+    """CSV with headers; only allowed columns (any case) are parsed, a missing path is an empty frame.
 
-    Columns are matched by the header, so their order in the file is free. If
-    no column is allowed, all are kept.
+    Each file is read by its own header, so files may order and name their
+    columns differently; a column a file lacks is null. If no column of a file
+    is allowed, all of it are kept.
     """
     try:
-        raw = spark.read.option("header", True).csv(path)
+        groups = csv_groups(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return empty(spark, schema)
         raise
     allowed = {a.lower() for a in (allow or [f.name for f in schema])}
-    kept = [c for c in raw.columns if c.lower() in allowed] or raw.columns
-    types = {f.name.lower(): f.dataType for f in schema}
-    return raw.select(*[F.col(f"`{c}`").try_cast(types.get(c.lower(), T.StringType())).alias(c) for c in kept])
+    types = {f.name.lower(): f for f in schema}
+    out = None
+    for raw in groups:
+        raw = raw.drop("file_path")
+        kept = [c for c in raw.columns if c.lower() in allowed] or raw.columns
+        typed = raw.select(*[F.col(f"`{c}`").try_cast(types[c.lower()].dataType if c.lower() in types else T.StringType())
+                             .alias(types[c.lower()].name if c.lower() in types and len(groups) > 1 else c) for c in kept])
+        out = typed if out is None else out.unionByName(typed, allowMissingColumns=True)
+    return empty(spark, schema) if out is None else out
 
 
 def read_many(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
-    """All files of a directory with the file each row came from."""
-    reader = spark.read.options(header=True, **options) if fmt == "csv" else spark.read.options(**options)
-    return reader.format(fmt).load(path).select("*", F.col("_metadata.file_name").alias("file_name"))
+    """All files of a directory with the file each row came from; CSV files each by their own header."""
+    if fmt != "csv":
+        return spark.read.options(**options).format(fmt).load(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    out = None
+    for one in csv_groups(spark, path):
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
+def read_series(spark: SparkSession, path: str, metric_of) -> DataFrame | None:
+    """Long series of all CSV files below a path; date and value columns are found for each header on its own.
+
+    ``metric_of`` makes a file's metric from its path; files without a metric
+    are left out. None if there are no files.
+    """
+    out = None
+    for one in csv_groups(spark, path):
+        named = one.withColumn("metric", metric_of(F.col("file_path"))).drop("file_path")
+        long = sniff.extract_series(named, keep=("metric",)).where(F.col("metric").isNotNull())
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def read_processed(spark: SparkSession, path: str, column: str = "timestamp") -> DataFrame | None:
