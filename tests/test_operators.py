@@ -342,7 +342,7 @@ def test_report(spark):
     df = days(spark, [60] * 30 + [200], "heart_rate").unionByName(days(spark, [7.5] * 31, "sleep"))
     report = RP.user_report(df).first().report
     assert report.isascii() and "Metric: Heart Rate" in report and "Metric: Sleep" in report
-    assert "1. Date: 2021-10-24, Value: 200.00 bpm" in report and "No significant anomalies" in report
+    assert "1. Date: 2021-10-24, Value: 200.00 bpm" in report and "No day stands out." in report
     only = RP.user_report(df, metrics=("sleep",), anomalies=False).first().report
     assert "Heart Rate" not in only and "ANOMALIES" not in only
 

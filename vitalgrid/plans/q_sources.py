@@ -54,8 +54,10 @@ def a11(spark, sf):
   select event_id, user_id, metric, value, case when rn > c - floor(c * 0.2) then null else ts end as train_ts from n""")
 def a12(spark, sf):
     split = TL.chronological_split(C.samples(spark, sf), order=["ts", "event_id"])
-    train = split.where("split = 'train'").withColumnRenamed("ts", "train_ts").drop("split")
-    test = split.where("split = 'test'").drop("ts", "split")
+    path = scratch_path(spark, "splits")
+    files.write_splits(split, path)
+    train = spark.read.parquet(f"{path}/split=train").withColumnRenamed("ts", "train_ts")
+    test = spark.read.parquet(f"{path}/split=test").drop("ts")
     both = files.union_splits(train, test)
     return plain_time(both.select("event_id", *KEYS, "value", "train_ts"), "train_ts")
 
@@ -255,24 +257,30 @@ def a19(spark, sf):
 @query("a17_export_anomalies", f"""with {Q.DAILY}, m as (select *, avg(y) over w as mu, stddev_samp(y) over w as sd
    from daily window w as (partition by user_id, metric))
   select metric as data_type, ds, {sr('y', 2)} as y from m
-  where abs(y - mu) > 2.5 * sd and metric in ('heart_rate', 'steps', 'sleep')""")
+  where abs(y - mu) > 2.5 * sd""")
 def a17(spark, sf):
     from vitalgrid.operators import sigma
 
     found = sigma.outliers(sigma.moments(C.daily(spark, sf))).where("is_outlier").select("metric", "ds", "y")
-    parts = {m: found.where(F.col("metric") == m).drop("metric") for m in (HEART_RATE, "steps", "sleep")}
     path = scratch_path(spark, "export")
-    files.write_csv(files.with_data_type(parts), path)
+    files.write_csv(files.with_data_type(found).select("ds", "y", "data_type"), path)
     back = spark.read.option("header", True).schema("ds date, y double, data_type string").csv(path)
     return rounded(back, "y", n=2)
 
 
-@query("d14_union_of_metrics", f"""with {Q.DAILY} select metric as data_type, count(*) as n from daily
-  where metric in ('heart_rate', 'steps', 'sleep') group by 1""")
+@query("a17_export_daily_json", f"""with {Q.DAILY} select user_id, metric, count(*) as days, {sr('sum(y)', 2)} as total
+  from daily group by all""")
+def a17_json(spark, sf):
+    """The daily table, one JSON document a series and day, written and read back."""
+    path = scratch_path(spark, "daily-json")
+    files.write_json_reports(C.daily(spark, sf), path)
+    back = spark.read.schema("user_id bigint, metric string, ds date, y double").json(path)
+    return back.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("days"), r(F.sum("y"), 2).alias("total"))
+
+
+@query("d14_union_of_metrics", f"""with {Q.DAILY} select metric as data_type, count(*) as n from daily group by 1""")
 def d14(spark, sf):
-    d = C.daily(spark, sf)
-    parts = {m: d.where(F.col("metric") == m).select("ds", "y") for m in (HEART_RATE, "steps", "sleep")}
-    return files.with_data_type(parts).groupBy("data_type").agg(F.count(F.lit(1)).alias("n"))
+    return files.with_data_type(C.daily(spark, sf)).groupBy("data_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- schema detection ---------------------------------------------------------------------------

@@ -196,14 +196,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json_reports(reports: DataFrame, path: str, keys=("user_id", "metric")) -> None:
+def write_json_reports(reports: DataFrame, path: str) -> None:
+    """One JSON document a row."""
     reports.select(F.to_json(F.struct(*reports.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def with_data_type(parts: dict[str, DataFrame]) -> DataFrame | None:
-    """Anomaly tables of several metrics in one, with the metric in ``data_type``."""
-    out = None
-    for name, df in parts.items():
-        one = df.withColumn("data_type", F.lit(name))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
+def with_data_type(df: DataFrame, metric: str = "metric") -> DataFrame:
+    """Rows of all metrics in one table, the metric in ``data_type``."""
+    return df.withColumnRenamed(metric, "data_type")

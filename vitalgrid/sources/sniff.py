@@ -145,10 +145,11 @@ def timestamp_column(names) -> str:
 
 
 def strict_timestamps(df: DataFrame, column: str) -> DataFrame:
-    """Parse a column to timestamps; any value that does not parse fails the query."""
-    parsed = to_timestamp(df, column)
-    message = F.concat(F.lit("timestamp failed to parse: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
-    return df.withColumn(column, F.coalesce(parsed, F.raise_error(message).cast("timestamp")))
+    """Parse a column to timestamps; raises with the number of values that do not parse."""
+    bad = bad_timestamps(df, column).first().bad
+    if bad:
+        raise ValueError(f"{bad} values of {column} are no timestamps")
+    return df.withColumn(column, to_timestamp(df, column))
 
 
 def bad_timestamps(df: DataFrame, column: str) -> DataFrame:
