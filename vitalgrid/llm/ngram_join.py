@@ -34,7 +34,8 @@ COUNTERS, MARKS = 1 << 20, 1 << 23
 #: once do not drown the frequent ones; a task remembers them by slot.
 SEEN_SLOTS, SEEN_FOR = 1 << 25, 1 << 22
 CELL = 1 << 14
-FRAGMENTS, PARITY_BITS = 8, 1024
+#: Parity bits of a set: a power of two, at least as many as it has shingles and at least LEAST_BITS.
+FRAGMENTS, LEAST_BITS = 8, 1024
 KEY_BITS = 58
 WORDS_KEPT = 150_000
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +105,8 @@ def described(docs: DataFrame) -> DataFrame:
                 seen[slot], passed = True, passed + len(h)
                 if passed > SEEN_FOR:
                     seen[:], passed = False, 0
-                bits = np.bincount((h & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+                size = max(LEAST_BITS, 1 << max(0, len(h) - 1).bit_length())
+                bits = np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
                 rows.append((len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None,
                              np.packbits(bits.astype(np.uint8)).view(np.int64)))
             out = pd.DataFrame(rows, columns=["n", "cls", "bits"])
@@ -181,7 +183,8 @@ def segments(docs: DataFrame, levels, wanted: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["cls", "fragment", "keys"])
 
     found = docs.mapInPandas(read, "cls binary, fragment int, keys array<long>")
-    return found.join(wanted.select("cls", "cid"), "cls").dropDuplicates(["cid", "fragment"]).drop("cls")
+    once = found.repartition("cls").dropDuplicates(["cls", "fragment"])  # dealt once, for this and the join
+    return once.join(wanted.select("cls", "cid"), "cls").drop("cls")
 
 
 def possible(na: Column, nb: Column, ia: Column, ib: Column) -> Column:
@@ -189,12 +192,19 @@ def possible(na: Column, nb: Column, ia: Column, ib: Column) -> Column:
     return F.least(na - ia, nb - ib) >= least_overlap(na, nb)
 
 
+def parity_distance() -> Column:
+    """Bits in which bits_a and bits_b differ; the longer one is first folded to the other's length."""
+    folded = lambda x, y: F.when(F.size(x) > F.size(y), F.zip_with(
+        F.slice(x, 1, F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
+    apart = F.zip_with(folded("bits_a", "bits_b"), folded("bits_b", "bits_a"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(apart, F.lit(0), lambda s, x: s + x)
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels) -> DataFrame:
     """The links among candidate pairs (a, b), by exact overlaps summed over the fragments."""
     of = lambda s: classes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "bits")])
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = (pairs.join(of("a"), F.col("a") == F.col("cid_a")).join(of("b"), F.col("b") == F.col("cid_b"))
-            .filter(apart <= F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b")))
+            .filter(parity_distance() <= F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b")))
             .select("a", "b", "n_a", "n_b"))
     near = stored(near, "ngram-pairs")
     ends = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
