@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from array import array
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ SPACE = "▁"
 #: Characters of a unit that a 64-bit mask can hold; longer units are merged in the task that holds them.
 MASK_CHARS = 60
 #: Characters of a block of documents, and of a stretch of text that is cut at once.
-BLOCK_CHARS, STRETCH = 1 << 25, 1 << 20
+BLOCK_CHARS, STRETCH = 1 << 24, 1 << 20
 #: What an unknown character costs a unigram path below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -163,12 +164,15 @@ def ranked(codes: np.ndarray, units: list[str]) -> tuple[np.ndarray, list[str]]:
 
 
 def blocked(docs: DataFrame, model) -> DataFrame:
-    """Blocks of documents: ids, units of each, all codes (uint32, compressed) and the distinct units in order of code."""
+    """Blocks of documents: ids, units of each, all codes (uint32, compressed) and the distinct units in order of code.
+
+    A text that the block already holds at place i is kept as the length -1 - i.
+    """
     def read(frames):
         from pyspark import TaskContext
 
         cutter, task = Cutter(model.value.chars, model.value.pairs), TaskContext.get().partitionId()
-        number, codes, ids, lengths, parts, size = 0, _Codes(), [], [], [], 0
+        number, codes, ids, lengths, parts, size, places = 0, _Codes(), [], [], [], 0, {}
 
         def block():
             flat, units = ranked(np.concatenate(parts), list(codes))
@@ -177,14 +181,19 @@ def blocked(docs: DataFrame, model) -> DataFrame:
 
         for pdf in frames:
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                ids.append(None if pd.isna(doc_id) else int(doc_id))
+                place = places.setdefault(blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest(),
+                                          len(lengths))
+                if place < len(lengths):
+                    lengths.append(-1 - place)
+                    continue
                 units = cutter.units(text)
                 parts.append(np.fromiter(map(codes.__getitem__, units), np.uint32, len(units)))
-                ids.append(None if pd.isna(doc_id) else int(doc_id))
                 lengths.append(len(units))
                 size += len(text or "")
                 if size >= BLOCK_CHARS:
                     yield block()
-                    number, codes, ids, lengths, parts, size = number + 1, _Codes(), [], [], [], 0
+                    number, codes, ids, lengths, parts, size, places = number + 1, _Codes(), [], [], [], 0, {}
         if ids:
             yield block()
 
@@ -290,6 +299,9 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         codes = unpacked(own["codes"].iloc[0])
         out, at = [], 0
         for size in lengths:
+            if size < 0:
+                out.append(out[-1 - size])
+                continue
             mine = codes[at : at + size]
             take = counts[mine]
             offset = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
