@@ -29,6 +29,8 @@ SPACE = "▁"
 MASK_CHARS = 60
 #: Characters of a block of documents, and of a stretch of text that is cut at once.
 BLOCK_CHARS, STRETCH = 1 << 24, 1 << 20
+#: Texts a task is handed at once while it cuts them; the rest of its memory is the block.
+BATCH, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: What an unknown character costs a unigram path below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -266,8 +268,13 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     path = scratch_path(spark, "blocks")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     # written in buckets by block: the texts' codes are not shuffled again to meet their masks
-    (blocked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), shared)
-     .write.bucketBy(partitions, "block").option("path", path).option("compression", "zstd").saveAsTable(name))
+    cut = blocked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), shared)
+    rows_at_once = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, min(int(rows_at_once), TEXTS_AT_ONCE))
+    try:
+        cut.write.bucketBy(partitions, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    finally:
+        spark.conf.set(BATCH, rows_at_once)
     blocks = spark.table(name)
     # dealt by unit once, for their segmentation and for the answers; the unused maxima keep both readings alike,
     # so that Spark reuses the exchange
