@@ -365,3 +365,12 @@ def test_vectors_are_standardised_in_every_dimension(spark):
     df = spark.createDataFrame([(1, "a", [1.0, 5.0, 2.0]), (2, "a", [3.0, 5.0, 4.0]), (3, "b", [9.0, 9.0, 9.0])], "id long, g string, v array<double>")
     got = {r.id: r.v for r in FT.standardise_vectors(df, "v", ("g",)).collect()}
     assert got == {1: [-1.0, 0.0, -1.0], 2: [1.0, 0.0, 1.0], 3: [0.0, 0.0, 0.0]}
+
+
+def test_far_off_readings_make_rows_not_huge_arrays(spark):
+    rows = [(1, "m", datetime(1999, 12, 31, 23, 58), 1.0), (1, "m", datetime(2002, 1, 1, 0, 1), 2.0)]
+    dense = TL.dense_minutes(spark.createDataFrame(rows, "user_id long, metric string, ts timestamp, value double"))
+    days = 366 + 365
+    assert dense.count() == days * 1440 + 4 and dense.select("ts").distinct().count() == days * 1440 + 4
+    late = spark.createDataFrame([(1, datetime(2024, 1, 1, 22, 30, 30), datetime(2025, 1, 1, 0, 0, 0))], "user_id long, start timestamp, end timestamp")
+    assert TL.sleep_minutes(late).count() == 365 * 1440 + 90

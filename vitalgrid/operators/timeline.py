@@ -22,6 +22,17 @@ def minute_sum(samples: DataFrame, keys=KEYS, ts: str = "ts", value: str = "valu
             .agg(F.coalesce(F.sum(value), F.lit(0.0)).alias("value")))
 
 
+def every_minute(df: DataFrame, first: str, last: str, name: str = "ts") -> DataFrame:
+    """One row a minute from ``first`` to ``last``: days first, then the at most 1,440 minutes of each.
+
+    So a single reading far off makes many rows, never one huge array.
+    """
+    days = df.withColumn("_day", F.explode(F.sequence(F.date_trunc("day", first), F.col(last), F.expr("INTERVAL 1 DAY"))))
+    until = F.least(F.col(last), F.col("_day") + F.expr("INTERVAL 1439 MINUTES 59 SECONDS"))
+    minutes = F.sequence(F.greatest(F.col(first), F.col("_day")), until, F.expr("INTERVAL 1 MINUTE"))
+    return days.withColumn(name, F.explode(minutes)).drop("_day")
+
+
 def dense_minutes(observed: DataFrame, fill=None, keys=KEYS) -> DataFrame:
     """Every minute between the first and last observed one.
 
@@ -35,8 +46,7 @@ def dense_minutes(observed: DataFrame, fill=None, keys=KEYS) -> DataFrame:
     end = F.coalesce(inside, "_next_day")
     until = F.when(end.isNull(), F.col("ts")).otherwise(end - F.expr("INTERVAL 1 MINUTE"))
     spread = led.select(*keys, "value", F.col("ts").alias("_start"), until.alias("_until"))
-    return (spread.select(*keys, "_start", "value",
-                          F.explode(F.sequence("_start", "_until", F.expr("INTERVAL 1 MINUTE"))).alias("ts"))
+    return (every_minute(spread, "_start", "_until")
             .select(*keys, "ts",
                     F.when(F.col("ts") == F.col("_start"), F.col("value"))
                     .otherwise(F.lit(fill).cast("double")).alias("value")))
@@ -52,8 +62,8 @@ def sleep_minutes(intervals: DataFrame, start: str = "start", end: str = "end",
     first = F.date_trunc("minute", start)
     last = F.greatest(first, F.timestamp_micros(F.unix_micros(end) - 1))
     return (intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-            .select(*keys, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MINUTE"))).alias("ts"))
-            .select(*keys, "ts", F.lit(1.0 / 60.0).alias("value")))
+            .select(*keys, first.alias("_first"), last.alias("_last"))
+            .transform(every_minute, "_first", "_last").select(*keys, "ts", F.lit(1.0 / 60.0).alias("value")))
 
 
 def sleep_per_minute(minutes: DataFrame, keys=("user_id",)) -> DataFrame:

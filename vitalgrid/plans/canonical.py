@@ -89,8 +89,8 @@ def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minutes with data of all users together: means for heart rate, sums for the rest."""
-    s = pooled_samples(spark, sf_dir)
+    """Minutes with data of each user: means for heart rate, sums for the rest."""
+    s = samples(spark, sf_dir)
     means = TL.minute_mean(s.where(F.col("metric") == HEART_RATE))
     return means.unionByName(TL.minute_sum(s.where(F.col("metric") != HEART_RATE)))
 

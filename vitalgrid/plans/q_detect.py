@@ -75,23 +75,20 @@ POINTS = """points as (select *, (y - mean) / (std + 1e-6) as z,
 # --- rule based ---------------------------------------------------------------------------------
 
 @query("h1_threshold_detector", f"""with {Q.MINUTES}, {_GAPS}, {threshold_sql(DEFAULT_RULES)}
-  select metric, ts, {sr('value')} as value, threshold_anomaly, anomaly_reason, severity from flagged""")
+  select user_id, metric, ts, {sr('value')} as value, threshold_anomaly, anomaly_reason, severity from flagged""")
 def h1(spark, sf):
     flagged = T.detect(C.observed_minutes(spark, sf), T.rules_table(spark))
-    return plain_time(rounded(flagged.drop("user_id"), "value"), "ts")
+    return plain_time(rounded(flagged, "value"), "ts")
 
 
 @query("e10_detector_report", f"""with {Q.MINUTES}, {_GAPS}, {threshold_sql(DEFAULT_RULES)}
-  select metric, count(*) as total_records, count(*) filter (where threshold_anomaly) as anomalies_detected,
+  select user_id, metric, count(*) as total_records, count(*) filter (where threshold_anomaly) as anomalies_detected,
    {sr('100.0 * count(*) filter (where threshold_anomaly) / greatest(1, count(*))')} as anomaly_percentage
-  from flagged group by 1""")
+  from flagged group by 1, 2""")
 def e10(spark, sf):
     flagged = T.detect(C.observed_minutes(spark, sf), T.rules_table(spark))
-    report = stats.detector_report(flagged, "threshold_anomaly").drop("user_id")
-    # the labels' numbers are free, the sizes are not
-    sizes = F.array_sort(F.map_values(F.from_json("cluster_distribution", "map<string,bigint>")))
-    return rounded(report.withColumn("cluster_sizes", F.array_join(sizes.cast("array<string>"), ","))
-                   .drop("cluster_distribution"), "anomaly_percentage")
+    report = stats.detector_report(flagged, "threshold_anomaly")
+    return rounded(report, "anomaly_percentage")
 
 
 # --- residuals ----------------------------------------------------------------------------------
@@ -116,14 +113,14 @@ def h2(spark, sf):
         *KEYS, "ds", "predicted", "residual", "residual_anomaly", "residual_anomaly_reason")
 
 
-@query("h2_residual_detector_samples", f"""with {Q.POOLED}, b as (select *, quantile_cont(value, 0.5) over (w rows between 14
+@query("h2_residual_detector_samples", f"""with {Q.USERS}, b as (select *, quantile_cont(value, 0.5) over (w rows between 14
    preceding and current row) as p, 2 * coalesce(stddev_samp(value) over (w rows between 29 preceding and current row), 0) as s
-   from pooled where value is not null window w as (partition by metric order by ts, event_id)),
-  j as (select *, value - p as residual, stddev_samp(value - p) over (partition by metric) as sd from b)
+   from pooled where value is not null window w as (partition by user_id, metric order by ts, event_id)),
+  j as (select *, value - p as residual, stddev_samp(value - p) over (partition by user_id, metric) as sd from b)
   select event_id, metric, {sr('residual', 4)} as residual,
     abs(residual) > 3 * coalesce(sd, 0) or value > p + s or value < p - s as residual_anomaly from j""")
 def h2_samples(spark, sf):
-    flagged = R.detect_samples(C.pooled_samples(spark, sf), order=("ts", "event_id"))
+    flagged = R.detect_samples(C.samples(spark, sf), order=("ts", "event_id"))
     return rounded(flagged.select("event_id", "metric", "residual", "residual_anomaly"), "residual", n=4)
 
 
@@ -369,20 +366,20 @@ def h19(spark, sf):
 # The vote over long series: rules on their own rows and the rolling band, both flags from samples.
 SAMPLE_VOTES = f"""b as (select *, quantile_cont(value, 0.5) over (w rows between 14 preceding and current row) as p,
     2 * coalesce(stddev_samp(value) over (w rows between 29 preceding and current row), 0) as s
-   from pooled window w as (partition by metric order by ts, event_id)),
-  j as (select *, value - p as residual, stddev_samp(value - p) over (partition by metric) as sd from b),
-  v as (select event_id, metric, ts, value > 100 as threshold_anomaly,
+   from pooled window w as (partition by user_id, metric order by ts, event_id)),
+  j as (select *, value - p as residual, stddev_samp(value - p) over (partition by user_id, metric) as sd from b),
+  v as (select event_id, user_id, metric, ts, value > 100 as threshold_anomaly,
      abs(residual) > 3 * coalesce(sd, 0) or value > p + s or value < p - s as residual_anomaly from j),
   x as (select *, threshold_anomaly::int + residual_anomaly::int as votes from v),
   near_ as (select *, votes >= 2 as ensemble_anomaly,
      sum((votes >= 2)::int) over (w rows between 2 preceding and 2 following) as near2,
      sum((votes >= 2)::int) over (w rows between 3 preceding and 3 following) as near3
-    from x window w as (partition by metric order by ts, event_id))"""
+    from x window w as (partition by user_id, metric order by ts, event_id))"""
 
 
 def sample_votes(spark, sf, block_rows: int = 700):
     """Two-detector vote on all samples, in blocks of rows with a 3-row margin."""
-    rows = R.detect_samples(C.pooled_samples(spark, sf), order=("ts", "event_id"))
+    rows = R.detect_samples(C.samples(spark, sf), order=("ts", "event_id"))
     rows = E.vote(rows.withColumn("threshold_anomaly", F.col("value") > 100))
     numbered = S.number_rows(rows, ("ts", "event_id"))
     blocks = S.row_blocks(numbered, halo_before=3, halo_after=3, size=block_rows)
@@ -390,25 +387,25 @@ def sample_votes(spark, sf, block_rows: int = 700):
     return S.drop_halo(scored)
 
 
-@query("f7_neighbourhood_counts", f"""with {Q.POOLED}, {SAMPLE_VOTES} select event_id, metric, votes, near2::bigint as near2,
+@query("f7_neighbourhood_counts", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, metric, votes, near2::bigint as near2,
   near3::bigint as near3 from near_""")
 def f7(spark, sf):
     return sample_votes(spark, sf).select("event_id", "metric", "votes", "near2", "near3")
 
 
-@query("h11_severity", f"""with {Q.POOLED}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'Normal'
+@query("h11_severity", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'Normal'
   when near2 > 1 then 'High' else 'Medium' end as severity from near_""")
 def h11(spark, sf):
     return sample_votes(spark, sf).select("event_id", "severity")
 
 
-@query("h12_anomaly_type", f"""with {Q.POOLED}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'None'
+@query("h12_anomaly_type", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'None'
   when near3 >= 3 then 'Collective' when near3 = 1 then 'Point' else 'Contextual' end as anomaly_type from near_""")
 def h12(spark, sf):
     return sample_votes(spark, sf).select("event_id", "anomaly_type")
 
 
-@query("h13_reason_text", f"""with {Q.POOLED}, {SAMPLE_VOTES} select event_id, case when ensemble_anomaly then
+@query("h13_reason_text", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when ensemble_anomaly then
   'Detected by: Rule-Based, Model-Based' else '' end as ensemble_reason from near_""")
 def h13(spark, sf):
     return sample_votes(spark, sf).select("event_id", "ensemble_reason")

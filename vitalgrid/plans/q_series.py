@@ -431,10 +431,10 @@ def threshold_sql(rules, source: str = "minutes") -> str:
 
 
 @query("f3_sustained_condition", f"""with {Q.MINUTES}, {_GAPS}, {threshold_sql(SHORT_RULES)}
-  select metric, ts, threshold_anomaly, severity from flagged""")
+  select user_id, metric, ts, threshold_anomaly, severity from flagged""")
 def f3(spark, sf):
     flagged = T.detect(C.observed_minutes(spark, sf), T.rules_table(spark, SHORT_RULES))
-    return plain_time(flagged.select("metric", "ts", "threshold_anomaly", "severity"), "ts")
+    return plain_time(flagged.select(*KEYS, "ts", "threshold_anomaly", "severity"), "ts")
 
 
 @query("f4_sampling_period", f"""with {Q.MINUTES}, {_GAPS} select user_id, metric, period_us from periods""")
@@ -442,20 +442,20 @@ def f4(spark, sf):
     return T.sampling_period(C.observed_minutes(spark, sf))
 
 
-@query("f5_minutes_to_rows", f"""with {Q.MINUTES}, {_GAPS} select metric, m as minutes,
+@query("f5_minutes_to_rows", f"""with {Q.MINUTES}, {_GAPS} select user_id, metric, m as minutes,
   cast(greatest(1, floor(m * 60000000.0 / period_us)) as bigint) as n from periods, (select unnest([0, 1, 5, 10, 90]) as m)""")
 def f5(spark, sf):
     periods = T.sampling_period(C.observed_minutes(spark, sf))
     minutes = periods.withColumn("minutes", F.explode(F.array(*[F.lit(m) for m in (0, 1, 5, 10, 90)])))
-    return minutes.select("metric", "minutes", T.rows_in(F.col("minutes"), F.col("period_us")).alias("n"))
+    return minutes.select(*KEYS, "minutes", T.rows_in(F.col("minutes"), F.col("period_us")).alias("n"))
 
 
-@query("f6_rolling_band", f"""with {Q.POOLED}, b as (select event_id, metric, quantile_cont(value, 0.5) over (w rows between 14
+@query("f6_rolling_band", f"""with {Q.USERS}, b as (select event_id, metric, quantile_cont(value, 0.5) over (w rows between 14
    preceding and current row) as p, coalesce(stddev_samp(value) over (w rows between 29 preceding and current row), 0) as s
-   from pooled where value is not null window w as (partition by metric order by ts, event_id))
+   from pooled where value is not null window w as (partition by user_id, metric order by ts, event_id))
   select event_id, metric, {sr('p', 4)} as predicted, {sr('p - 2 * s', 4)} as yhat_lower, {sr('p + 2 * s', 4)} as yhat_upper from b""")
 def f6(spark, sf):
-    band = R.rolling_forecast(C.pooled_samples(spark, sf), order=("ts", "event_id"), block_rows=500)
+    band = R.rolling_forecast(C.samples(spark, sf), order=("ts", "event_id"), block_rows=500)
     return rounded(band.select("event_id", "metric", "predicted", "yhat_lower", "yhat_upper"),
                    "predicted", "yhat_lower", "yhat_upper", n=4)
 

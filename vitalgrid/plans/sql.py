@@ -20,12 +20,17 @@ WINDOW_DAILY = DAILY + """, window_daily as (
   select * from daily union all
   select -3::bigint, l_returnflag, cast(l_shipdate as date), sum(l_quantity) from lineitem group by 2, 3)"""
 
-MINUTES = POOLED + """, minutes as (
+USERS = SAMPLES + """, pooled as (select user_id, metric, ts, value, event_id from samples)"""
+
+_MINUTES = """, minutes as (
   select user_id, metric, date_trunc('minute', ts) as ts,
          case when metric = 'heart_rate' then avg(value) else coalesce(sum(value), 0) end as value
   from pooled group by user_id, metric, 3)"""
 
-GRID = MINUTES + """, spans as (select user_id, metric, min(ts) as lo, max(ts) as hi from minutes group by all),
+#: Minutes with data, of every user; dense grids are built for all users together.
+MINUTES = USERS + _MINUTES
+
+GRID = POOLED + _MINUTES + """, spans as (select user_id, metric, min(ts) as lo, max(ts) as hi from minutes group by all),
 grid as (select s.user_id, s.metric, g.ts, m.value
   from (select user_id, metric, unnest(generate_series(lo, hi, interval 1 minute)) as ts from spans) g
   join spans s using (user_id, metric) left join minutes m using (user_id, metric, ts))"""
