@@ -302,12 +302,22 @@ def test_bending_follows_a_bend(spark):
 def test_event_impact(spark):
     plain = days(spark, [10] * 100).withColumnRenamed("y", "yhat")
     eventful = plain.withColumn("yhat", F.when(F.col("ds") == F.lit("2021-10-27").cast("date"), 2.0).otherwise(11.0))
-    impact = FC.event_impact(D.holiday_calendar(days(spark, [1] * 95)), plain, eventful)
+    eventful = eventful.withColumn("holiday_effect", F.col("yhat") - 10.0)
+    impact = FC.event_impact(D.holiday_calendar(days(spark, [1] * 95)), eventful)
     assert impact.count() == 12
     top = FC.largest_event(impact).first()
     assert (top.event, str(top.ds), top.diff) == ("vacation", "2021-10-27", -8.0)
 
 
+def test_comparison_equals_two_fits(spark):
+    rng = np.random.default_rng(6)
+    df = days(spark, rng.normal(50, 5, 100))
+    both = {r.ds: r for r in FC.compare_events(df).collect()}
+    plain = {r.ds: r for r in FC.components(df, FC.DETECTION).collect()}
+    for ds, r in plain.items():
+        assert [both[ds].yhat_without, both[ds].lower_without, both[ds].upper_without] == pytest.approx([r.yhat, r.fit_lower, r.fit_upper])
+
+
 def test_tasks(spark):
     df = days(spark, 50 + 0.1 * np.arange(130))
     hr = FC.heart_rate_task(df).first()

@@ -169,19 +169,23 @@ def holdout_mae(daily_df: DataFrame, model: Model = DEFAULT, days: int = 7, keys
             .agg(F.avg(F.abs(yhat - F.col("_held"))).alias("holdout_mae")))
 
 
-def event_impact(calendar: DataFrame, without: DataFrame, with_events: DataFrame, keys=KEYS) -> DataFrame:
-    """Both forecasts on each event day and their difference."""
+def event_impact(calendar: DataFrame, with_events: DataFrame, keys=KEYS) -> DataFrame:
+    """The forecast with and without events on each event day, and their difference.
+
+    Events are fitted last, on what trend and seasons leave, so the forecast
+    without them is the same one less their effect.
+    """
     on = [*keys, "ds"]
-    a = without.select(*on, F.col("yhat").alias("without_holiday"))
-    b = with_events.select(*on, F.col("yhat").alias("with_holiday"))
+    both = with_events.select(*on, (F.col("yhat") - F.col("holiday_effect")).alias("without_holiday"),
+                              F.col("yhat").alias("with_holiday"))
     diff = F.col("with_holiday") - F.col("without_holiday")
-    return (calendar.withColumnRenamed("holiday", "event").join(a, on, "left").join(b, on, "left")
+    return (calendar.withColumnRenamed("holiday", "event").join(both, on, "left")
             .withColumn("diff", diff).withColumn("absdiff", F.abs("diff")))
 
 
 def largest_event(impact: DataFrame, keys=KEYS) -> DataFrame:
     """The event day with the largest effect; ties go to the earliest day."""
-    best = F.min_by(F.struct("event", "ds", "diff"), F.struct(-F.col("absdiff"), F.col("ds")))
+    best = F.min_by(F.struct("event", "ds", "diff"), F.struct(-F.round("absdiff", 9), F.col("ds")))
     return (impact.where(F.col("absdiff").isNotNull()).groupBy(*keys).agg(best.alias("_b"))
             .select(*keys, "_b.*"))
 
@@ -216,9 +220,8 @@ def sleep_task(daily_df: DataFrame, keys=KEYS) -> DataFrame:
 def steps_task(daily_df: DataFrame, keys=KEYS) -> DataFrame:
     """Last 120 days, 30 ahead: effect of each event day, the largest one marked."""
     recent = latest_rows(daily_df, 120, "ds", keys)
-    plain = forecast(recent, replace(TASK, weekly=True), 30, keys)
     eventful = forecast(recent, replace(TASK, weekly=True, events=True), 30, keys)
-    impact = event_impact(D.holiday_calendar(recent, keys), plain, eventful, keys)
+    impact = event_impact(D.holiday_calendar(recent, keys), eventful, keys)
     top = largest_event(impact, keys).select(*keys, "ds", F.lit(True).alias("largest"))
     return (impact.join(top, [*keys, "ds"], "left")
             .withColumn("largest", F.coalesce("largest", F.lit(False))))
@@ -227,13 +230,13 @@ def steps_task(daily_df: DataFrame, keys=KEYS) -> DataFrame:
 def compare_events(daily_df: DataFrame, flags: DataFrame | None = None, keys=KEYS) -> DataFrame:
     """Both forecasts on the series' own days, with event names and anomaly flags."""
     on = [*keys, "ds"]
-    plain = components(daily_df, DETECTION, keys).select(
-        *on, "y", F.col("yhat").alias("yhat_without"), F.col("fit_lower").alias("lower_without"),
-        F.col("fit_upper").alias("upper_without"))
-    eventful = components(daily_df, replace(DETECTION, events=True), keys).select(
-        *on, "_event", F.col("yhat").alias("yhat_with"), F.col("fit_lower").alias("lower_with"),
+    fitted = components(daily_df, replace(DETECTION, events=True), keys)
+    plain = F.col("yhat") - F.col("holiday_effect")  # events are fitted last
+    spread = DETECTION.z * F.coalesce(F.stddev_samp(F.col("y") - plain).over(Window.partitionBy(*keys)), F.lit(0.0))
+    both = fitted.select(
+        *on, "y", plain.alias("yhat_without"), (plain - spread).alias("lower_without"), (plain + spread).alias("upper_without"),
+        F.col("_event").alias("event"), F.col("yhat").alias("yhat_with"), F.col("fit_lower").alias("lower_with"),
         F.col("fit_upper").alias("upper_with"))
-    both = plain.join(eventful, on).withColumnRenamed("_event", "event")
     if flags is None:
         return both.withColumn("is_anom", F.lit(False)).withColumn("anom_text", F.lit(""))
     marks = flags.select(*on, "is_anom", F.col("explanation").alias("anom_text"))

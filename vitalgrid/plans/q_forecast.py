@@ -16,7 +16,6 @@ from vitalgrid.schema import KEYS
 COLS = ("trend", "weekly", "yearly", "holiday_effect", "yhat", "yhat_lower", "yhat_upper")
 RECENT = """recent as (select user_id, metric, ds, y from daily qualify row_number() over (
   partition by user_id, metric order by ds desc) <= {n})"""
-TASK_WEEKLY = replace(FC.TASK, weekly=True)
 TASK_EVENTS = replace(FC.TASK, weekly=True, events=True)
 
 
@@ -118,10 +117,11 @@ TASK3 = f"""{RECENT.format(n=120)}, {fit_sql('recent', 'fa', FC.Z80, yearly='fal
 
 
 @query("i6_steps_task", f"""with {Q.DAILY}, {TASK3} select user_id, metric, ds, event, {sr('without_holiday', 2)} as without_holiday,
-  {sr('with_holiday', 2)} as with_holiday, {sr('diff', 2)} as diff from impact""")
+  {sr('with_holiday', 2)} as with_holiday, {sr('diff', 2)} as diff, absdiff is not null and row_number() over (partition by
+   user_id, metric order by round(absdiff, 9) desc nulls last, ds) = 1 as largest from impact""")
 def i6(spark, sf):
     impact = FC.steps_task(C.daily(spark, sf))
-    return rounded(impact.select(*KEYS, "ds", "event", "without_holiday", "with_holiday", "diff"),
+    return rounded(impact.select(*KEYS, "ds", "event", "without_holiday", "with_holiday", "diff", "largest"),
                    "without_holiday", "with_holiday", "diff", n=2)
 
 
@@ -129,8 +129,7 @@ def i6(spark, sf):
   {sr('absdiff', 2)} as absdiff from impact""")
 def d5(spark, sf):
     recent = latest_rows(C.daily(spark, sf), 120)
-    impact = FC.event_impact(D.holiday_calendar(recent), FC.forecast(recent, TASK_WEEKLY, 30),
-                             FC.forecast(recent, TASK_EVENTS, 30))
+    impact = FC.event_impact(D.holiday_calendar(recent), FC.forecast(recent, TASK_EVENTS, 30))
     return rounded(impact.select(*KEYS, "ds", "event", "diff", "absdiff"), "diff", "absdiff", n=2)
 
 
@@ -139,8 +138,7 @@ def d5(spark, sf):
   where k = 1 group by all""")
 def e20(spark, sf):
     recent = latest_rows(C.daily(spark, sf), 120)
-    impact = FC.event_impact(D.holiday_calendar(recent), FC.forecast(recent, TASK_WEEKLY, 30),
-                             FC.forecast(recent, TASK_EVENTS, 30))
+    impact = FC.event_impact(D.holiday_calendar(recent), FC.forecast(recent, TASK_EVENTS, 30))
     top = FC.largest_event(impact)
     return top.select(*KEYS, "event", r(F.abs("diff"), 2).alias("absdiff"))
 
