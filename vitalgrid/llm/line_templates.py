@@ -66,9 +66,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # filtered once stored: a filter before that would be pushed down and mask every line twice
     every = stored(lines(docs, id_col, text_col), "template-lines", "zstd").filter("leaf is not null")
     # a leaf of one document cannot hold a recurring template
-    busy = (every.groupBy("leaf").agg(F.count("*").alias("n"), F.min("k_text").alias("a"), F.max("k_text").alias("b"),
+    busy = stored(every.groupBy("leaf").agg(F.count("*").alias("n"), F.min("k_text").alias("a"), F.max("k_text").alias("b"),
                                       F.min("k_id").alias("c"), F.max("k_id").alias("d"))
-            .filter(~(F.col("a").eqNullSafe(F.col("b")) & F.col("c").eqNullSafe(F.col("d")))).select("leaf"))
+            .filter(~(F.col("a").eqNullSafe(F.col("b")) & F.col("c").eqNullSafe(F.col("d")))).select("leaf"), "template-busy")
     crowd = stored(every.join(busy, "leaf", "left_semi"), "template-crowd", "zstd")
     held = crowd.groupBy("leaf", *LINE, *KEY).agg(F.lit(1).alias("one"))
     known = stored(held.groupBy("leaf", *LINE).agg(F.count("*").alias("n_docs"))
