@@ -136,7 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .select("row_id", "source", "size", (F.col("ahead") + F.col("inside")).alias("start")))
     shares = plan.select(F.col("source").alias("p_source"), "source_no", "source_size", "target", "block_words", "blocks")
     first, last = (F.floor(x / F.col("block_words")) for x in (F.col("start"), F.col("start") + F.col("size") - 1))
-    pieces = (placed.join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("p_source")))  # one row a source
+    pieces = (placed.join(shares, F.col("source").eqNullSafe(F.col("p_source")))  # one row a source: Spark broadcasts it while it is small
               .withColumn("block", F.explode(F.sequence(first.cast("long"), last.cast("long")))))
     lo = F.greatest(F.col("block") * F.col("block_words") - F.col("start"), F.lit(0))
     hi = F.least((F.col("block") + 1) * F.col("block_words") - F.col("start"), F.col("size"))
@@ -144,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key = F.xxhash64(F.lit(seed), F.col("source_no"), F.col("copy"))
     drawn = (shard_ranges(plan, shards, seed)
              .withColumn("draw", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)))
-             .join(F.broadcast(plan.select("source_no", "blocks")), "source_no")
+             .join(plan.select("source_no", "blocks"), "source_no")
              .withColumn("copy", F.floor(F.col("draw") / F.col("blocks")).cast("int"))
              .withColumn("block", permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.col("factor"), key)))
     drawn = drawn.select("shard", "source_no", "copy", "block").hint("merge")  # grows with the corpus: never broadcast
@@ -160,7 +160,7 @@ def taken(docs: DataFrame, **names) -> DataFrame:
     got = draws.groupBy("row_id").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
     shares = plan.select(F.col("source").alias("p_source"), "source_size", "target")
     return (rows.select("row_id", "doc_id", "source", "size").join(got, "row_id", "left")
-            .join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("p_source")))
+            .join(shares, F.col("source").eqNullSafe(F.col("p_source")))
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))
 
 
