@@ -23,6 +23,9 @@ def test_ingest_picks_up_new_files(spark, tmp_path):
     assert run() == set()
     drop("c.json", 30, 80)
     assert run() == {(30, 65.0)}
+    drop("late.json", 0, 500)  # behind the watermark: the finished minute stays as it is
+    drop("d.json", 59, 90)
+    assert run() == {(30, 65.0), (0, 80.0)}
 
 
 def test_registered_queries_have_keys():

@@ -39,16 +39,21 @@ def text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _with_place(daily_df: DataFrame, keys) -> DataFrame:
+    return daily_df.withColumn("_b", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("ds").desc())))
+
+
+def _fact_columns() -> list[Column]:
+    mean_of = lambda cond: F.avg(F.when(cond, F.col("y")))
+    return [F.count("y").alias("n"), F.avg("y").alias("mean"), F.percentile("y", 0.5).alias("median"),
+            F.coalesce(F.stddev_samp("y"), F.lit(0.0)).alias("std"), F.min("y").alias("min"), F.max("y").alias("max"),
+            F.when(F.count("y") >= 14, mean_of(F.col("_b") <= 7) - mean_of(F.col("_b").between(8, 14)))
+            .otherwise(0.0).alias("recent_trend")]
+
+
 def series_facts(daily_df: DataFrame, keys=KEYS) -> DataFrame:
     """Statistics and recent trend of each series: what the text blocks need."""
-    back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("ds").desc()))
-    ranked = daily_df.withColumn("_b", back)
-    mean_of = lambda cond: F.avg(F.when(cond, F.col("y")))
-    return ranked.groupBy(*keys).agg(
-        F.count("y").alias("n"), F.avg("y").alias("mean"), F.percentile("y", 0.5).alias("median"),
-        F.coalesce(F.stddev_samp("y"), F.lit(0.0)).alias("std"), F.min("y").alias("min"), F.max("y").alias("max"),
-        F.when(F.count("y") >= 14, mean_of(F.col("_b") <= 7) - mean_of(F.col("_b").between(8, 14)))
-        .otherwise(0.0).alias("recent_trend"))
+    return _with_place(daily_df, keys).groupBy(*keys).agg(*_fact_columns())
 
 
 def metric_block(facts: DataFrame) -> DataFrame:
@@ -98,8 +103,8 @@ def recent_outliers(daily_df: DataFrame, top: int | None = 5, keys=KEYS) -> Data
     return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
-def anomaly_section(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
-    """``section``: number and share of outliers and the latest of them."""
+def _with_entries(daily_df: DataFrame, top: int, keys) -> DataFrame:
+    """Days with ``is_outlier`` and, for the latest ``top`` outliers of a series, their line of text."""
     flagged = sigma.deviation(sigma.outliers(sigma.moments(daily_df, keys)))
     rank = F.sum(F.col("is_outlier").cast("int")).over(
         Window.partitionBy(*keys).orderBy(F.col("ds").desc()).rowsBetween(Window.unboundedPreceding, 0))
@@ -107,18 +112,28 @@ def anomaly_section(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
     entry = text(F.col("rank").cast("string"), ". Date: ", F.date_format("ds", "yyyy-MM-dd"), ", Value: ",
                  fixed(F.col("y"), 2), " ", metric_unit(F.col("metric")), ", Deviation: ",
                  fixed(F.col("deviation"), 2), " std_dev from mean")
-    ranked = flagged.withColumn("rank", rank).withColumn("_e", F.when(listed, F.struct("rank", entry.alias("line"))))
-    counts = ranked.groupBy(*keys).agg(
-        F.count_if("is_outlier").alias("anomalies"), F.count(F.lit(1)).alias("_n"),
-        F.array_sort(F.collect_list("_e")).alias("_list"))
+    return flagged.withColumn("rank", rank).withColumn("_e", F.when(listed, F.struct("rank", entry.alias("line"))))
+
+
+def _section_columns() -> list[Column]:
+    return [F.count_if("is_outlier").alias("anomalies"), F.count(F.lit(1)).alias("_n"),
+            F.array_sort(F.collect_list("_e")).alias("_list")]
+
+
+def _section_text() -> Column:
     body = F.when(F.size("_list") > 0, lines(
         "Top Recent Anomalies:", F.array_join(F.transform("_list", lambda e: e["line"]), "\n"))
     ).otherwise("No day stands out.")
     share = fixed(F.col("anomalies") / F.col("_n") * 100, 2)
-    return counts.select(*keys, "anomalies", lines(
-        text("Metric: ", metric_title(F.col("metric"))),
-        text("Anomalies Detected: ", F.col("anomalies").cast("string")),
-        text("Percentage of Data: ", share, "%"), body).alias("section"))
+    return lines(text("Metric: ", metric_title(F.col("metric"))),
+                 text("Anomalies Detected: ", F.col("anomalies").cast("string")),
+                 text("Percentage of Data: ", share, "%"), body)
+
+
+def anomaly_section(daily_df: DataFrame, top: int = 5, keys=KEYS) -> DataFrame:
+    """``section``: number and share of outliers and the latest of them."""
+    counts = _with_entries(daily_df, top, keys).groupBy(*keys).agg(*_section_columns())
+    return counts.select(*keys, "anomalies", _section_text().alias("section"))
 
 
 def with_advice(report: Column, context: str) -> Column:
@@ -129,8 +144,9 @@ def user_report(daily_df: DataFrame, metrics=None, analysis: bool = True, anomal
                 title: str = "Health Report", context: str = "Based on your metrics and anomalies:") -> DataFrame:
     """One ASCII report per user: blocks and sections of the chosen metrics in order, then advice."""
     chosen = daily_df if metrics is None else daily_df.where(F.col("metric").isin(*metrics))
-    blocks = metric_block(series_facts(chosen)).select(*KEYS, "block")
-    parts = blocks.join(anomaly_section(chosen), list(KEYS))
+    # facts and section of a series in one grouping: its days are read and shuffled once
+    both = _with_place(_with_entries(chosen, 5, KEYS), KEYS).groupBy(*KEYS).agg(*_fact_columns(), *_section_columns())
+    parts = metric_block(both.withColumn("section", _section_text()))
     grouped = parts.groupBy("user_id").agg(F.array_sort(F.collect_list(
         F.struct("metric", "block", "section"))).alias("_p"))
 
