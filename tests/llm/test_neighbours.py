@@ -39,6 +39,7 @@ def test_edges(spark):
     rows = [(0, [1.0, 2.0]), (20, [0.0, 0.0]), (40, None), (60, [1.0, None]), (80, [float("nan"), 1.0]), (100, [float("inf"), 1.0]),
             (1, [3.0, 4.0]), (2, [3.0, 4.0]), (2, [3.0, 4.0]), (None, [1.0, 1.0]), (120, [-1.0, 0.5])]
     assert run(spark, rows) == brute(rows, 20)
+    assert run(spark, [*rows, (140, [9.0])]) == brute(rows, 20)
     assert run(spark, rows[:1]) == {}
     assert run(spark, []) == {}
 

@@ -81,7 +81,7 @@ def usable(v: Column) -> Column:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates of largest inner product of each query row, ties to smaller ids.
 
-    Null, zero and non-finite vectors and null ids take no part; vectors of another length than most are an error. A row
+    Null, zero and non-finite vectors, vectors shorter than the longest and null ids take no part. A row
     that repeats a query's id is not its neighbour; repeated rows of one id count once (the first in vector order).
     A query with fewer candidates than k gets them all; an empty table gives an empty result.
     """
@@ -91,6 +91,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                   .agg(F.min("v").alias("v"), F.max("q_").alias("q")), "nearest-rows")
     size = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q"), F.max(F.size("v")).alias("d")).first()
     dims, q_blocks = size.d or 0, max(1, -(-size.q // QUERY_BLOCK))
+    rows = rows.filter(F.size("v") == dims)
     c_blocks = max(1, -(-size.n // CANDIDATE_BLOCK))
     strips = -(-c_blocks // STRIP)
 
