@@ -117,20 +117,21 @@ class Cutter:
     """Cuts texts into units; lives in a task."""
 
     def __init__(self, chars: dict[str, int], pairs: list[str]):
-        self.place = np.zeros(0x110000, np.uint16)
+        self.place, self.row = np.zeros(0x110000, np.int32), len(chars) + 1
         for c, i in chars.items():
             self.place[ord(c)] = i
-        self.meet = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        self.apart = np.ones(self.row * self.row, bool)
         for p in pairs:
-            self.meet[chars[p[0]], chars[p[1]]] = True
+            self.apart[chars[p[0]] * self.row + chars[p[1]]] = False
 
     def units(self, text: str | None) -> list[str]:
         if not text:
             return []
         s, cuts = SPACE + text.replace(" ", SPACE), [0]
         for at in range(0, len(s) - 1, STRETCH):
-            place = self.place[np.frombuffer(s[at : at + STRETCH + 1].encode("utf-32-le", "surrogatepass"), np.uint32)]
-            cuts += (np.flatnonzero(~self.meet[place[:-1], place[1:]]) + (at + 1)).tolist()
+            place = self.place.take(np.frombuffer(s[at : at + STRETCH + 1].encode("utf-32-le", "surrogatepass"), np.uint32))
+            pair = place[:-1] * self.row + place[1:]
+            cuts += (np.flatnonzero(self.apart.take(pair)) + (at + 1)).tolist()
         cuts.append(len(s))
         return [s[a:b] for a, b in zip(cuts, cuts[1:])]
 
@@ -289,19 +290,28 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         ids, lengths, units = own["doc_ids"].iloc[0], own["lengths"].iloc[0], own["units"].iloc[0]
         mask = np.zeros(len(units), np.int64)
         mask[masks["code"].to_numpy()] = masks["mask"].to_numpy()
-        flat, counts = array("i"), np.zeros(len(units), np.int64)
-        for code, (unit, bits) in enumerate(zip(units, mask.tolist())):
+        flat, ends, get = array("i"), [], m.ids.get
+        for unit, bits in zip(units, mask.tolist()):
             if bits:
-                cuts = [i for i in range(len(unit)) if bits >> i & 1] + [len(unit)]
-                parts = [unit[a:b] for a, b in zip(cuts, cuts[1:])]
-            elif len(unit) > MASK_CHARS:
-                parts = merged(unit, m.ranks)[0] if m.kind == "bpe" else best_path(unit, m)
+                rest, at = bits >> 1, 0
+                while at < len(unit):  # to the next place that is set, or to the end
+                    step = (rest & -rest).bit_length() or len(unit) - at
+                    part = unit[at : at + step]
+                    i = get(part)
+                    if i is None:
+                        flat.extend(m.ids_of(part))
+                    else:
+                        flat.append(i)
+                    at, rest = at + step, rest >> step
             else:
-                parts = unit
-            before = len(flat)
-            for p in parts:
-                flat.extend(m.ids_of(p))
-            counts[code] = len(flat) - before
+                if len(unit) > MASK_CHARS:
+                    parts = merged(unit, m.ranks)[0] if m.kind == "bpe" else best_path(unit, m)
+                else:
+                    parts = unit
+                for p in parts:
+                    flat.extend(m.ids_of(p))
+            ends.append(len(flat))
+        counts = np.diff(np.array(ends, np.int64), prepend=0)
         flat, begin = np.array(flat, np.int32), np.cumsum(counts) - counts
         codes = unpacked(own["codes"].iloc[0])
         out, at = [], 0
