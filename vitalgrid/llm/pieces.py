@@ -19,6 +19,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,7 +29,7 @@ SPACE = "▁"
 #: Characters of a unit that a 64-bit mask can hold; longer units are merged in the task that holds them.
 MASK_CHARS = 60
 #: Characters of a block of documents, and of a stretch of text that is cut at once.
-BLOCK_CHARS, STRETCH = 1 << 24, 1 << 20
+BLOCK_CHARS, STRETCH = 14 << 20, 1 << 20
 #: Texts a task is handed at once while it cuts them; the rest of its memory is the block.
 BATCH, TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: What an unknown character costs a unigram path below the worst piece.
@@ -189,10 +190,10 @@ def blocked(docs: DataFrame, model) -> DataFrame:
                                           len(lengths))
                 if place < len(lengths):
                     lengths.append(-1 - place)
-                    continue
-                units = cutter.units(text)
-                parts.append(np.fromiter(map(codes.__getitem__, units), np.uint32, len(units)))
-                lengths.append(len(units))
+                else:
+                    units = cutter.units(text)
+                    parts.append(np.fromiter(map(codes.__getitem__, units), np.uint32, len(units)))
+                    lengths.append(len(units))
                 size += len(text or "")
                 if size >= BLOCK_CHARS:
                     yield block()
@@ -285,9 +286,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     masks = segmented(distinct, model)
     answers = asked.join(masks, "unit").select("asker", "code", "mask")
 
-    def spell(own: pd.DataFrame, masks: pd.DataFrame) -> pd.DataFrame:
-        m = shared.value
-        ids, lengths, units = own["doc_ids"].iloc[0], own["lengths"].iloc[0], own["units"].iloc[0]
+    def spell(own: pa.Table, masks: pa.Table) -> pa.Table:
+        m, units = shared.value, own["units"][0].as_py()
         mask = np.zeros(len(units), np.int64)
         mask[masks["code"].to_numpy()] = masks["mask"].to_numpy()
         flat, ends, get = array("i"), [], m.ids.get
@@ -313,21 +313,27 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             ends.append(len(flat))
         counts = np.diff(np.array(ends, np.int64), prepend=0)
         flat, begin = np.array(flat, np.int32), np.cumsum(counts) - counts
-        codes = unpacked(own["codes"].iloc[0])
-        out, at = [], 0
-        for size in lengths:
+        del units, mask, ends
+        codes, lengths = unpacked(own["codes"][0].as_py()), own["lengths"][0].values.to_numpy()
+        # of each text its first code, or that of the text it repeats, and its number of ids
+        first, sizes, at = np.zeros(len(lengths), np.int64), lengths.copy(), 0
+        for i, size in enumerate(lengths.tolist()):
             if size < 0:
-                out.append(out[-1 - size])
-                continue
-            mine = codes[at : at + size]
+                first[i], sizes[i] = first[-1 - size], sizes[-1 - size]
+            else:
+                first[i], at = at, at + size
+        total = np.array([counts[codes[a : a + n]].sum() for a, n in zip(first.tolist(), sizes.tolist())], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(total)])
+        values = np.empty(int(offsets[-1]), np.int32)
+        for a, n, to, end in zip(first.tolist(), sizes.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+            mine = codes[a : a + n]
             take = counts[mine]
-            offset = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
-            out.append(flat[np.repeat(begin[mine], take) + offset])
-            at += size
-        return pd.DataFrame({"doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64"),
-                             "n_tokens": [len(x) for x in out], "ids": out})
+            inside = np.arange(end - to) - np.repeat(np.cumsum(take) - take, take)
+            values[to:end] = flat[np.repeat(begin[mine], take) + inside]
+        return pa.table({"doc_id": own["doc_ids"][0].values, "n_tokens": total,
+                         "ids": pa.ListArray.from_arrays(offsets.astype(np.int32), values)})
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("asker")).applyInPandas(
+    return blocks.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
         spell, "doc_id long, n_tokens long, ids array<int>")
 
 
