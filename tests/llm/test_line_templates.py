@@ -21,6 +21,16 @@ def test_digits_and_varying_fields_generalise(make):
     assert got[0].n_dropped == 0 and all(got[i].n_dropped == 2 and got[i].text == "" for i in (1, 2, 3))
 
 
+def test_recurring_field_values_generalise_at_every_size(make):
+    # two fields of 10 values each recur within a leaf that also holds a rarer template with a field of its own
+    for n in (20, 200):
+        parcels = [(i, f"parcel from the {'abcdefghij'[i % 10]}x depot to the {'abcdefghij'[i * 7 // 10 % 10]}y depot was accepted "
+                       "for transport today", "en", "a") for i in range(n)]
+        rare = [(n + i, f"parcel from the shop {'pqrst'[i % 5]} was sent back because nobody opened the front door", "en", "a") for i in range(n // 4)]
+        got = result(make(parcels + rare))
+        assert sorted(i for i, r in got.items() if r.n_dropped == 0) == [0, n]
+
+
 def test_different_lines_of_a_leaf_stay(make):
     df = make([(1, "one two three alpha beta gamma delta epsilon zeta", "en", "a"),
                (2, "one two three red green blue black white grey", "en", "a")])

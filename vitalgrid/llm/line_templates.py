@@ -1,8 +1,10 @@
 """Line deduplication with a log-template tree.
 
 A line's tokens that hold a digit are variable fields. The tree has a fixed depth: lines go down by their number of tokens
-and their leading tokens. Within a leaf, a token that enough documents have at its place is constant, any other is
-generalised to a field, as long as most tokens stay constant. A template that recurs across documents is kept in its first
+and their leading tokens. A token's support is how often its leaf has it at its place, counted by distinct lines and their
+documents. Most of a line's tokens have at least the line's usual support; a token of no more than a part of that varies and
+is generalised to a field. As supports are only compared with one another, results do not depend on the size of the leaf,
+and a template that shares its leaf with a more frequent one is found as well. A template that recurs across documents is kept in its first
 document and dropped from the others. DataFrame functions only.
 """
 
@@ -19,10 +21,11 @@ from vitalgrid.session import stored
 FIELD = "<*>"
 #: Leading tokens that choose a branch; lines shorter than LEAST_TOKENS stay as they are.
 DEPTH, LEAST_TOKENS = 3, 5
-#: Documents in which a template, or a token at its place, must occur to recur.
+#: Documents in which a template must occur to recur.
 LEAST_DOCS = 2
-#: Only lines this long are generalised beyond their digits, and only if this share of tokens stays constant.
-GENERAL_TOKENS, CONSTANT_SHARE = 8, 0.75
+#: Only lines this long are generalised beyond their digits. This share of a line's tokens has its usual support or more and
+#: stays constant; a token of at most FIELD_SHARE of the usual support is a field.
+GENERAL_TOKENS, CONSTANT_SHARE, FIELD_SHARE = 8, 0.75, 0.5
 DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
@@ -48,15 +51,14 @@ def templates(known: DataFrame) -> DataFrame:
     crowded = known.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1").select("leaf")
     open_ = known.join(crowded, "leaf", "left_semi").filter(F.size(F.split("masked", " ")) >= GENERAL_TOKENS)
     placed = open_.select("leaf", *LINE, "n_docs", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    constant = (placed.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-                .select("leaf", "place", "token", F.lit(True).alias("constant")))
-    marked = placed.join(constant, ["leaf", "place", "token"], "left")
-    share = F.count("constant") / F.count("*")
-    general = (marked.groupBy("leaf", *LINE)
-               .agg(F.sort_array(F.collect_list(F.struct("place", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("t"))))
-                    .alias("parts"), share.alias("share"))
-               .filter(F.col("share") >= CONSTANT_SHARE)
-               .select("leaf", *LINE, F.array_join(F.col("parts.t"), " ").alias("general")))
+    # a token without a row here has support 1
+    support = (placed.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("n")).filter("n > 1")
+               .select("leaf", "place", "token", "n"))
+    marked = placed.join(support, ["leaf", "place", "token"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    parts = (marked.groupBy("leaf", *LINE).agg(F.sort_array(F.collect_list(F.struct("place", "token", "n"))).alias("parts"))
+             .withColumn("usual", F.element_at(F.sort_array("parts.n", asc=False), F.ceil(F.size("parts") * CONSTANT_SHARE).cast("int"))))
+    cut = F.transform("parts", lambda x: F.when(x["n"] > F.col("usual") * FIELD_SHARE, x["token"]).otherwise(FIELD))
+    general = parts.select("leaf", *LINE, F.array_join(cut, " ").alias("general"))
     both = known.join(general, ["leaf", *LINE], "left")
     return both.select("leaf", *LINE, F.coalesce("general", "masked").alias("template"))
 
