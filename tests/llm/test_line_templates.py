@@ -42,6 +42,12 @@ def test_short_lines_and_one_document_repeats_stay(make):
     assert all(r.n_dropped == 0 for r in result(df).values())
 
 
+def test_lines_of_few_tokens_and_without_blanks_recur(make):
+    shared = "All rights reserved.\n版权所有\n本网站所有内容未经许可不得转载\nสงวนลิขสิทธิ์"
+    got = result(make([(i, f"{shared}\n独自の文{'あいう'[i]}", "en", "a") for i in range(3)]))
+    assert got[0].n_dropped == 0 and all(got[i].n_dropped == 4 and got[i].text == f"独自の文{'あいう'[i]}" for i in (1, 2))
+
+
 def test_edges(odd, make):
     rows = T.dedup_lines(odd).collect()
     assert len(rows) == odd.count()

@@ -1,11 +1,12 @@
 """Line deduplication with a log-template tree.
 
 A line's tokens that hold a digit are variable fields. The tree has a fixed depth: lines go down by their number of tokens
-and their leading tokens. A token's support is how often its leaf has it at its place, counted by distinct lines and their
-documents. Most of a line's tokens have at least the line's usual support; a token of no more than a part of that varies and
-is generalised to a field. As supports are only compared with one another, results do not depend on the size of the leaf,
-and a template that shares its leaf with a more frequent one is found as well. A template that recurs across documents is kept in its first
-document and dropped from the others. DataFrame functions only.
+and their leading tokens. A line of few tokens, as is any line of a script without blanks, is a leaf of its own and recurs
+as a whole; only lines of very few bytes stay as they are. A token's support is how often its leaf has it at its place,
+counted by distinct lines and their documents. Most of a line's tokens have at least the line's usual support; a token of
+no more than a part of that varies and is generalised to a field. As supports are only compared with one another, results
+do not depend on the size of the leaf, and a template that shares its leaf with a more frequent one is found as well. A
+template that recurs across documents is kept in its first document and dropped from the others. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from vitalgrid.llm.common import row_key
 from vitalgrid.session import stored
 
 FIELD = "<*>"
-#: Leading tokens that choose a branch; lines shorter than LEAST_TOKENS stay as they are.
-DEPTH, LEAST_TOKENS = 3, 5
+#: Leading tokens that choose a branch; lines of under LEAST_TOKENS are whole templates, if they have LEAST_BYTES in UTF-8.
+DEPTH, LEAST_TOKENS, LEAST_BYTES = 3, 5, 8
 #: Documents in which a template must occur to recur.
 LEAST_DOCS = 2
 #: Only lines this long are generalised beyond their digits. This share of a line's tokens has its usual support or more and
@@ -32,7 +33,7 @@ KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf (null if too short)."""
+    """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf (null under LEAST_BYTES)."""
     cut = docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
     # most lines have neither digits nor white space but single spaces: the replacements are spared them
     fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGIT_TOKEN, FIELD)).otherwise(F.col("line"))
@@ -43,7 +44,7 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tokens = masked.withColumn("tokens", F.split("masked", " "))
     return tokens.select(*KEY, "line_no", "masked", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
                          F.when(F.size("tokens") >= LEAST_TOKENS, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
-                         .alias("leaf"))
+                         .when(F.octet_length("masked") >= LEAST_BYTES, F.xxhash64(F.size("tokens"), "masked")).alias("leaf"))
 
 
 def templates(known: DataFrame) -> DataFrame:
