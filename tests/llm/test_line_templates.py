@@ -48,6 +48,20 @@ def test_lines_of_few_tokens_and_without_blanks_recur(make):
     assert got[0].n_dropped == 0 and all(got[i].n_dropped == 4 and got[i].text == f"独自の文{'あいう'[i]}" for i in (1, 2))
 
 
+def test_rows_of_figures_are_compared_as_they_are(make):
+    df = make([(i, f"{i} {i + 3} {i * 7} {i * i} {i - 9}\nTotal {i}.5 {i}.25 {i}\n12 345 6789 0 1\n2024年{i}月第{i}号\n2024年版权所有", "en", "a")
+               for i in range(4)])
+    got = result(df)
+    assert got[0].n_dropped == 0 and all(got[i].n_dropped == 2 and "12 345" not in got[i].text and "版权" not in got[i].text
+                                         for i in (1, 2, 3))
+
+
+def test_words_and_figures_together_leave_enough_constant(make):
+    # four figures and two of four words vary: not the same line
+    df = make([(i, f"scale read 1{i} 2{i} 3{i} 4{i} {a} {b}", "en", "a") for i, (a, b) in enumerate(["pq", "rs", "tu", "vw"])])
+    assert all(r.n_dropped == 0 for r in result(df).values())
+
+
 def test_edges(odd, make):
     rows = T.dedup_lines(odd).collect()
     assert len(rows) == odd.count()

@@ -1,6 +1,7 @@
 """Line deduplication with a log-template tree.
 
-A line's tokens that hold a digit are variable fields. The tree has a fixed depth: lines go down by their number of tokens
+A line's tokens that hold a digit are variable fields, if enough other tokens are left; else, as in rows of figures, the
+line is compared as it is. The tree has a fixed depth: lines go down by their number of tokens
 and their leading tokens. A line of few tokens, as is any line of a script without blanks, is a leaf of its own and recurs
 as a whole; only lines of very few bytes stay as they are. A token's support is how often its leaf has it at its place,
 counted by distinct lines and their documents. Most of a line's tokens have at least the line's usual support; a token of
@@ -14,7 +15,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalgrid.llm.common import row_key
 from vitalgrid.session import stored
@@ -27,20 +28,29 @@ LEAST_DOCS = 2
 #: Only lines this long are generalised beyond their digits. This share of a line's tokens has its usual support or more and
 #: stays constant; a token of at most FIELD_SHARE of the usual support is a field.
 GENERAL_TOKENS, CONSTANT_SHARE, FIELD_SHARE = 8, 0.75, 0.5
+#: What no field may take of any template: so many tokens, and this share of them, are words.
+LEAST_WORDS, WORD_SHARE = 2, 0.5
 DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
 
 
+def enough(words: Column, tokens: Column) -> Column:
+    """Whether a template of so many words and tokens in all says more than that there are fields."""
+    return (words >= LEAST_WORDS) & (words >= tokens * WORD_SHARE)
+
+
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf (null under LEAST_BYTES)."""
     cut = docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
     # most lines have neither digits nor white space but single spaces: the replacements are spared them
-    fields = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGIT_TOKEN, FIELD)).otherwise(F.col("line"))
     uneven = reduce(or_, [F.col("line").contains(c) for c in ("  ", "\t", "\r", "\x0b", "\f")])
-    masked = (cut.select(*KEY, "line_no", uneven.alias("uneven"), fields.alias("line"))
-              .select(*KEY, "line_no", F.trim(F.when(F.col("uneven"), F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line")))
-                      .alias("masked")))
+    even = (cut.select(*KEY, "line_no", uneven.alias("uneven"), "line")
+            .select(*KEY, "line_no", F.trim(F.when(F.col("uneven"), F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line")))
+                    .alias("line")))
+    fields = even.withColumn("fields", F.split(F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", DIGIT_TOKEN, FIELD)), " "))
+    masked = fields.select(*KEY, "line_no", F.when(enough(F.size(F.array_remove("fields", FIELD)), F.size("fields")),
+                                                   F.array_join("fields", " ")).otherwise(F.col("line")).alias("masked"))
     tokens = masked.withColumn("tokens", F.split("masked", " "))
     return tokens.select(*KEY, "line_no", "masked", F.xxhash64("masked").alias("h1"), F.xxhash64(F.lit(1), "masked").alias("h2"),
                          F.when(F.size("tokens") >= LEAST_TOKENS, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
@@ -59,7 +69,8 @@ def templates(known: DataFrame) -> DataFrame:
     parts = (marked.groupBy("leaf", *LINE).agg(F.sort_array(F.collect_list(F.struct("place", "token", "n"))).alias("parts"))
              .withColumn("usual", F.element_at(F.sort_array("parts.n", asc=False), F.ceil(F.size("parts") * CONSTANT_SHARE).cast("int"))))
     cut = F.transform("parts", lambda x: F.when(x["n"] > F.col("usual") * FIELD_SHARE, x["token"]).otherwise(FIELD))
-    general = parts.select("leaf", *LINE, F.array_join(cut, " ").alias("general"))
+    general = (parts.select("leaf", *LINE, cut.alias("cut")).filter(enough(F.size(F.array_remove("cut", FIELD)), F.size("cut")))
+               .select("leaf", *LINE, F.array_join("cut", " ").alias("general")))
     both = known.join(general, ["leaf", *LINE], "left")
     return both.select("leaf", *LINE, F.coalesce("general", "masked").alias("template"))
 
