@@ -44,6 +44,18 @@ def test_edges(spark):
     assert run(spark, []) == {}
 
 
+def test_every_length_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(N, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(N, "CANDIDATE_BLOCK", 16)
+    monkeypatch.setattr(N, "STRIP", 2)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=24).astype(np.float32).tolist()) for i in range(200)]
+    others = [(i, rng.normal(size=7).astype(np.float32).tolist()) for i in range(200, 250)]
+    want = brute(rows, 5) | brute(others, 5)
+    assert len(want) == 13 and run(spark, [*rows, *others, (999, [1.0] * 25)], 5) == want
+    assert run(spark, [*rows, (1000, [1.0] * 25)], 5) == brute(rows, 5)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     x, y = rng.normal(size=(50, 64)) * 10, rng.normal(size=(60, 64)) * 0.01

@@ -18,7 +18,7 @@ from vitalgrid.session import stored
 
 #: Vectors of a block. Candidates are sent once for every query block, queries once for every strip of candidate blocks.
 QUERY_BLOCK, CANDIDATE_BLOCK, STRIP = 2048, 2048, 4
-PACKED = "block long, n int, ids binary, vectors binary"
+PACKED = "dims int, block long, n int, ids binary, vectors binary"
 
 
 def codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,14 +61,14 @@ def tile(queries: tuple, candidates: tuple, heaps: dict[int, list], k: int) -> N
                     heapq.heapreplace(heap, entry)
 
 
-def unpacked(row, dims: int) -> tuple:
-    x = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], dims)
+def unpacked(row) -> tuple:
+    x = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["dims"])
     return np.frombuffer(row["ids"], np.int64), x, codes(x)
 
 
 def pack(pdf: pd.DataFrame) -> pd.DataFrame:
     x = np.stack(pdf["v"].to_list()).astype(np.float64)
-    return pd.DataFrame({"block": pdf["block"].iloc[:1], "n": [len(pdf)], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
+    return pd.DataFrame({"dims": [x.shape[1]], "block": pdf["block"].to_list()[:1], "n": [len(pdf)], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
                          "vectors": [x.tobytes()]})
 
 
@@ -81,7 +81,8 @@ def usable(v: Column) -> Column:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates of largest inner product of each query row, ties to smaller ids.
 
-    Null, zero and non-finite vectors, vectors shorter than the longest and null ids take no part. A row
+    Null, zero and non-finite vectors and null ids take no part. Vectors of different length are not compared with one
+    another: each length is searched apart. A row
     that repeats a query's id is not its neighbour; repeated rows of one id count once (the first in vector order).
     A query with fewer candidates than k gets them all; an empty table gives an empty result.
     """
@@ -89,32 +90,34 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                                                       F.col(vector_col).cast("array<double>").alias("v"))
     rows = stored(named.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).groupBy("vec_id")
                   .agg(F.min("v").alias("v"), F.max("q_").alias("q")), "nearest-rows")
-    size = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q"), F.max(F.size("v")).alias("d")).first()
-    dims, q_blocks = size.d or 0, max(1, -(-size.q // QUERY_BLOCK))
-    rows = rows.filter(F.size("v") == dims)
-    c_blocks = max(1, -(-size.n // CANDIDATE_BLOCK))
-    strips = -(-c_blocks // STRIP)
-
-    def packed(df: DataFrame, blocks: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
-        return df.select(block.alias("block"), "vec_id", "v").groupBy("block").applyInPandas(pack, PACKED)
-
-    # a tile strip is one query block with STRIP candidate blocks; both sides know which strips they belong to
-    left = (packed(rows.filter("q"), q_blocks).withColumnRenamed("block", "q_block")
-            .withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1)))))
-    right = (packed(rows, c_blocks).withColumn("strip", (F.col("block") % strips).cast("int")).drop("block")
-             .withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long")))))
+    # lengths are few or, if they differ from row to row, have few vectors each; they stay a table, joined to the rows
+    sizes = stored(rows.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("n"), F.count_if("q").alias("n_q"))
+                   .withColumns({"q_blocks": F.greatest(F.ceil(F.col("n_q") / QUERY_BLOCK), F.lit(1)),
+                                 "c_blocks": F.greatest(F.ceil(F.col("n") / CANDIDATE_BLOCK), F.lit(1))})
+                   .filter("n_q > 0").withColumn("strips", F.ceil(F.col("c_blocks") / STRIP)), "nearest-sizes")
+    sized = rows.withColumn("dims", F.size("v")).join(sizes, "dims")
+
+    def packed(df: DataFrame, blocks: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("vec_id"), F.col(blocks))
+        blocked = df.select("dims", block.alias("block"), "vec_id", "v").groupBy("dims", "block").applyInPandas(pack, PACKED)
+        return blocked.join(sizes.select("dims", "q_blocks", "strips"), "dims")
+
+    # a tile strip is one query block with STRIP candidate blocks of its length; both sides know which strips they belong to
+    left = (packed(sized.filter("q"), "q_blocks").withColumnRenamed("block", "q_block")
+            .withColumn("strip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strips") - 1))))
+    right = (packed(sized, "c_blocks").withColumn("strip", F.col("block") % F.col("strips")).drop("block")
+             .withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1))))
 
     def strip(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         heaps: dict[int, list] = {}
         if len(queries) and len(candidates):
-            own = unpacked(queries.iloc[0], dims)
+            own = unpacked(queries.iloc[0])
             for i in range(len(candidates)):
-                tile(own, unpacked(candidates.iloc[i], dims), heaps, k)
+                tile(own, unpacked(candidates.iloc[i]), heaps, k)
         found = [(q, -v, s) for q, heap in heaps.items() for s, v in heap]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    heaps = (left.groupBy("q_block", "strip").cogroup(right.groupBy("q_block", "strip"))
+    heaps = (left.groupBy("dims", "q_block", "strip").cogroup(right.groupBy("dims", "q_block", "strip"))
              .applyInPandas(strip, "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # Spark keeps the k best of each query in every task before it shuffles, then merges them
