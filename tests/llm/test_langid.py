@@ -38,6 +38,19 @@ def test_long_text_equals_whole(make):
     assert (out == own).all()
 
 
+def test_very_long_texts_keep_their_language():
+    rng = np.random.default_rng(3)
+    known = [(" ".join(rng.choice(words.split(), 20)), lang) for lang, words in WORDS.items() for _ in range(40)]
+    model = L.fit(L.cells([t for t, _ in known]), [lang for _, lang in known])
+    foreign = "".join(map(chr, rng.integers(0x3B1, 0x3CA, 10_000_000)))  # n-grams of no language fill a small table
+    assert L.predict(model, [f"{words} {foreign}" for words in WORDS.values()])[0] == list(WORDS)
+
+
+def test_runs_of_non_letters_are_one_space():
+    a, b, c = L.cells(["one two", "one -- 12.5\n\ttwo", "onetwo"])
+    assert (a == b).all() and len(a) != len(c)
+
+
 def test_edges(odd, make):
     got = {(r.doc_id, r.held_out): r for r in L.identify(odd).collect()}
     by_id = {r.doc_id: r for r in got.values()}
