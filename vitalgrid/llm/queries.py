@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pieces, pii, toxicity
+from vitalgrid.llm import decontaminate, exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pieces, pii, toxicity
 from vitalgrid.llm.common import table
 
 #: A public byte-pair model with byte fallback.
@@ -98,3 +98,23 @@ def op1(spark, sf_dir):
     model = pieces.Model.load(PIECE_MODEL)
     coded = pieces.encode(table(spark, sf_dir, "documents"), model)
     return coded.withColumn("decoded_sha256", F.sha2(pieces.decoded(F.col("ids"), model), 256))
+
+
+@query("op13_decontamination", r"""
+    with words as (select *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+                   from (select 'd' as kind, doc_id as id, text from documents union all select 'i', item_id, text from benchmark)),
+    strings as (select distinct id, least(len(w), 10) as m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as s
+                from (select id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) as i from words where kind = 'i' and len(w) > 0)),
+    lengths as (select distinct m from strings),
+    d as (select row_number() over () as r, id, w from words where kind = 'd'),
+    grams as (select r, m, i, array_to_string(w[i : i + m - 1], ' ') as s
+              from (select r, w, m, unnest(generate_series(1, len(w) - m + 1)) as i from d, lengths)),
+    found as (select g.r, g.m, g.i, t.id as item from grams g join strings t on g.m = t.m and g.s = t.s),
+    hit as (select r, count(distinct p) as n_hit from (select r, unnest(generate_series(i, i + m - 1)) as p from (select distinct r, m, i from found)) group by r),
+    items as (select r, count(*) as n_items, string_agg(item::varchar, ',' order by item::varchar) as ids from (select distinct r, item from found) group by r)
+    select id as doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+        sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+    from d left join hit using (r) left join items using (r)""")
+def op13(spark, sf_dir):
+    return decontaminate.report(decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
