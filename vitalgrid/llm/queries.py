@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import decontaminate, exact_dedup, fixity, langid, line_templates, mixing, neighbours, ngram_join, pieces, pii, toxicity
+from vitalgrid.llm import decontaminate, exact_dedup, fixity, langid, lexical, line_templates, mixing, neighbours, ngram_join, pieces, pii, repair, toxicity
 from vitalgrid.llm.common import table
 
 #: A public byte-pair model with byte fallback.
@@ -118,3 +118,27 @@ def op1(spark, sf_dir):
     from d left join hit using (r) left join items using (r)""")
 def op13(spark, sf_dir):
     return decontaminate.report(decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op11_lexical_search", r"""
+    with words as (select r, id, kind, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term
+                   from (select 'd' as kind, doc_id as id, text, row_number() over () as r from documents
+                         union all select 'i', item_id, text, 0 from benchmark)),
+    tfs as (select r, id as doc_id, term, count(*) as tf from words where kind = 'd' group by all),
+    docs as (select r, sum(tf)::bigint as n from tfs group by r),
+    totals as (select count(*) as big_n, sum(n)::bigint as l from docs),
+    ms as (select r, 50 + (50 * n * big_n) // l as m from docs, totals),
+    w as (select term, floor(1000 * ln((2 * max(big_n) + 2) / (2 * count(*) + 1)))::bigint as w from tfs, totals group by term),
+    asked as (select distinct id as item_id, term from words where kind = 'i'),
+    scores as (select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+               from asked join tfs using (term) join w using (term) join ms using (r) group by item_id, r, doc_id),
+    ranked as (select *, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank from scores where score > 0)
+    select item_id, rank, doc_id, score from ranked where rank <= 50""")
+def op11(spark, sf_dir):
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf_dir):
+    return repair.repaired(table(spark, sf_dir, "conversations"))
