@@ -21,9 +21,7 @@ def plane(df: DataFrame, keys=KEYS) -> DataFrame:
             .withColumn("p", (F.row_number().over(w) - 1) / F.col("n")))
 
 
-def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int, min_points: int) -> pd.DataFrame:
-    if len(pdf) < min_points or not pdf["std"].iloc[0] > 0:
-        return pdf.assign(cluster=pd.array([None] * len(pdf), "Int32"), cluster_size=len(pdf))
+def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int) -> pd.DataFrame:
     pdf = pdf.sort_values(["z", "ds"])
     xy = pdf[["z", "p"]].to_numpy()
     n = len(xy)
@@ -35,21 +33,34 @@ def _lloyd(pdf: pd.DataFrame, clusters: int, iterations: int, min_points: int) -
         if turn < iterations:
             sums = np.column_stack([np.bincount(nearest, xy[:, c], k) for c in (0, 1)])
             centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
-    return pdf.assign(cluster=nearest, cluster_size=size[nearest])
+    return pdf.drop(columns=["z", "p"]).assign(cluster=nearest.astype(np.int32), cluster_size=size[nearest])
 
 
-def small_clusters(points: DataFrame, clusters: int = 4, iterations: int = 10, share: float = SMALL_SHARE,
-                   min_points: int = 2, keys=KEYS) -> DataFrame:
-    """K-means per series; ``is_small`` marks clusters with under ``share`` of the rows.
+def cluster_days(points: DataFrame, clusters: int = 4, iterations: int = 10, keys=KEYS) -> DataFrame:
+    """K-means per series: the key of each day with its ``cluster`` and ``cluster_size``.
 
-    Centres start at evenly spaced ranks of ``z``. Grouped pandas on the series
-    key the points are already partitioned by; a group is one daily series. A
-    series that is constant or has under ``min_points`` stays without clusters.
+    Centres start at evenly spaced ranks of ``z``. Grouped pandas, so only give it series that can have clusters; it is
+    dealt to a fixed number of tasks, as few bytes may be much work.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    labelled = points.groupBy(*keys).applyInPandas(
-        lambda pdf: _lloyd(pdf, clusters, iterations, min_points), f"{fields}, cluster int, cluster_size long")
-    return labelled.withColumn("is_small", F.col("cluster_size") < F.col("n") * share)
+    slim = points.select(*keys, "ds", "z", "p")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name not in ("z", "p"))
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return slim.repartition(tasks, *keys).groupBy(*keys).applyInPandas(
+        lambda pdf: _lloyd(pdf, clusters, iterations), f"{fields}, cluster int, cluster_size long")
+
+
+def mark_small(points: DataFrame, clustered: DataFrame, share: float = SMALL_SHARE, keys=KEYS) -> DataFrame:
+    """``is_small`` marks days of clusters with under ``share`` of the series' rows; days without cluster are not small."""
+    return (points.join(clustered, [*keys, "ds"], "left")
+            .withColumn("cluster_size", F.coalesce("cluster_size", F.col("n")))
+            .withColumn("is_small", F.col("cluster_size") < F.col("n") * share))
+
+
+def small_clusters(points: DataFrame, clusters: int = 4, iterations: int = 10, share: float = SMALL_SHARE,
+                   min_points: int = 2, keys=KEYS) -> DataFrame:
+    """``cluster_days`` and ``mark_small``; a series that is constant or has under ``min_points`` stays without clusters."""
+    able = points.where((F.col("n") >= min_points) & (F.col("std") > 0))
+    return mark_small(points, cluster_days(able, clusters, iterations, keys), share, keys)
 
 
 def noise_points(points: DataFrame, eps: float = 0.5, min_samples: int = 3, keys=KEYS) -> DataFrame:

@@ -112,11 +112,12 @@ def detect_methods(daily_df: DataFrame, min_points: int = ENOUGH, keys=KEYS) ->
     base = stored(sigma.moments(daily_df.where(F.col("y").isNotNull()), keys), "daily")
     base = base.withColumn("method_status", method_status(F.col("n"), F.col("std"), min_points))
     full, some = F.col("method_status") == "all methods", F.col("n") >= FEW
-    noise = cluster.noise_points(cluster.plane(base.where(full), keys), keys=keys)
+    able = cluster.plane(base.where(full), keys)
+    noise = cluster.noise_points(able, keys=keys)
     banded = sigma.band_breaches(sigma.spikes(sigma.outliers(base), keys=keys), min_points, keys)
     judged = banded.withColumns({"is_outlier": F.col("is_outlier") & some, "is_spike": F.col("is_spike") & some,
                                  "is_breach": F.col("is_breach") & full})
-    clustered = cluster.small_clusters(cluster.plane(judged, keys), min_points=min_points, keys=keys)
+    clustered = cluster.mark_small(cluster.plane(judged, keys), cluster.cluster_days(able, keys=keys), keys=keys)
     return cluster.mark_noise(clustered, noise, keys)
 
 

@@ -45,11 +45,17 @@ def order_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as samples of their supplier, by return flag: series of years, so that users have windows."""
     return table(spark, sf_dir, "lineitem").select(
-        F.lit(LINES).cast("long").alias("user_id"), F.col("l_returnflag").alias("metric"),
+        F.col("l_suppkey").cast("long").alias("user_id"), F.col("l_returnflag").alias("metric"),
         F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").alias("value"))
 
 
+def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of all suppliers together."""
+    return line_samples(spark, sf_dir).withColumn("user_id", F.lit(LINES).cast("long"))
+
+
 def user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.daily(samples(spark, sf_dir))
 
@@ -73,11 +79,11 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def long_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series of thousands of days: orders by priority and line items by return flag."""
     return (D.daily(order_samples(spark, sf_dir))
-            .unionByName(D.daily(line_samples(spark, sf_dir))))
+            .unionByName(D.daily(all_lines(spark, sf_dir))))
 
 
 def window_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily series with line items added: the input of the window features."""
+    """Daily series with those of suppliers added: the input of window features, clusters and votes."""
     return daily(spark, sf_dir).unionByName(D.daily(line_samples(spark, sf_dir)))
 
 

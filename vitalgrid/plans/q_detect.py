@@ -253,26 +253,26 @@ CLUSTERED = f"""{WINDOW_FEATURES.format(t='daily')}, {SCALED},
     (size / total < 0.05 or dbscan = -1) and total >= 3 as cluster_anomaly from sized)"""
 
 
-@query("h8_cluster_outliers", f"""with recursive {Q.DAILY}, {CLUSTERED} select user_id, metric, win, size as cluster_size,
+@query("h8_cluster_outliers", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED} select user_id, metric, win, size as cluster_size,
   dbscan = -1 as is_noise, cluster_anomaly from cluster_flags""")
 def h8(spark, sf):
     from pyspark.sql import Window
 
-    _, labelled = window_clusters(C.daily(spark, sf))
+    _, labelled = window_clusters(C.window_daily(spark, sf))
     flagged = CL.flag_small(labelled, ("user_id",), "dbscan")
     size = F.count(F.lit(1)).over(Window.partitionBy("user_id", "dbscan"))
     return flagged.select(*KEYS, "win", size.alias("cluster_size"), (F.col("dbscan") == -1).alias("is_noise"),
                           "cluster_anomaly")
 
 
-@query("h8_cluster_report", f"""with recursive {Q.DAILY}, {CLUSTERED} select user_id, count(distinct dbscan) as total_clusters,
+@query("h8_cluster_report", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED} select user_id, count(distinct dbscan) as total_clusters,
   count(*) filter (where cluster_anomaly) as anomalies_detected,
   {sr('100.0 * count(*) filter (where cluster_anomaly) / count(*)')} as anomaly_percentage,
   (select string_agg(s::varchar, ',' order by s) from (select count(*) as s from cluster_flags x
     where x.user_id = c.user_id group by dbscan)) as cluster_sizes from cluster_flags c group by 1 having count(*) >= 3
   union all select user_id, 0, 0, 0.0, '' from cluster_flags group by 1 having count(*) < 3""")
 def h8_report(spark, sf):
-    _, labelled = window_clusters(C.daily(spark, sf))
+    _, labelled = window_clusters(C.window_daily(spark, sf))
     report = CL.cluster_report(CL.flag_small(labelled, ("user_id",), "dbscan"), ("user_id",))
     # the labels' numbers are free, the sizes are not
     sizes = F.array_sort(F.map_values(F.from_json("cluster_distribution", "map<string,bigint>")))
@@ -337,7 +337,7 @@ def voted(spark, sf, min_votes: int = 2):
     Each detector reads the daily table anew, so it is stored once: it is what
     is left of the raw samples after the one pass over them.
     """
-    d = stored(C.daily(spark, sf), "daily")
+    d = stored(C.window_daily(spark, sf), "daily")
     as_rows = d.select(*KEYS, F.col("ds").cast("timestamp").alias("ts"), F.col("y").alias("value"))
     ruled = T.detect(as_rows, T.rules_table(spark), unit="year").select(
         *KEYS, F.to_date("ts").alias("ds"), "threshold_anomaly")
@@ -349,13 +349,13 @@ def voted(spark, sf, min_votes: int = 2):
     return E.score(joined, min_votes)
 
 
-@query("h10_vote_ensemble", f"""with recursive {Q.DAILY}, {VOTED} select user_id, metric, ds, votes,
+@query("h10_vote_ensemble", f"""with recursive {Q.DAILY_LINES}, {VOTED} select user_id, metric, ds, votes,
   {sr('confidence_score')} as confidence_score, ensemble_anomaly from voted""")
 def h10(spark, sf):
     return rounded(voted(spark, sf).select(*KEYS, "ds", "votes", "confidence_score", "ensemble_anomaly"), "confidence_score")
 
 
-@query("h19_detector_chain", f"""with recursive {Q.DAILY}, {VOTED} select user_id, metric, ds, {sr('y', 2)} as y,
+@query("h19_detector_chain", f"""with recursive {Q.DAILY_LINES}, {VOTED} select user_id, metric, ds, {sr('y', 2)} as y,
   threshold_anomaly, residual_anomaly, cluster_anomaly, ensemble_anomaly, severity, anomaly_type, ensemble_reason from voted""")
 def h19(spark, sf):
     return rounded(voted(spark, sf), "y", n=2).select(
@@ -411,15 +411,15 @@ def h13(spark, sf):
     return sample_votes(spark, sf).select("event_id", "ensemble_reason")
 
 
-@query("d6_cluster_flags_by_key", f"""with recursive {Q.DAILY}, {CLUSTERED}, {NUMBERED_WINS} select user_id, metric, ds, win,
+@query("d6_cluster_flags_by_key", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED}, {NUMBERED_WINS} select user_id, metric, ds, win,
   cluster_anomaly from placed join cluster_flags using (user_id, metric, win)""")
 def d6(spark, sf):
-    wins, labelled = window_clusters(C.daily(spark, sf))
+    wins, labelled = window_clusters(C.window_daily(spark, sf))
     flags = CL.flag_small(labelled, ("user_id",), "dbscan").select(*KEYS, "win", "cluster_anomaly")
     return wins.select(*KEYS, "win", "ds").join(flags, [*KEYS, "win"])
 
 
-@query("e7_weekly_confidence", f"""with recursive {Q.DAILY}, {VOTED} select metric, cast(date_trunc('week', ds) as date) as week,
+@query("e7_weekly_confidence", f"""with recursive {Q.DAILY_LINES}, {VOTED} select metric, cast(date_trunc('week', ds) as date) as week,
   {sr('avg(confidence_score)')} as confidence, count(*) filter (where ensemble_anomaly) as anomalies from voted group by all""")
 def e7(spark, sf):
     from vitalgrid.functions.scalars import week_start
@@ -429,13 +429,13 @@ def e7(spark, sf):
     return weekly
 
 
-@query("e8_severity_distribution", f"""with recursive {Q.DAILY}, {VOTED} select metric, severity, count(*) as n from voted
+@query("e8_severity_distribution", f"""with recursive {Q.DAILY_LINES}, {VOTED} select metric, severity, count(*) as n from voted
   where ensemble_anomaly group by all""")
 def e8(spark, sf):
     return voted(spark, sf).where("ensemble_anomaly").groupBy("metric", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("e9_anomalies_per_date", f"""with recursive {Q.DAILY}, {VOTED} select ds, count(*) filter (where ensemble_anomaly) as n
+@query("e9_anomalies_per_date", f"""with recursive {Q.DAILY_LINES}, {VOTED} select ds, count(*) filter (where ensemble_anomaly) as n
   from voted group by all""")
 def e9(spark, sf):
     return voted(spark, sf).groupBy("ds").agg(F.count_if("ensemble_anomaly").alias("n"))
@@ -447,19 +447,19 @@ SUMMARY = """summary as (select user_id, metric, count(*) filter (where ensemble
    count(*) filter (where ensemble_anomaly and severity = 'High') as high from voted group by all)"""
 
 
-@query("e11_ensemble_summary", f"""with recursive {Q.DAILY}, {VOTED}, {SUMMARY} select user_id, metric, total_anomalies,
+@query("e11_ensemble_summary", f"""with recursive {Q.DAILY_LINES}, {VOTED}, {SUMMARY} select user_id, metric, total_anomalies,
   {sr('avg_confidence')} as avg_confidence, low, medium, high from summary""")
 def e11(spark, sf):
     return rounded(stats.ensemble_summary(voted(spark, sf)), "avg_confidence")
 
 
-@query("e11_overall_summary", f"""with recursive {Q.DAILY}, {VOTED}, {SUMMARY} select sum(total_anomalies)::bigint as
+@query("e11_overall_summary", f"""with recursive {Q.DAILY_LINES}, {VOTED}, {SUMMARY} select sum(total_anomalies)::bigint as
   total_anomalies, {sr('avg(avg_confidence)')} as avg_confidence, count(*) as series, sum(high)::bigint as high from summary""")
 def e11_overall(spark, sf):
     return rounded(stats.overall_summary(stats.ensemble_summary(voted(spark, sf))), "avg_confidence")
 
 
-@query("e12_method_comparison", f"""with recursive {Q.DAILY}, {VOTED} select user_id, metric,
+@query("e12_method_comparison", f"""with recursive {Q.DAILY_LINES}, {VOTED} select user_id, metric,
   count(*) filter (where threshold_anomaly) as threshold, count(*) filter (where residual_anomaly) as model,
   count(*) filter (where cluster_anomaly) as cluster, count(*) filter (where ensemble_anomaly) as ensemble
   from voted group by all""")
@@ -467,7 +467,7 @@ def e12(spark, sf):
     return stats.method_counts(voted(spark, sf))
 
 
-@query("g3_top_by_confidence", f"""with recursive {Q.DAILY}, {VOTED} select user_id, metric,
+@query("g3_top_by_confidence", f"""with recursive {Q.DAILY_LINES}, {VOTED} select user_id, metric,
   row_number() over (partition by user_id, metric order by votes desc, ds) as rank, ds, {sr('confidence_score')} as confidence_score,
   severity, anomaly_type, ensemble_reason from voted where ensemble_anomaly qualify rank <= 10""")
 def g3(spark, sf):
@@ -475,7 +475,7 @@ def g3(spark, sf):
     return rounded(top.withColumn("rank", F.col("rank").cast("long")), "confidence_score")
 
 
-@query("g4_anomaly_details", f"""with recursive {Q.DAILY}, {VOTED} select user_id, metric, ds, {sr('y', 2)} as y,
+@query("g4_anomaly_details", f"""with recursive {Q.DAILY_LINES}, {VOTED} select user_id, metric, ds, {sr('y', 2)} as y,
   {sr('confidence_score')} as confidence_score, severity, anomaly_type, ensemble_reason from voted where ensemble_anomaly""")
 def g4(spark, sf):
     details = voted(spark, sf).where("ensemble_anomaly").select(

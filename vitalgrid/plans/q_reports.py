@@ -100,7 +100,7 @@ def k4(spark, sf):
     return RP.user_report(_body_daily(spark, sf))
 
 
-@query("k5_ensemble_report", f"""with recursive {Q.DAILY}, {VOTED}, {SUMMARY} select user_id, metric, concat_ws({NL}, '### ' || {TITLE},
+@query("k5_ensemble_report", f"""with recursive {Q.DAILY_LINES}, {VOTED}, {SUMMARY} select user_id, metric, concat_ws({NL}, '### ' || {TITLE},
   '- Total Anomalies: ' || total_anomalies, '- Avg Confidence: ' || {f('avg_confidence', 3)},
   '- Severity: HIGH=' || high || ' | MEDIUM=' || medium || ' | LOW=' || low) as report from summary""")
 def k5(spark, sf):

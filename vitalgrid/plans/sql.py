@@ -16,9 +16,14 @@ daily as (
   union all
   select -1::bigint, o_orderpriority, cast(o_orderdate as date), sum(o_totalprice) from orders group by 2, 3)"""
 
-WINDOW_DAILY = DAILY + """, window_daily as (
-  select * from daily union all
-  select -3::bigint, l_returnflag, cast(l_shipdate as date), sum(l_quantity) from lineitem group by 2, 3)"""
+_LINES = """
+  union all
+  select l_suppkey, l_returnflag, cast(l_shipdate as date), sum(l_quantity) from lineitem group by 1, 2, 3)"""
+
+WINDOW_DAILY = DAILY + ", window_daily as (select * from daily" + _LINES
+
+#: ``daily`` with the series of suppliers, for whatever needs users with windows.
+DAILY_LINES = DAILY.replace("\ndaily as (", "\ndevice_daily as (") + ", daily as (select * from device_daily" + _LINES
 
 USERS = SAMPLES + """, pooled as (select user_id, metric, ts, value, event_id from samples)"""
 
