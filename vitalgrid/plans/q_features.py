@@ -39,6 +39,8 @@ def _auto_sql() -> str:
 
 COUNTS = ("count_above_mean", "count_below_mean", "longest_above_mean", "longest_below_mean", "number_peaks")
 REALS = tuple(c for c in FT.AUTOMATIC if c not in COUNTS)
+
+
 def windows(spark, sf):
     return FT.windows(C.window_daily(spark, sf))
 
@@ -53,17 +55,21 @@ def j1(spark, sf):
     return rounded(long, "value", n=2)
 
 
-def _digits(c: str) -> str:
+def digits_sql(c: str) -> str:
+    """Six significant digits, zero below 1e-9."""
     return f"case when abs({c}) < 1e-9 then 0.0 else round({c} / pow(10, floor(log10(abs({c})) + 1e-9)) + 1e-9, 5) * pow(10, floor(log10(abs({c})) + 1e-9)) end"
 
 
+def to_digits(df, names):
+    size = lambda c: F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c)) + 1e-9))
+    return df.withColumns({c: F.when(F.abs(c) < 1e-9, 0.0).otherwise(F.round(F.col(c) / size(c) + 1e-9, 5) * size(c)) for c in names})
+
+
 @query("j2_automatic_features", f"""with {WINS}, {_auto_sql()} select user_id, metric, win, {", ".join(COUNTS)},
-  {", ".join(f"{sr(f'cast({_digits(c)} as double)', 6)} as {c}" for c in REALS)} from auto""")
+  {", ".join(f"{sr(f'cast({digits_sql(c)} as double)', 6)} as {c}" for c in REALS)} from auto""")
 def j2(spark, sf):
     """The features themselves, to six significant digits."""
-    size = lambda c: F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c)) + 1e-9))
-    near = {c: F.when(F.abs(c) < 1e-9, 0.0).otherwise(F.round(F.col(c) / size(c) + 1e-9, 5) * size(c)) for c in REALS}
-    return rounded(automatic(spark, sf).withColumns(near), *REALS, n=6)
+    return rounded(to_digits(automatic(spark, sf), REALS), *REALS, n=6)
 
 
 HOLED = """holed as (select user_id, metric, win, case when win % 5 = 0 then null when win % 7 = 1 then 'inf'::double else trend_r2 end as a,
