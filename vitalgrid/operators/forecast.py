@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.functions.scalars import weekday_name
-from vitalgrid.operators import daily as D
+from vitalgrid.operators import daily as D, trend as TR
 from vitalgrid.operators.series import latest_rows
 from vitalgrid.operators.stats import first_last_trend
 from vitalgrid.schema import HOLIDAY_DAYS, KEYS
@@ -20,13 +18,14 @@ YEARLY_FROM = 365
 
 @dataclass(frozen=True)
 class Model:
-    """What the additive model contains. ``yearly`` None: only above a year of rows."""
+    """What the additive model contains. ``yearly`` None: only above a year of rows. ``knots``: places where the trend may bend."""
 
     z: float = Z80
     weekly: bool = True
     yearly: bool | None = None
     events: bool = False
     calendar: tuple = HOLIDAY_DAYS
+    knots: int = 0
 
 
 DEFAULT = Model()
@@ -46,6 +45,10 @@ def _seasonal(df: DataFrame, name: str, residual: Column, keys, group: str, on:
     return df.withColumn(name, F.when(on, F.col("_raw") - centre).otherwise(0.0))
 
 
+def _trend_at(t: Column, model: Model) -> Column:
+    return TR.value_at(t, model.knots) if model.knots else F.col("intercept") + F.col("slope") * t
+
+
 def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFrame:
     """Fit every series and add the fitted components of its own days.
 
@@ -58,10 +61,13 @@ def components(daily_df: DataFrame, model: Model = DEFAULT, keys=KEYS) -> DataFr
         "_start": F.min("ds").over(all_of), "_rows": F.count(y).over(all_of),
         "_dow": F.dayofweek("ds"), "_month": F.month("ds")})
     df = df.withColumn("t", F.datediff("ds", "_start").cast("double"))
-    df = df.withColumns({
-        "slope": F.coalesce(F.regr_slope(y, t).over(all_of), F.lit(0.0)),
-        "intercept": F.coalesce(F.regr_intercept(y, t).over(all_of), F.avg(y).over(all_of))})
-    df = df.withColumn("trend", F.col("intercept") + F.col("slope") * t)
+    if model.knots:
+        df = df.join(TR.sparse_trend(daily_df, model.knots, keys=keys), list(keys), "left")
+    else:
+        df = df.withColumns({
+            "slope": F.coalesce(F.regr_slope(y, t).over(all_of), F.lit(0.0)),
+            "intercept": F.coalesce(F.regr_intercept(y, t).over(all_of), F.avg(y).over(all_of))})
+    df = df.withColumn("trend", _trend_at(t, model))
     rest = y - F.col("trend")
     if model.weekly:
         df = _seasonal(df, "weekly", rest, keys, "_dow", F.lit(True))
@@ -126,8 +132,11 @@ def forecast(daily_df: DataFrame, model: Model = DEFAULT, periods: int = 0, keys
     def value(own: str, later: Column) -> Column:
         return F.when(new, later).otherwise(F.col(own)).alias(own)
 
+    sigma = F.col("sigma")
+    if model.knots:
+        sigma = F.when(new, F.sqrt(sigma * sigma + TR.future_variance(F.col("_ahead"), model.knots))).otherwise(sigma)
     rows = rows.select(
-        *keys, "ds", "sigma", value("trend", F.col("intercept") + F.col("slope") * F.col("t")),
+        *keys, "ds", sigma.alias("sigma"), value("trend", _trend_at(F.col("t"), model)),
         value("weekly", F.coalesce(F.element_at("_w", F.dayofweek("ds")), zero)),
         value("yearly", F.coalesce(F.element_at("_m", F.month("ds")), zero)), value("holiday_effect", effect))
     yhat = F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("holiday_effect")
@@ -245,56 +254,6 @@ def compare_events(daily_df: DataFrame, flags: DataFrame | None = None, keys=KEY
             .withColumn("anom_text", F.coalesce("anom_text", F.lit(""))))
 
 
-HINGES, WEEKLY_ORDER, YEARLY_ORDER = 25, 3, 10
-RIDGE_HINGE, RIDGE_SEASON, RIDGE_EVENT = 3.0, 1e-4, 1e-2
-
-
-def _ridge_fit(pdf: pd.DataFrame, periods: int, model: Model, keys) -> pd.DataFrame:
-    pdf = pdf.sort_values("ds")
-    past = pd.to_datetime(pdf["ds"]).to_numpy(dtype="datetime64[D]")
-    y = pdf["y"].to_numpy(dtype=float)
-    ds = np.concatenate([past, past[-1] + np.arange(1, periods + 1)])
-    day = (ds - past[0]).astype(float)
-    n, scale = len(y), np.abs(y).max() or 1.0
-    t = day / max(day[n - 1], 1.0)
-    knots = t[np.unique(np.linspace(0, int(0.8 * n) - 1, min(HINGES, max(int(0.8 * n) - 1, 0)) + 1)
-                        .round().astype(int))[1:]] if n > 2 else np.empty(0)
-
-    def waves(period: float, order: int) -> np.ndarray:
-        angle = 2 * np.pi * np.outer(ds.astype("datetime64[D]").astype(float) / period, np.arange(1, order + 1))
-        return np.hstack([np.sin(angle), np.cos(angle)])
-
-    trend = np.column_stack([np.ones_like(t), t, np.maximum(t[:, None] - knots, 0)])
-    weekly = waves(7.0, WEEKLY_ORDER) if model.weekly else np.empty((len(t), 0))
-    long_enough = model.yearly if model.yearly is not None else n > YEARLY_FROM
-    yearly = waves(365.25, YEARLY_ORDER) if long_enough else np.empty((len(t), 0))
-    events = np.empty((len(t), 0))
-    if model.events:
-        events = np.column_stack([((day + 1 >= a) & (day + 1 <= b)).astype(float) for _, a, b in model.calendar])
-    x = np.hstack([trend, weekly, yearly, events])
-    penalty = np.concatenate([[0.0, 0.0], np.full(len(knots), RIDGE_HINGE),
-                              np.full(weekly.shape[1] + yearly.shape[1], RIDGE_SEASON),
-                              np.full(events.shape[1], RIDGE_EVENT)])
-    a = x[:n]
-    beta = np.linalg.lstsq(a.T @ a + np.diag(penalty), a.T @ (y / scale), rcond=None)[0] * scale
-    edges = np.cumsum([trend.shape[1], weekly.shape[1], yearly.shape[1]])
-    parts = [m @ b for m, b in zip((trend, weekly, yearly, events), np.split(beta, edges))]
-    yhat = np.sum(parts, axis=0)
-    sigma = float(np.std(y - yhat[:n], ddof=1)) if n > 1 else 0.0
-    out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=range(len(t)))
-    out["ds"] = pd.to_datetime(ds).date
-    for name, part in zip(("trend", "weekly", "yearly", "holiday_effect"), parts):
-        out[name] = part
-    return out.assign(yhat=yhat, yhat_lower=yhat - model.z * sigma, yhat_upper=yhat + model.z * sigma)
-
-
-def bending_forecast(daily_df: DataFrame, model: Model = DEFAULT, periods: int = 0, keys=KEYS) -> DataFrame:
-    """Forecast whose trend may bend: hinges and Fourier terms by ridge regression.
-
-    Grouped pandas per daily series, whose size the calendar bounds.
-    """
-    known = daily_df.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema if f.name in keys)
-    schema = (f"{fields}, ds date, trend double, weekly double, yearly double, holiday_effect double, "
-              "yhat double, yhat_lower double, yhat_upper double")
-    return known.groupBy(*keys).applyInPandas(lambda pdf: _ridge_fit(pdf, periods, model, keys), schema)
+def bending_forecast(daily_df: DataFrame, model: Model = DEFAULT, periods: int = 0, keys=KEYS, knots: int = TR.KNOTS) -> DataFrame:
+    """Forecast whose trend may bend at a few of ``knots`` places, and whose band widens with bends yet to come."""
+    return forecast(daily_df, replace(model, knots=knots), periods, keys)

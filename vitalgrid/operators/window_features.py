@@ -75,7 +75,7 @@ BINS, ORDERS = 10, (3, 5)
 
 
 def code_entropy(codes: Column) -> Column:
-    """Entropy of an array of integer codes, from the runs of the sorted codes."""
+    """Entropy of a sorted array of integer codes, from its runs."""
     n = F.size(codes).cast("double")
 
     def part(run: Column) -> Column:
@@ -86,7 +86,7 @@ def code_entropy(codes: Column) -> Column:
             F.struct(code.alias("code"), F.lit(1).alias("run"), (s["sum"] + part(s["run"])).alias("sum")))
 
     start = F.struct(F.lit(-1).cast("long").alias("code"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"))
-    return F.aggregate(F.array_sort(codes), start, step, lambda s: -(s["sum"] + part(s["run"])))
+    return F.aggregate(codes, start, step, lambda s: -(s["sum"] + part(s["run"])))
 
 
 def order_codes(x: Column, order: int) -> Column:
@@ -100,9 +100,8 @@ def order_codes(x: Column, order: int) -> Column:
     return F.when(F.size(x) >= order, F.transform(F.sequence(F.lit(1), F.size(x) - (order - 1)), code))
 
 
-def bin_codes(x: Column, bins: int = BINS) -> Column:
+def bin_codes(x: Column, low: Column, high: Column, bins: int = BINS) -> Column:
     """Number of the equal-width bin of each value; one bin where all are equal."""
-    low, high = F.array_min(x), F.array_max(x)
     return F.transform(x, lambda v: F.when(high > low, F.least(F.floor((v - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(0).cast("long"))
 
 
@@ -146,9 +145,11 @@ def match_entropies(windowed: DataFrame, keys=KEYS) -> DataFrame:
 
 def entropies(windowed: DataFrame, keys=KEYS) -> DataFrame:
     """``match_entropies``, ``binned_entropy`` and ``permutation_entropy`` of each order; 0 for constant windows."""
-    x = gathered(windowed, keys)
-    coded = x.select(*keys, "win", code_entropy(bin_codes(F.col("x"))).alias("binned_entropy"),
-                     *[code_entropy(order_codes(F.col("x"), k)).alias(f"permutation_entropy_{k}") for k in ORDERS])
+    # columns of their own, as a lambda evaluates whatever else it holds for every value
+    x = gathered(windowed, keys).withColumns({"low": F.array_min("x"), "high": F.array_max("x")})
+    codes = {"binned_entropy": bin_codes(F.col("x"), F.col("low"), F.col("high"))} | {f"permutation_entropy_{k}": order_codes(F.col("x"), k) for k in ORDERS}
+    x = x.select(*keys, "win", *[F.array_sort(c).alias(name) for name, c in codes.items()])
+    coded = x.select(*keys, "win", *[code_entropy(F.col(name)).alias(name) for name in codes])
     return coded.join(match_entropies(windowed, keys), [*keys, "win"], "left")
 
 

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from vitalgrid.operators import daily as D, ensemble as E, forecast as FC
+from vitalgrid.operators import daily as D, ensemble as E, forecast as FC, trend as TR
 from vitalgrid.operators.series import latest_rows
 from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.q_detect import fit_sql, mode_sql, scored_sql
@@ -65,9 +65,80 @@ def i1_events(spark, sf):
     return rounded(FC.forecast(latest_rows(C.daily(spark, sf), 120), TASK_EVENTS, 30), *COLS, n=2)
 
 
-@query("i1_bending_forecast")
+def bend_sql(source: str, name: str, knots: int = TR.KNOTS) -> str:
+    """Twin of the sparse trend with every product summed by itself: CTEs ending in ``name`` (span, scale, level, slope, bends)."""
+    w, js = "partition by user_id, metric", range(1, knots + 1)
+    at = {j: f"({TR.KNOT_RANGE} * {j} / {knots})" for j in js}
+    h = {j: f"greatest(u - {at[j]}, 0)" for j in js}
+    sums = [f"sum({h[j]}) as p{j}, sum({h[j]} * u) as q{j}, sum({h[j]} * v) as c{j}" for j in js]
+    sums += [f"sum({h[j]} * {h[k]}) as g{j}_{k}" for j in js for k in js if j <= k]
+    cell = lambda j, k: f"g{min(j, k)}_{max(j, k)} - a{j} * p{k} - b{j} * q{k}"
+    moves, zeros = 2 * knots - 1, "[" + ", ".join("0.0" for _ in js) + "]::double[]"
+    return f"""{name}_u as (select *, case when span > 0 then t / span else 0 end as u, y / scale as v from (select *, max(t) over ({w}) as span,
+      coalesce(nullif(max(abs(y)) over ({w}), 0), 1) as scale from (select *, cast(date_diff('day', min(ds) over ({w}), ds) as double) as t from {source} where y is not null))),
+  {name}_l as (select *, v - lag(v) over ({w} order by ds) as step from {name}_u),
+  {name}_s as (select user_id, metric, max(span) as span, max(scale) as scale, count(*) as n, sum(u) as su, sum(u * u) as suu, sum(v) as sv, sum(u * v) as suv,
+      coalesce(sum(step * step), 0) / greatest(2 * count(step), 1) as noise, {", ".join(sums)} from {name}_l group by 1, 2),
+  {name}_d as (select *, case when n * suu - su * su > 1e-12 * n * suu then n * suu - su * su end as det from {name}_s),
+  {name}_a as (select *, (suu * sv - su * suv) / det as ay, (n * suv - su * sv) / det as by_,
+      {", ".join(f"(suu * p{j} - su * q{j}) / det as a{j}, (n * q{j} - su * p{j}) / det as b{j}" for j in js)} from {name}_d),
+  {name}_g as materialized (select *, [{", ".join("[" + ", ".join(cell(j, k) for k in js) + "]" for j in js)}]::double[][] as g,
+      [{", ".join(f"c{j} - a{j} * sv - b{j} * suv" for j in js)}]::double[] as c, noise / {TR.PRIOR} as lambda_ from {name}_a),
+  {name}_r(user_id, metric, i, b, r) as (select user_id, metric, 0, {zeros}, c from {name}_g where det is not null union all
+    select user_id, metric, i + 1, list_transform(b, lambda x, m: case when m = j then x + t when m = k then x - t else x end),
+      list_transform(r, lambda x, m: x - t * (gj[m] - case when k = j then 0 else gk[m] end)) from (
+      select *, case when a <= least_ then 0.0 when (grad + pen) / a < low then (grad + pen) / a when grad / a < low then low when grad / a <= high then grad / a
+          when (grad - pen) / a <= high then high else (grad - pen) / a end as t from (
+        select *, least(-b[j], other) as low, greatest(-b[j], other) as high from (
+          select *, gj[j] - case when k = j then 0 else 2 * gj[k] - gk[k] end as a, r[j] - case when k = j then 0 else r[k] end as grad,
+            case when k = j then -b[j] else b[k] end as other, case when k = j then lambda_ else 2 * lambda_ end as pen from (
+            select s.user_id, s.metric, i, b, r, lambda_, {TR.NOTHING} * n as least_, case when i % {moves} < {knots} then i % {moves} + 1 else i % {moves} - {knots} + 1 end as j,
+              case when i % {moves} < {knots} then i % {moves} + 1 else i % {moves} - {knots} + 2 end as k, g[j] as gj, g[k] as gk
+            from {name}_r s join {name}_g x on s.user_id = x.user_id and s.metric = x.metric where i < {moves * TR.SWEEPS}))))),
+  {name} as (select x.user_id, x.metric, span, scale, coalesce(b, {zeros}) as bends,
+      case when det is null then sv / n else ay {"".join(f" - b[{j}] * a{j}" for j in js)} end as level,
+      case when det is null then 0 else by_ {"".join(f" - b[{j}] * b{j}" for j in js)} end as slope
+    from {name}_g x left join {name}_r r on x.user_id = r.user_id and x.metric = r.metric and i = {moves * TR.SWEEPS})"""
+
+
+def bent_at_sql(t: str, knots: int = TR.KNOTS) -> str:
+    u = f"(case when span > 0 then {t} / span else 0 end)"
+    return f"scale * (level + slope * {u}" + "".join(f" + bends[{j}] * greatest({u} - {TR.KNOT_RANGE} * {j} / {knots}, 0)" for j in range(1, knots + 1)) + ")"
+
+
+def bent_forecast_sql(periods: int, z: float) -> str:
+    """The additive model around the sparse trend ``bt``: the straight fit of what the trend leaves, without its own line."""
+    fit = fit_sql("daily", "fit", z)
+    fit = fit.replace("f.*, slope, intercept, intercept + slope * t as trend,", f"f.*, b.* exclude (user_id, metric), {bent_at_sql('t')} as trend,")
+    fit = fit.replace("join fit_c using (user_id, metric)", "join bt b using (user_id, metric)")
+    return f"""{fit},
+  ends as (select user_id, metric, max(ds) as end_ds, min(start_ds) as start_ds, coalesce(max(sigma), 0) as sigma from fit group by all),
+  ahead as (select *, cast(unnest(generate_series(end_ds + interval 1 day, end_ds + interval {periods} day, interval 1 day)) as date) as ds from ends),
+  wk as (select user_id, metric, dow, max(weekly) as weekly from fit group by all), mo as (select user_id, metric, mon, max(yearly) as yearly from fit group by all),
+  later as (select a.user_id, a.metric, a.ds, {bent_at_sql("date_diff('day', start_ds, a.ds)")} as trend, coalesce(weekly, 0) as weekly, coalesce(yearly, 0) as yearly,
+      sqrt(sigma * sigma + pow(scale * list_sum(list_transform(bends, lambda x: abs(x))) / {TR.KNOTS}, 2) * 2 * {TR.KNOTS}
+        * pow(case when span > 0 then date_diff('day', end_ds, a.ds) / span else 0 end, 3) / 3) as sigma
+    from ahead a join bt using (user_id, metric) left join wk on a.user_id = wk.user_id and a.metric = wk.metric and dow = dayofweek(a.ds)
+    left join mo on a.user_id = mo.user_id and a.metric = mo.metric and mon = month(a.ds)),
+  fc as (select *, yhat - {z} * sigma as yhat_lower, yhat + {z} * sigma as yhat_upper from (
+    select user_id, metric, ds, trend, weekly, yearly, holiday_effect, yhat, coalesce(sigma, 0) as sigma from fit union all
+    select user_id, metric, ds, trend, weekly, yearly, 0.0, trend + weekly + yearly, sigma from later))"""
+
+
+@query("i1_bending_forecast", f"""with recursive {Q.DAILY}, {bend_sql('daily', 'bt')}, {bent_forecast_sql(14, FC.Z95)} select {_all()} from fc""")
 def i1_bending(spark, sf):
-    return FC.bending_forecast(C.daily(spark, sf), FC.DETECTION, 14)
+    """Sparse bends, weekday and month effects, and a band that widens."""
+    return rounded(FC.bending_forecast(C.daily(spark, sf), FC.DETECTION, 14), *COLS, n=2)
+
+
+@query("i1_trend_bends", f"""with recursive {Q.DAILY}, {bend_sql('daily', 'bt')} select user_id, metric, {sr('scale * level', 3)} as level, {sr('scale * slope', 3)} as slope,
+  {sr('scale * bends[j]', 3)} as bend, j::bigint as knot from (select *, unnest(generate_series(1, {TR.KNOTS})) as j from bt) where abs(scale * bends[j]) > 1e-4""")
+def i1_bends(spark, sf):
+    """The places where each series' trend bends, and by how much."""
+    bends = TR.sparse_trend(C.daily(spark, sf)).select(*KEYS, "scale", "level", "slope", F.posexplode("bends").alias("j", "b"))
+    bent = bends.where(F.abs(F.col("scale") * F.col("b")) > 1e-4)
+    return bent.select(*KEYS, *[r(F.col("scale") * F.col(c), 3).alias(name) for c, name in (("level", "level"), ("slope", "slope"), ("b", "bend"))],
+                       (F.col("j") + 1).cast("long").alias("knot"))
 
 
 @query("i2_forecast_horizon", f"""with {Q.DAILY}, e as (select user_id, metric, max(ds) as end_ds from daily group by all)
