@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vitalgrid.operators.axes import along, principal_axes
+from vitalgrid.operators.knn import nearest
 from vitalgrid.schema import KEYS
 from vitalgrid.session import stored
 
@@ -108,30 +110,48 @@ def square_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
 
 
+#: Principal axes a pair must be close on before its whole distance is computed, and those whose cells are joined.
+AXES, JOINED_AXES = 8, 3
+
+
+def close_candidates(points: DataFrame, by, x: str, eps: float, axes: int = AXES) -> DataFrame:
+    """Pairs (src, dst with its weight w, and both vectors) of a group that may be within ``eps``; each point is its own pair.
+
+    A rotation keeps distances, so the distance over a few axes is never more than the whole one. Cells of width ``eps`` on
+    the widest axes are joined by equality; then all of the axes must agree. ``points``: by, pid, w and the vector.
+    """
+    by = list(by)
+    found = principal_axes(points, x, axes)
+    if not len(found):
+        found = np.zeros((1, 1))
+    # a hair wider, as the rotation rounds
+    wide = eps * (1 + 1e-9) + 1e-9
+    joined = range(min(JOINED_AXES, len(found)))
+    placed = points.withColumn("_a", along(F.col(x), found))
+    placed = placed.withColumns({f"c{k}": F.floor(F.col("_a")[k] / wide) for k in joined})
+    probe = placed.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), F.col("_a").alias("_b"), *[f"c{k}" for k in joined])
+    near = F.sequence(F.lit(-1), F.lit(1))
+    for k in joined:
+        probe = probe.withColumn("_d", F.explode(near)).withColumn(f"c{k}", F.col(f"c{k}") + F.col("_d")).drop("_d")
+    pairs = probe.join(placed, [*by, *[f"c{k}" for k in joined]])
+    return pairs.where(square_distance(F.col("_b"), F.col("_a")) <= wide * wide).select(*by, "src", F.col("pid").alias("dst"), "w", "_x", x)
+
+
 def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float = 1.0,
                    min_samples: int = 2) -> DataFrame:
     """Density clusters per group ``by``; label = smallest row id of the cluster, -1 for noise.
 
     Equal vectors collapse into one weighted point first, so copies cost
-    nothing. Pairs come from an equi-join on grid cells of the leading two
-    dimensions. Labels spread along core-core edges and through each other's
-    labels until nothing changes. What a later round reads again is a table in
-    the shared folder: it survives lost executors, ends the lineage, and its
-    known size lets Spark choose the joins.
+    nothing. Pairs come from ``close_candidates``. Labels spread along core-core
+    edges and through each other's labels until nothing changes. What a later
+    round reads again is a table in the shared folder: it survives lost
+    executors, ends the lineage, and its known size lets Spark choose the joins.
     """
     by = list(by)
     matrix = stored(matrix, "matrix")
-    points = (matrix.groupBy(*by, x).agg(F.min(row_id).alias("pid"), F.count(F.lit(1)).alias("w"))
-              .withColumn("c0", F.floor(F.element_at(x, 1) / eps))
-              .withColumn("c1", F.floor(F.coalesce(F.try_element_at(F.col(x), F.lit(2)), F.lit(0.0)) / eps)))
-    near = F.sequence(F.lit(-1), F.lit(1))
-    probe = (points.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), "c0", "c1",
-                           F.explode(near).alias("_d0"))
-             .select(*by, "src", "_x", (F.col("c0") + F.col("_d0")).alias("c0"), "c1", F.explode(near).alias("_d1"))
-             .withColumn("c1", F.col("c1") + F.col("_d1")))
-    edges = (probe.join(points, [*by, "c0", "c1"])
-             .where(square_distance(F.col("_x"), F.col(x)) <= eps * eps)
-             .select(*by, "src", F.col("pid").alias("dst"), "w"))
+    points = stored(matrix.groupBy(*by, x).agg(F.min(row_id).alias("pid"), F.count(F.lit(1)).alias("w")), "points")
+    edges = (close_candidates(points, by, x, eps).where(square_distance(F.col("_x"), F.col(x)) <= eps * eps)
+             .select(*by, "src", "dst", "w"))
     weighed = stored(edges.withColumn("_w", F.sum("w").over(Window.partitionBy(*by, "src"))), "edges")
     core = weighed.where(F.col("_w") >= min_samples).select(*by, F.col("src").alias("pid")).distinct()
     links = (weighed.where(F.col("_w") >= min_samples)
@@ -187,6 +207,79 @@ def kmeans_labels(matrix: DataFrame, x: str = "x", by=("user_id",), order=("metr
         lambda pdf: _window_means(pdf, x, list(order), clusters, iterations), f"{fields}, kmeans int")
 
 
+def nearest_centre(x: Column, centres: Column) -> Column:
+    """Struct (d, j) of the closest centre; distances are rounded, so that ties of equal points break alike everywhere."""
+    each = F.transform(centres, lambda c: F.struct(F.round(square_distance(x, c["c"]), 9).alias("d"), c["j"].alias("j")))
+    return F.array_min(each)
+
+
+def spaced_centres(matrix: DataFrame, by, order, x: str, clusters: int) -> DataFrame:
+    """by, j, c: the points at evenly spaced places of each group; the same that ``kmeans_labels`` starts from."""
+    w = Window.partitionBy(*by)
+    n = F.count(F.lit(1)).over(w)
+    placed = matrix.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_k": F.least(F.lit(clusters).cast("long"), n), "_n": n})
+    j = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))
+    return (placed.withColumn("j", j).where(F.col("_i") == F.floor((F.col("j") + 0.5) * F.col("_n") / F.col("_k")))
+            .select(*by, F.col("j").cast("int").alias("j"), F.col(x).alias("c")))
+
+
+def scattered_centres(matrix: DataFrame, row_id, x: str, clusters: int, rounds: int = 5) -> list[list[float]]:
+    """Centres by k-means|| over the whole matrix: a few rounds that draw points in proportion to their squared distance.
+
+    Draws are hashes of the row's key, so reruns agree. The driver sees about two times ``clusters`` points a round, with
+    the number of rows closest to each, and reduces them by weighted k-means++.
+    """
+    first = matrix.orderBy(F.xxhash64(*row_id), *row_id).select(x).head()
+    if first is None:
+        return []
+    chosen = [list(first[0])]
+
+    def own(points) -> Column:
+        rows = [F.struct(F.lit(j).alias("j"), F.array(*[F.lit(float(v)) for v in p]).alias("c")) for j, p in enumerate(points)]
+        return nearest_centre(F.col(x), F.array(*rows))
+
+    for turn in range(rounds):
+        d = own(chosen)["d"]
+        total = matrix.agg(F.sum(d)).first()[0]
+        if not total:
+            break
+        draw = F.pmod(F.xxhash64(F.lit(turn), *row_id), F.lit(1 << 40)) / float(1 << 40)
+        drawn = matrix.where(draw < 2.0 * clusters * d / total).orderBy(F.xxhash64(*row_id), *row_id).select(x).limit(8 * clusters).collect()
+        chosen += [list(r[0]) for r in drawn if list(r[0]) not in chosen]
+    weights = {r.j: r["count"] for r in matrix.groupBy(own(chosen)["j"].alias("j")).count().collect()}
+    pts, w = np.array(chosen), np.array([weights.get(j, 0) for j in range(len(chosen))], float)
+    rng, picked = np.random.default_rng(0), []
+    while len(picked) < min(clusters, len(pts)):
+        far = w * (((pts[:, None] - pts[picked][None]) ** 2).sum(-1).min(1) if picked else 1.0)
+        if not far.sum():
+            break
+        picked.append(int(rng.choice(len(pts), p=far / far.sum())))
+    return [chosen[j] for j in picked]
+
+
+def lloyd(matrix: DataFrame, centres: DataFrame, by, x: str = "x", iterations: int = 10) -> tuple[DataFrame, DataFrame]:
+    """K-means for groups of any size: the matrix with ``kmeans``, and the centres (by, j, c).
+
+    The centres are a small table that is joined to the rows; each partition adds up its own rows of a centre, so what is
+    shuffled is one row a partition and centre. A centre that loses all rows stays where it is. ``by`` may be empty: one
+    model of all rows.
+    """
+    by = list(by)
+    matrix = stored(matrix, "matrix")
+    row = matrix.select(x).head()
+    dims = len(row[0]) if row else 0
+
+    def labelled() -> DataFrame:
+        table = centres.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("j", "c"))).alias("_centres"))
+        both = matrix.join(table, by) if by else matrix.join(F.broadcast(table))  # one row of ``clusters`` vectors
+        return both.withColumn("kmeans", nearest_centre(F.col(x), F.col("_centres"))["j"]).drop("_centres")
+
+    for _ in range(iterations):
+        means = labelled().groupBy(*by, F.col("kmeans").alias("j")).agg(F.array(*[F.avg(F.col(x)[d]) for d in range(dims)]).alias("m"))
+        centres = stored(centres.join(means, [*by, "j"], "left").select(*by, "j", F.coalesce("m", "c").alias("c")), "centres")
+    return labelled(), centres
+
+
 def _lof(pdf: pd.DataFrame, x: str, contamination: float) -> pd.DataFrame:
     pts = np.vstack(pdf[x].to_numpy())
     n = len(pts)
@@ -206,17 +299,38 @@ def _lof(pdf: pd.DataFrame, x: str, contamination: float) -> pd.DataFrame:
     return pdf.assign(lof=score, lof_label=np.where(-score < cut, -1, 0))
 
 
+#: Rows of a group that one task compares with one another; larger groups are joined by pivots.
+ONE_TASK = 4_000
+
+
 def local_outlier_factor(matrix: DataFrame, by=KEYS, row_id: str = "win", x: str = "x",
-                         contamination: float = 0.05) -> DataFrame:
-    """Local outlier factor of the windows of each series; label -1 below the contamination quantile.
+                         contamination: float = 0.05, one_task: int = ONE_TASK) -> DataFrame:
+    """Local outlier factor of the rows of each group; label -1 below the contamination quantile.
 
-    Grouped pandas per series: a series has one window per 30 calendar days,
-    and neighbours never leave the task.
+    Groups of up to ``one_task`` rows are grouped pandas, whose neighbours never leave the task. In larger ones the
+    neighbours come from ``knn.nearest`` and the factor from joins on them; both give the same numbers.
     """
-    slim = matrix.select(*by, row_id, x)
+    by = list(by)
+    slim = stored(matrix.select(*by, row_id, x), "matrix")
+    large = slim.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > one_task).select(*by)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema)
-    return slim.groupBy(*by).applyInPandas(
+    small = slim.join(large, by, "left_anti").groupBy(*by).applyInPandas(
         lambda pdf: _lof(pdf.sort_values(row_id), x, contamination), f"{fields}, lof double, lof_label long")
+    if large.isEmpty():
+        return small
+    return small.unionByName(_lof_by_joins(slim.join(large, by, "left_semi"), by, row_id, x, contamination))
+
+
+def _lof_by_joins(matrix: DataFrame, by, row_id: str, x: str, contamination: float) -> DataFrame:
+    """The factor from three joins on the nearest neighbours."""
+    near = stored(nearest(matrix, by, row_id, x, 20), "neighbours")
+    reach = near.groupBy(*by, "src").agg(F.max("d").alias("reach")).withColumnRenamed("src", "dst")
+    density = stored(near.join(reach, [*by, "dst"]).groupBy(*by, "src").agg((1.0 / (F.avg(F.greatest("d", "reach")) + 1e-10)).alias("density")), "densities")
+    around = near.join(density.select(*by, F.col("src").alias("dst"), F.col("density").alias("other")), [*by, "dst"]).groupBy(*by, "src").agg(F.avg("other").alias("other"))
+    scored = around.join(density, [*by, "src"]).select(*by, F.col("src").alias(row_id), (F.col("other") / F.col("density")).alias("lof"))
+    cut = scored.groupBy(*by).agg(F.percentile(-F.col("lof"), contamination).alias("_cut"))
+    label = F.when(-F.col("lof") < F.col("_cut"), -1).otherwise(0).cast("long")
+    return matrix.join(scored, [*by, row_id]).join(cut, by).select(*by, row_id, x, "lof", label.alias("lof_label"))
 
 
 def flag_small(labelled: DataFrame, by, label: str, share: float = SMALL_SHARE, min_rows: int = 3) -> DataFrame:

@@ -174,6 +174,18 @@ def j6(spark, sf):
     return CL.kmeans_labels(FT.vectors(matrix, features_of(matrix))).select(*KEYS, "win", "kmeans")
 
 
+@query("j6_pooled_kmeans", f"""with {WINS}, {_auto_sql()}, {SCALED}, pooled as (select *, user_id as own, metric as own_metric, win as own_win from scaled),
+  everyone as (select 0 as user_id, own || '/' || own_metric as metric, own_win as win, {", ".join(FT.AUTOMATIC)} from pooled), {lloyd_sql('everyone', 'km', FT.AUTOMATIC)}
+  select split_part(metric, '/', 1)::bigint as user_id, split_part(metric, '/', 2) as metric, win, kmeans::int as kmeans from km""")
+def j6_pooled(spark, sf):
+    """One model of all users' windows, whose centres are a table."""
+    wide = scaled(spark, sf)
+    matrix = stored(FT.vectors(wide, features_of(wide)).withColumn("name", F.concat_ws("/", F.col("user_id").cast("string"), "metric")), "windows")
+    numbered = matrix.withColumn("all_", F.lit(0))
+    centres = CL.spaced_centres(numbered, ("all_",), ("name", "win"), "x", 4).drop("all_")
+    return CL.lloyd(matrix, stored(centres, "centres"), ())[0].select(*KEYS, "win", "kmeans")
+
+
 DENSITY = f"""numbered as (select *, {ROW_ID} as rid from scaled), {density_sql('numbered', 'db', 'user_id', 1.0, FT.AUTOMATIC)}"""
 
 
