@@ -51,6 +51,12 @@ def line_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").alias("value"))
 
 
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A supplier's line items of one time and return flag as one sample, with an id below zero."""
+    number = (F.col("user_id") * 1000 + F.ascii("metric")) * 100000 + F.unix_date(F.to_date("ts"))
+    return line_samples(spark, sf_dir).groupBy(*KEYS, "ts").agg(F.sum("value").alias("value")).withColumn("event_id", -number)
+
+
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of all suppliers together."""
     return line_samples(spark, sf_dir).withColumn("user_id", F.lit(LINES).cast("long"))
@@ -103,12 +109,19 @@ def observed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned one-minute frame of all users together."""
-    s = pooled_samples(spark, sf_dir)
+    everyone = intervals(spark, sf_dir).withColumn("user_id", F.lit(EVERYONE).cast("long"))
+    return aligned(pooled_samples(spark, sf_dir), everyone)
+
+
+def user_wide_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned one-minute frame of every user."""
+    return aligned(samples(spark, sf_dir), intervals(spark, sf_dir))
+
+
+def aligned(s: DataFrame, asleep: DataFrame) -> DataFrame:
     heart = TL.interpolate(TL.dense_minutes(TL.minute_mean(s.where(F.col("metric") == HEART_RATE))))
     steps = TL.dense_minutes(TL.minute_sum(s.where(F.col("metric") == STEPS)), fill=0.0)
-    sleep = TL.sleep_per_minute(TL.sleep_minutes(
-        intervals(spark, sf_dir).withColumn("user_id", F.lit(EVERYONE).cast("long"))))
-    return TL.align(heart, steps, sleep)
+    return TL.align(heart, steps, TL.sleep_per_minute(TL.sleep_minutes(asleep)))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

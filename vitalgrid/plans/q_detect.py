@@ -9,7 +9,7 @@ from vitalgrid.operators import series as S, sigma, stats, threshold as T
 from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.q_series import _GAPS, _HANDCRAFTED, threshold_sql
 from vitalgrid.plans.registry import plain_time, query, r, rounded, sr
-from vitalgrid.schema import DEFAULT_RULES, KEYS
+from vitalgrid.schema import DEFAULT_RULES, KEYS, Rule
 from vitalgrid.session import stored
 
 MOMENTS = """moments as (select *, count(y) over w as n, avg(y) over w as mean, stddev_samp(y) over w as std
@@ -253,53 +253,80 @@ CLUSTERED = f"""{WINDOW_FEATURES.format(t='daily')}, {SCALED},
     (size / total < 0.05 or dbscan = -1) and total >= 3 as cluster_anomaly from sized)"""
 
 
-@query("h8_cluster_outliers", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED} select user_id, metric, win, size as cluster_size,
-  dbscan = -1 as is_noise, cluster_anomaly from cluster_flags""")
+METHOD_SHARE = "case when total >= 3 then size / total < 0.05 or label = -1 else false end"
+
+
+def lof_sql(source: str, name: str, by: str, rid: str, columns) -> str:
+    """Local outlier factor within ``by``: CTEs ending in ``name`` (by, rid, lof, cut)."""
+    on = lambda a, b: " and ".join(f"{a}.{c.strip()} = {b}.{c.strip()}" for c in by.split(","))
+    keys = lambda a: ", ".join(f"{a}.{c.strip()}" for c in by.split(","))
+    d2 = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in columns)
+    return f"""{name}_s as (select *, count(*) over (partition by {by}) as c from {source}),
+  {name}_p as (select {keys('a')}, a.{rid} as a, b.{rid} as b, a.c, sqrt({d2}) as d, row_number() over (partition by {keys('a')}, a.{rid} order by sqrt({d2}), b.{rid}) as rk
+    from {name}_s a join {name}_s b on {on('a', 'b')} and a.{rid} <> b.{rid} where a.c >= 3),
+  {name}_nn as (select * from {name}_p where rk <= least(20, greatest(2, c - 1), c - 1)),
+  {name}_kd as (select {by}, a as rid, max(d) as kdist from {name}_nn group by all),
+  {name}_lrd as (select {keys('n')}, n.a as rid, 1.0 / (avg(greatest(d, kdist)) + 1e-10) as lrd from {name}_nn n join {name}_kd k on {on('n', 'k')} and n.b = k.rid group by all),
+  {name}_f as (select {keys('n')}, n.a as rid, avg(o.lrd) / max(m.lrd) as lof from {name}_nn n join {name}_lrd o on {on('n', 'o')} and n.b = o.rid
+    join {name}_lrd m on {on('n', 'm')} and n.a = m.rid group by all),
+  {name} as (select s.*, lof, quantile_cont(-lof, 0.05) over (partition by {keys('s')}) as cut from {name}_s s left join {name}_f f on {on('s', 'f')} and s.{rid} = f.rid)"""
+
+
+def methods_sql() -> str:
+    """Labels of all three methods: CTEs ending in ``judged_`` (user_id, metric, win, method, label, size, total)."""
+    from vitalgrid.plans.q_features import lloyd_sql
+
+    return f"""{lloyd_sql('scaled', 'km', VECTOR)}, {lof_sql('numbered', 'lof_', 'user_id', 'rid', VECTOR)},
+  labels_ as (select user_id, metric, win, 'kmeans' as method, kmeans::bigint as label from km union all
+    select user_id, metric, win, 'dbscan', dbscan from numbered join db using (rid) union all
+    select user_id, metric, win, 'lof', case when -lof < cut then -1 else 0 end from lof_),
+  judged_ as (select *, count(*) over (partition by user_id, method, label) as size, count(*) over (partition by user_id, method) as total from labels_)"""
+
+
+def cluster_methods(daily_df) -> dict:
+    """The windows' labels by k-means, density and local outlier factor, each with its flags; all from one matrix."""
+    _, labelled = window_clusters(daily_df)
+    matrix = stored(labelled, "window-labels")
+    by = ("user_id",)
+    lof = CL.local_outlier_factor(matrix.select("user_id", "rid", "x"), by, "rid").select("user_id", "rid", "lof_label")
+    labels = {"kmeans": CL.kmeans_labels(matrix).withColumnRenamed("kmeans", "label"), "dbscan": matrix.withColumnRenamed("dbscan", "label"),
+              "lof": matrix.join(lof, ["user_id", "rid"]).withColumnRenamed("lof_label", "label")}
+    return {m: CL.flag_small(df.withColumn("label", F.col("label").cast("long")).select(*KEYS, "win", "label"), by, "label") for m, df in labels.items()}
+
+
+@query("h8_cluster_outliers", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED}, {methods_sql()} select user_id, metric, win, method, size as cluster_size,
+  label = -1 as is_noise, {METHOD_SHARE} as cluster_anomaly from judged_""")
 def h8(spark, sf):
+    """One row a window and method."""
     from pyspark.sql import Window
 
-    _, labelled = window_clusters(C.window_daily(spark, sf))
-    flagged = CL.flag_small(labelled, ("user_id",), "dbscan")
-    size = F.count(F.lit(1)).over(Window.partitionBy("user_id", "dbscan"))
-    return flagged.select(*KEYS, "win", size.alias("cluster_size"), (F.col("dbscan") == -1).alias("is_noise"),
-                          "cluster_anomaly")
+    size = F.count(F.lit(1)).over(Window.partitionBy("user_id", "label"))
+    out = None
+    for method, flagged in cluster_methods(C.window_daily(spark, sf)).items():
+        part = flagged.select(*KEYS, "win", F.lit(method).alias("method"), size.alias("cluster_size"), (F.col("label") == -1).alias("is_noise"), "cluster_anomaly")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("h8_cluster_report", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED} select user_id, count(distinct dbscan) as total_clusters,
-  count(*) filter (where cluster_anomaly) as anomalies_detected,
+@query("h8_cluster_report", f"""with recursive {Q.DAILY_LINES}, {CLUSTERED}, {methods_sql()}, f as (select *, {METHOD_SHARE} as cluster_anomaly from judged_)
+  select user_id, method, count(distinct label) as total_clusters, count(*) filter (where cluster_anomaly) as anomalies_detected,
   {sr('100.0 * count(*) filter (where cluster_anomaly) / count(*)')} as anomaly_percentage,
-  (select string_agg(s::varchar, ',' order by s) from (select count(*) as s from cluster_flags x
-    where x.user_id = c.user_id group by dbscan)) as cluster_sizes from cluster_flags c group by 1 having count(*) >= 3
-  union all select user_id, 0, 0, 0.0, '' from cluster_flags group by 1 having count(*) < 3""")
+  (select string_agg(s::varchar, ',' order by s) from (select count(*) as s from f x
+    where x.user_id = c.user_id and x.method = c.method group by label)) as cluster_sizes from f c group by 1, 2 having count(*) >= 3
+  union all select user_id, method, 0, 0, 0.0, '' from f group by 1, 2 having count(*) < 3""")
 def h8_report(spark, sf):
-    _, labelled = window_clusters(C.window_daily(spark, sf))
-    report = CL.cluster_report(CL.flag_small(labelled, ("user_id",), "dbscan"), ("user_id",))
+    out = None
+    for method, flagged in cluster_methods(C.window_daily(spark, sf)).items():
+        part = CL.cluster_report(flagged, ("user_id",)).withColumn("method", F.lit(method))
+        out = part if out is None else out.unionByName(part)
     # the labels' numbers are free, the sizes are not
     sizes = F.array_sort(F.map_values(F.from_json("cluster_distribution", "map<string,bigint>")))
-    return rounded(report.withColumn("cluster_sizes", F.array_join(sizes.cast("array<string>"), ","))
+    return rounded(out.withColumn("cluster_sizes", F.array_join(sizes.cast("array<string>"), ","))
                    .drop("cluster_distribution"), "anomaly_percentage")
 
 
-def _lof_sql() -> str:
-    d2 = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in VECTOR)
-    return f"""{WINDOW_FEATURES.format(t='window_daily')}, {SCALED},
-  s as (select *, count(*) over (partition by user_id, metric) as c from scaled),
-  pairs as (select a.user_id, a.metric, a.win as a, b.win as b, a.c, sqrt({d2}) as d,
-      row_number() over (partition by a.user_id, a.metric, a.win order by sqrt({d2}), b.win) as rk
-    from s a join s b on a.user_id = b.user_id and a.metric = b.metric and a.win <> b.win where a.c >= 3),
-  nn as (select * from pairs where rk <= least(20, greatest(2, c - 1), c - 1)),
-  kd as (select user_id, metric, a as win, max(d) as kdist from nn group by all),
-  lrd as (select nn.user_id, nn.metric, nn.a as win, 1.0 / (avg(greatest(d, kdist)) + 1e-10) as lrd
-    from nn join kd on nn.user_id = kd.user_id and nn.metric = kd.metric and nn.b = kd.win group by all),
-  f as (select nn.user_id, nn.metric, nn.a as win, avg(o.lrd) / max(m.lrd) as lof from nn
-    join lrd o on nn.user_id = o.user_id and nn.metric = o.metric and nn.b = o.win
-    join lrd m on nn.user_id = m.user_id and nn.metric = m.metric and nn.a = m.win group by all),
-  g as (select s.user_id, s.metric, s.win, lof, quantile_cont(-lof, 0.05) over (partition by s.user_id, s.metric) as cut
-    from s left join f using (user_id, metric, win))"""
-
-
-@query("h9_local_outlier_factor", f"""with {Q.WINDOW_DAILY}, {_lof_sql()} select user_id, metric, win, {sr('lof')} as lof,
-  case when -lof < cut then -1 else 0 end::bigint as lof_label from g""")
+@query("h9_local_outlier_factor", f"""with {Q.WINDOW_DAILY}, {WINDOW_FEATURES.format(t='window_daily')}, {SCALED}, {lof_sql('scaled', 'g', 'user_id, metric', 'win', VECTOR)}
+  select user_id, metric, win, {sr('lof')} as lof, case when -lof < cut then -1 else 0 end::bigint as lof_label from g""")
 def h9(spark, sf):
     wins = FT.windows(C.window_daily(spark, sf))
     feats = FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win"))
@@ -363,50 +390,65 @@ def h19(spark, sf):
         "ensemble_anomaly", "severity", "anomaly_type", "ensemble_reason")
 
 
-# The vote over long series: rules on their own rows and the rolling band, both flags from samples.
-SAMPLE_VOTES = f"""b as (select *, quantile_cont(value, 0.5) over (w rows between 14 preceding and current row) as p,
+# The vote over samples: rules with their sustained times, the rolling band, and the clusters of the windows a day is in.
+VOTE_RULES = (*DEFAULT_RULES, *[Rule(m, "quantity", 3, 48, 0, "Unusual quantity") for m in ("A", "N", "R")])
+
+SAMPLE_VOTES = f"""{CLUSTERED}, {NUMBERED_WINS},
+  minutes as (select user_id, metric, ts, value, event_id from samples union all
+    select l_suppkey, l_returnflag, cast(l_shipdate as timestamp), sum(l_quantity),
+      -((l_suppkey * 1000 + ascii(l_returnflag)) * 100000 + date_diff('day', date '1970-01-01', cast(l_shipdate as date))) from lineitem group by l_suppkey, l_returnflag, l_shipdate),
+  {_GAPS}, {threshold_sql(VOTE_RULES)},
+  b as (select *, quantile_cont(value, 0.5) over (w rows between 14 preceding and current row) as p,
     2 * coalesce(stddev_samp(value) over (w rows between 29 preceding and current row), 0) as s
-   from pooled window w as (partition by user_id, metric order by ts, event_id)),
+   from minutes window w as (partition by user_id, metric order by ts, event_id)),
   j as (select *, value - p as residual, stddev_samp(value - p) over (partition by user_id, metric) as sd from b),
-  v as (select event_id, user_id, metric, ts, value > 100 as threshold_anomaly,
-     abs(residual) > 3 * coalesce(sd, 0) or value > p + s or value < p - s as residual_anomaly from j),
-  x as (select *, threshold_anomaly::int + residual_anomaly::int as votes from v),
-  near_ as (select *, votes >= 2 as ensemble_anomaly,
-     sum((votes >= 2)::int) over (w rows between 2 preceding and 2 following) as near2,
-     sum((votes >= 2)::int) over (w rows between 3 preceding and 3 following) as near3
+  v as (select j.event_id, j.user_id, j.metric, j.ts, r.h or r.l as threshold_anomaly,
+     abs(residual) > 3 * coalesce(sd, 0) or j.value > p + s or j.value < p - s as residual_anomaly, coalesce(c.cluster_anomaly, false) as cluster_anomaly
+   from j join runs r on j.event_id = r.event_id left join (select * from placed join cluster_flags using (user_id, metric, win)) c
+     on j.user_id = c.user_id and j.metric = c.metric and cast(j.ts as date) = c.ds),
+  x as (select *, threshold_anomaly::int + residual_anomaly::int + cluster_anomaly::int as votes from v),
+  near_ as (select *, votes >= 1 as ensemble_anomaly,
+     sum((votes >= 1)::int) over (w rows between 2 preceding and 2 following) as near2,
+     sum((votes >= 1)::int) over (w rows between 3 preceding and 3 following) as near3
     from x window w as (partition by user_id, metric order by ts, event_id))"""
 
 
 def sample_votes(spark, sf, block_rows: int = 700):
-    """Two-detector vote on all samples, in blocks of rows with a 3-row margin."""
-    rows = R.detect_samples(C.samples(spark, sf), order=("ts", "event_id"))
-    rows = E.vote(rows.withColumn("threshold_anomaly", F.col("value") > 100))
-    numbered = S.number_rows(rows, ("ts", "event_id"))
+    """Vote of three detectors on all samples, one vote is enough; in blocks of rows with a 3-row margin."""
+    samples = stored(C.samples(spark, sf).unionByName(C.shipments(spark, sf)), "samples")
+    ruled = T.detect(samples, T.rules_table(spark, VOTE_RULES)).select("event_id", "threshold_anomaly")
+    wins, labelled = window_clusters(C.window_daily(spark, sf))
+    flags = CL.flag_small(labelled, ("user_id",), "dbscan").select(*KEYS, "win", "cluster_anomaly")
+    clustered = wins.select(*KEYS, "win", "ds").join(flags, [*KEYS, "win"]).drop("win")
+    rows = (R.detect_samples(samples, order=("ts", "event_id"), unit="month").join(ruled, "event_id")
+            .withColumn("ds", F.to_date("ts")).join(clustered, [*KEYS, "ds"], "left"))
+    numbered = S.number_rows(E.vote(rows, 1), ("ts", "event_id"), unit="month")
     blocks = S.row_blocks(numbered, halo_before=3, halo_after=3, size=block_rows)
     scored = E.reason(E.anomaly_type(E.severity(E.neighbours(blocks, [*KEYS, "_block"], ["rn"]))))
     return S.drop_halo(scored)
 
 
-@query("f7_neighbourhood_counts", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, metric, votes, near2::bigint as near2,
+@query("f7_neighbourhood_counts", f"""with recursive {Q.DAILY_LINES}, {SAMPLE_VOTES} select event_id, metric, votes, near2::bigint as near2,
   near3::bigint as near3 from near_""")
 def f7(spark, sf):
     return sample_votes(spark, sf).select("event_id", "metric", "votes", "near2", "near3")
 
 
-@query("h11_severity", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'Normal'
-  when near2 > 1 then 'High' else 'Medium' end as severity from near_""")
+@query("h11_severity", f"""with recursive {Q.DAILY_LINES}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'Normal' else
+  ['Low', 'Medium', 'High'][least(3, votes + (near2 > 1)::int)] end as severity from near_""")
 def h11(spark, sf):
     return sample_votes(spark, sf).select("event_id", "severity")
 
 
-@query("h12_anomaly_type", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'None'
+@query("h12_anomaly_type", f"""with recursive {Q.DAILY_LINES}, {SAMPLE_VOTES} select event_id, case when not ensemble_anomaly then 'None'
   when near3 >= 3 then 'Collective' when near3 = 1 then 'Point' else 'Contextual' end as anomaly_type from near_""")
 def h12(spark, sf):
     return sample_votes(spark, sf).select("event_id", "anomaly_type")
 
 
-@query("h13_reason_text", f"""with {Q.USERS}, {SAMPLE_VOTES} select event_id, case when ensemble_anomaly then
-  'Detected by: Rule-Based, Model-Based' else '' end as ensemble_reason from near_""")
+@query("h13_reason_text", f"""with recursive {Q.DAILY_LINES}, {SAMPLE_VOTES} select event_id, case when ensemble_anomaly then
+  'Detected by: ' || concat_ws(', ', case when threshold_anomaly then 'Rule-Based' end, case when residual_anomaly then 'Model-Based' end,
+    case when cluster_anomaly then 'Cluster-Based' end) else '' end as ensemble_reason from near_""")
 def h13(spark, sf):
     return sample_votes(spark, sf).select("event_id", "ensemble_reason")
 

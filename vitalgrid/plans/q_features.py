@@ -175,7 +175,7 @@ def j6(spark, sf):
 
 
 @query("j6_pooled_kmeans", f"""with {WINS}, {_auto_sql()}, {SCALED}, pooled as (select *, user_id as own, metric as own_metric, win as own_win from scaled),
-  everyone as (select 0 as user_id, own || '/' || own_metric as metric, own_win as win, {", ".join(FT.AUTOMATIC)} from pooled), {lloyd_sql('everyone', 'km', FT.AUTOMATIC)}
+  all_windows as (select 0 as user_id, own || '/' || own_metric as metric, own_win as win, {", ".join(FT.AUTOMATIC)} from pooled), {lloyd_sql('all_windows', 'km', FT.AUTOMATIC)}
   select split_part(metric, '/', 1)::bigint as user_id, split_part(metric, '/', 2) as metric, win, kmeans::int as kmeans from km""")
 def j6_pooled(spark, sf):
     """One model of all users' windows, whose centres are a table."""

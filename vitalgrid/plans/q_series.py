@@ -482,3 +482,66 @@ def f9(spark, sf):
         else 'decreasing' end as trend_dir from m""")
 def f10(spark, sf):
     return rounded(stats.first_last_trend(C.daily(spark, sf), "y"), "first_avg", "last_avg", n=3)
+
+
+# --- minutes of every user, compared by user and day --------------------------------------------
+
+def per_day(minutes, *names):
+    """Minutes, missing values, sum, first and last known value of each user, metric and day."""
+    def of(c):
+        known = F.when(F.col(c).isNotNull(), F.col("ts"))
+        return [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"), r(F.sum(c), 4).alias(f"{c}_sum"),
+                r(F.min_by(c, known), 4).alias(f"{c}_first"), r(F.max_by(c, known), 4).alias(f"{c}_last")]
+
+    keys = [k for k in KEYS if k in minutes.columns]
+    return minutes.groupBy(*keys, F.to_date("ts").alias("ds")).agg(F.count(F.lit(1)).alias("minutes"), *[a for c in names for a in of(c)])
+
+
+def per_day_sql(source: str, keys: str, *names) -> str:
+    def of(c: str) -> str:
+        return (f"count(*) filter (where {c} is null) as {c}_nulls, {sr(f'sum({c})', 4)} as {c}_sum, {sr(f'arg_min({c}, ts) filter (where {c} is not null)', 4)} as {c}_first, "
+                f"{sr(f'arg_max({c}, ts) filter (where {c} is not null)', 4)} as {c}_last")
+
+    return f"select {keys}, cast(ts as date) as ds, count(*) as minutes, {', '.join(map(of, names))} from {source} group by all"
+
+
+@query("e1_user_minute_mean", f"""with {Q.USER_GRID}, g as (select * from grid where metric = 'heart_rate') {per_day_sql('g', 'user_id, metric', 'value')}""")
+def e1_user(spark, sf):
+    """The dense mean grid of each user."""
+    heart = C.samples(spark, sf).where(F.col("metric") == HEART_RATE)
+    return per_day(TL.dense_minutes(TL.minute_mean(heart)), "value")
+
+
+@query("e2_user_minute_sum", f"""with {Q.USER_GRID}, g as (select user_id, metric, ts, coalesce(value, 0) as value from grid where metric <> 'heart_rate')
+  {per_day_sql('g', 'user_id, metric', 'value')}""")
+def e2_user(spark, sf):
+    """The dense sum grids of each user."""
+    rest = C.samples(spark, sf).where(F.col("metric") != HEART_RATE)
+    return per_day(TL.dense_minutes(TL.minute_sum(rest), fill=0.0), "value")
+
+
+@query("e3_user_sleep", f"""with {Q.INTERVALS}, z as (select user_id, ts, sum(value) as value from asleep group by 1, 2) {per_day_sql('z', 'user_id', 'value')}""")
+def e3_user(spark, sf):
+    """Sleep per minute of each user."""
+    return per_day(TL.sleep_per_minute(TL.sleep_minutes(C.intervals(spark, sf))), "value")
+
+
+@query("f1_user_interpolation", f"""with {Q.USER_GRID}, f as ({Q.interpolated("(select * from grid where metric = 'heart_rate')", 10, 'user_id, metric')})
+  {per_day_sql('f', 'user_id, metric', 'value')}""")
+def f1_user(spark, sf):
+    """Gaps of each user filled up to ten minutes."""
+    heart = C.samples(spark, sf).where(F.col("metric") == HEART_RATE)
+    return per_day(TL.interpolate(TL.dense_minutes(TL.minute_mean(heart)), limit=10), "value")
+
+
+@query("d1_user_timelines", f"""with {Q.USER_GRID}, hr as ({Q.interpolated("(select * from grid where metric = 'heart_rate')", 5, 'user_id')}),
+  iv as (select user_id, ts as start_ts, make_timestamp(epoch_us(ts) + cast(round(value * 60000000) as bigint)) as end_ts from pooled where metric = 'sleep'),
+  sl as (select user_id, ts, sum(v) as value from (select user_id, unnest(generate_series(date_trunc('minute', start_ts),
+      greatest(date_trunc('minute', start_ts), end_ts - interval 1 microsecond), interval 1 minute)) as ts, 1.0 / 60.0 as v from iv) group by 1, 2),
+  wide as (select user_id, ts, max(h) as heart_rate, coalesce(max(s), 0) as steps, coalesce(max(z), 0) as sleep_hours
+    from (select user_id, ts, value as h, null as s, null as z from hr union all
+      select user_id, ts, null, coalesce(value, 0), null from grid where metric = 'steps' union all select user_id, ts, null, null, value from sl) group by 1, 2),
+  f as ({Q.interpolated('wide', 5, 'user_id', 'heart_rate')}) {per_day_sql('f', 'user_id', 'heart_rate', 'steps', 'sleep_hours')}""")
+def d1_user(spark, sf):
+    """The aligned timeline of each user."""
+    return per_day(C.user_wide_minutes(spark, sf), "heart_rate", "steps", "sleep_hours")

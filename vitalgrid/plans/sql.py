@@ -40,6 +40,9 @@ grid as (select s.user_id, s.metric, g.ts, m.value
   from (select user_id, metric, unnest(generate_series(lo, hi, interval 1 minute)) as ts from spans) g
   join spans s using (user_id, metric) left join minutes m using (user_id, metric, ts))"""
 
+#: The same grids for every user apart.
+USER_GRID = GRID.replace(POOLED, USERS)
+
 INTERVALS = SAMPLES + """, intervals as (
   select user_id, ts as start_ts, make_timestamp(epoch_us(ts) + cast(round(value * 60000000) as bigint)) as end_ts
   from samples where metric = 'sleep'),
