@@ -8,8 +8,8 @@ from vitalgrid.operators import daily as D, timeline as TL
 from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.registry import plain_time, query, r, rounded, sr
 from vitalgrid.schema import EVENT_IMPACT, FORECAST, HEART_RATE, KEYS, RAW_STEPS, metric_unit
-from vitalgrid.session import scratch_path
-from vitalgrid.sources import files, profile, records as REC, sniff
+from vitalgrid.session import scratch_path, stored
+from vitalgrid.sources import archive, files, profile, records as REC, sniff
 
 AS_OF = "2024-01-15"
 
@@ -93,6 +93,26 @@ def a14(spark, sf):
     return files.sources_per_metric(_uploads(spark, sf))
 
 
+@query("a15_archive_scan", f"""select metric, count(*) as n, {sr('sum(value)', 4)} as total from (
+   select case event_type when 'view' then 'heart_rate' when 'click' then 'steps' else 'sleep' end as metric, value
+   from events where event_type in ('view', 'click', 'purchase', 'signup')) group by 1""")
+def a15_archive(spark, sf):
+    """The same files as members of archives, read where they lie."""
+    e = C.table(spark, sf, "events")
+    path = scratch_path(spark, "archives")
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    for event, name, columns in (
+            ("view", "my_heartrate", [day.alias("logDate"), F.col("value")]),
+            ("click", "all_steps", [F.col("value"), F.lit("w").alias("device"), day.alias("logDate")]),
+            ("purchase", "sleep_log", [F.col("user_id"), F.col("value"), day.alias("timestamp")]),
+            ("signup", "sleep_extra", [day.alias("timestamp"), F.col("value")]),
+            ("error", "misc", [day.alias("logDate"), F.col("value")])):
+        archive.write_archive(e.where(F.col("event_type") == event).select(*columns), path, name).collect()
+    lines = archive.read_lines(spark, path, "*.csv")
+    long = archive.read_series(lines, lambda member: sniff.metric_of_file(F.element_at(F.split(member, "/"), 1)))
+    return long.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), r(F.sum("value"), 4).alias("total"))
+
+
 @query("a15_many_files_scan", f"""select metric, count(*) as n, {sr('sum(value)', 4)} as total from (
    select case event_type when 'view' then 'heart_rate' when 'click' then 'steps' else 'sleep' end as metric, value
    from events where event_type in ('view', 'click', 'purchase', 'signup')) group by 1""")
@@ -240,6 +260,17 @@ def a10(spark, sf):
     return REC.match_counts(REC.route(docs), docs)
 
 
+@query("a10_observed_counts", f"""with {_ROUTED} select metric, count(*) as n from routed group by 1
+  union all select 'total', count(*) from events""")
+def a10_observed(spark, sf):
+    """The same counts as a by-product of storing the routed records."""
+    from pyspark.sql import Observation
+
+    read, matched = Observation(), Observation()
+    stored(REC.counted(REC.route(REC.counted(C.records(spark, sf), read, False)), matched, True), "routed")
+    return spark.createDataFrame(sorted((read.get | matched.get).items()), "metric string, n long").where("n > 0")
+
+
 @query("a19_record_keys", """select key, type, sum(n)::bigint as n from (
   select 'data' as key, 'OBJECT' as type, count(*) as n from events where event_type in ('view', 'signup')
   union all select 'payload', 'OBJECT', count(*) from events where event_type = 'click'

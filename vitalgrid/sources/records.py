@@ -110,6 +110,16 @@ def route(records: DataFrame, text: str = "record") -> DataFrame:
         typed_value(F.col("_raw"), F.col("metric")).alias("value"), source.alias("source_type"))
 
 
+def counted(records: DataFrame, name, routed: bool) -> DataFrame:
+    """Counters that ride along with whatever is done with the frame: rows read, or rows matched by metric.
+
+    ``name``: an ``Observation`` in a batch, a text in a stream, whose progress then carries the counters.
+    """
+    if not routed:
+        return records.observe(name, F.count(F.lit(1)).alias("total"))
+    return records.observe(name, *[F.count_if(F.col("metric") == m).alias(m) for m in (HEART_RATE, STEPS, SLEEP)])
+
+
 def match_counts(routed: DataFrame, total: DataFrame) -> DataFrame:
     """Matches per metric, and the number of records read as ``total``."""
     return (routed.groupBy("metric").agg(F.count(F.lit(1)).alias("n"))

@@ -18,10 +18,29 @@ def read_records(spark: SparkSession, path: str, files_per_trigger: int = 1000)
 
 
 def samples_from_records(stream: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Route records with the same expressions the batch reader uses."""
-    routed = records.route(stream)
+    """Route records with the same expressions the batch reader uses.
+
+    Counters of rows read, matched by metric and dropped for want of a time ride along; see ``counters``.
+    """
+    routed = records.counted(records.route(records.counted(stream, "read", False)), "matched", True)
     ts = parse_to_utc(F.coalesce("timestamp", "startTime"), zone=zone)
-    return routed.select("user_id", "metric", ts.alias("ts"), "value").where(F.col("ts").isNotNull())
+    timed = routed.select("user_id", "metric", ts.alias("ts"), "value")
+    return timed.observe("dropped", F.count_if(F.col("ts").isNull()).alias("without_time")).where(F.col("ts").isNotNull())
+
+
+def counters(query) -> dict[str, int]:
+    """Counts of a running or ended query so far, from its progress: no second job reads the records.
+
+    ``late``: rows behind the watermark that a stateful operator left out.
+    """
+    out: dict[str, int] = {}
+    for progress in query.recentProgress:
+        rows = [row.asDict() for row in (progress.observedMetrics or {}).values()]
+        rows.append({"late": sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)})
+        for row in rows:
+            for k, v in row.items():
+                out[k] = out.get(k, 0) + v
+    return out
 
 
 def minute_table(samples: DataFrame, delay: str = "10 minutes", keys=("user_id", "metric")) -> DataFrame:
