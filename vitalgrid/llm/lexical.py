@@ -111,8 +111,8 @@ def built(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segme
     without term that holds the ids of its slots. Null and empty texts, and texts without terms, are in no segment. Each
     repeated row is a document of its own. A text longer than a segment is a segment of its own.
     """
-    n = F.regexp_count(F.col(text_col), F.lit(TERM_SQL))
-    totals = docs.agg(F.count_if(n > 0).alias("docs"), F.coalesce(F.sum(n), F.lit(0)).alias("terms")).first()
+    counts = docs.select(F.regexp_count(F.col(text_col), F.lit(TERM_SQL)).alias("n"))
+    totals = counts.agg(F.count(F.nullif(F.col("n"), F.lit(0))).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     index = slim.mapInArrow(inverter(totals.docs, max(1, totals.terms), segment_words), INDEX)
     return stored(index, "lexical-index", "zstd"), totals.docs
