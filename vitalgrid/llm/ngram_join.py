@@ -36,6 +36,8 @@ SEEN_SLOTS, SEEN_FOR = 1 << 25, 1 << 22
 CELL = 1 << 14
 #: Parity bits of a set: a power of two, at least as many as it has shingles and at least LEAST_BITS.
 FRAGMENTS, LEAST_BITS = 8, 1024
+#: 64-bit words of the parity bitmaps that travel with the keys.
+SHORT_LONGS = 8
 KEY_BITS = 58
 WORDS_KEPT = 150_000
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -200,11 +202,23 @@ def parity_distance() -> Column:
     return F.aggregate(apart, F.lit(0), lambda s, x: s + x)
 
 
+def parity_close() -> Column:
+    """Whether the sets a and b can be similar by their parity bitmaps, which differ in at most as many bits as the sets do."""
+    return parity_distance() <= F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b"))
+
+
+def short(bits: Column) -> Column:
+    """A bitmap folded to SHORT_LONGS at most; its distances are still bounds."""
+    folded = F.transform(F.sequence(F.lit(0), F.lit(SHORT_LONGS - 1)), lambda i: F.aggregate(
+        F.filter(bits, lambda x, j: j % SHORT_LONGS == i), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x)))
+    return F.when(F.size(bits) > SHORT_LONGS, folded).otherwise(bits)
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels) -> DataFrame:
     """The links among candidate pairs (a, b), by exact overlaps summed over the fragments."""
     of = lambda s: classes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "bits")])
     near = (pairs.join(of("a"), F.col("a") == F.col("cid_a")).join(of("b"), F.col("b") == F.col("cid_b"))
-            .filter(parity_distance() <= F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b")))
+            .filter(parity_close())
             .select("a", "b", "n_a", "n_b"))
     near = stored(near, "ngram-pairs")
     ends = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
@@ -251,10 +265,11 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     marked = stored(shared.drop("hub").join(roots, F.col("cid") == F.col("node"), "left")
                     .select("key", "cid", "n", "place", F.coalesce("root", "cid").alias("root")), "ngram-marked")
     mixed = marked.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
-    open_ = marked.join(mixed, "key", "left_semi")
-    a, b = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "place", "root")]) for s in "ab")
+    # what shares a passage meets under many keys: the parity bound is part of the join, so that such pairs are never made
+    open_ = marked.join(mixed, "key", "left_semi").join(classes.select("cid", short(F.col("bits")).alias("bits")), "cid")
+    a, b = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "place", "root", "bits")]) for s in "ab")
     more = (a.join(b, (a["key"] == b["key"]) & (F.col("cid_a") < F.col("cid_b")) & (F.col("root_a") != F.col("root_b"))
-                   & possible(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")))
+                   & possible(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b")) & parity_close())
             .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     links = stored(links.union(confirmed(stored(more, "ngram-more"), classes, texts, levels)), "ngram-links")
     roots = components(links)
