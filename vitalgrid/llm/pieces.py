@@ -13,6 +13,7 @@ merge that comes after it and every piece encodes to itself; both are checked wh
 
 from __future__ import annotations
 
+import atexit
 import heapq
 from array import array
 from hashlib import blake2b
@@ -56,6 +57,13 @@ class Model:
                 if parts != [p] or steps != sorted(steps):
                     raise ValueError(f"merges of piece {p!r} are not in order of score")
 
+    @classmethod
+    def of(cls, fields: dict) -> Model:
+        """The model of these fields: what travels to workers is plain, as an instance would need this package there."""
+        model = object.__new__(cls)
+        model.__dict__ = fields
+        return model
+
     @classmethod
     def load(cls, path: str) -> Model:
         import sentencepiece
@@ -175,7 +183,7 @@ def blocked(docs: DataFrame, model) -> DataFrame:
     def read(frames):
         from pyspark import TaskContext
 
-        cutter, task = Cutter(model.value.chars, model.value.pairs), TaskContext.get().partitionId()
+        cutter, task = Cutter(model.value["chars"], model.value["pairs"]), TaskContext.get().partitionId()
         number, codes, ids, lengths, parts, size, places = 0, _Codes(), [], [], [], 0, {}
 
         def block():
@@ -265,7 +273,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     texts give no ids; repeated rows get the same answer; other columns are not looked at.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(vars(model))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "blocks")
     name = path.rsplit("/", 1)[1].replace("-", "_")
@@ -278,6 +286,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     finally:
         spark.conf.set(BATCH, rows_at_once)
     blocks = spark.table(name)
+    atexit.register(forget, spark, name)
     # dealt by unit once, for their segmentation and for the answers; the unused maxima keep both readings alike,
     # so that Spark reuses the exchange
     asked = (blocks.select(F.col("block").alias("asker"), F.posexplode("units").alias("code", "unit"))
@@ -287,7 +296,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     answers = asked.join(masks, "unit").select("asker", "code", "mask")
 
     def spell(own: pa.Table, masks: pa.Table) -> pa.Table:
-        m, units = shared.value, own["units"][0].as_py()
+        m, units = Model.of(shared.value), own["units"][0].as_py()
         mask = np.zeros(len(units), np.int64)
         mask[masks["code"].to_numpy()] = masks["mask"].to_numpy()
         flat, ends, get = array("i"), [], m.ids.get
@@ -337,6 +346,12 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         spell, "doc_id long, n_tokens long, ids array<int>")
 
 
+def forget(spark: SparkSession, name: str) -> None:
+    """Takes a blocks table out of the catalog when the application ends, as its files go then."""
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"drop table if exists {name}")
+
+
 def decoded(ids: Column, model: Model) -> Column:
     """The text of an array of ids: pieces and bytes joined, invalid bytes replaced, the space before the text taken off."""
     texts = F.split(F.lit(",".join(model.texts)), ",")
