@@ -73,3 +73,27 @@ def test_mixed_text_and_edges(odd, make):
     assert words == M.taken(odd).agg(F.sum("taken")).first()[0]
     assert M.taken(make([])).count() == 0 and M.mixed(make([])).count() == 0
     assert M.taken(make([(1, None, None, None)])).collect()[0].taken == 0
+
+
+def test_shards_are_written_in_shuffled_order(spark, make, tmp_path, monkeypatch):
+    """Rows of the mix, each in one shard, in an order that is not that of the input and that reruns repeat."""
+    monkeypatch.setattr(M, "SHARD_WORDS", 20_000)
+    df = corpus(make)
+    M.write_shards(df, str(tmp_path / "a"))
+    M.write_shards(df.repartition(5), str(tmp_path / "b"))
+
+    def read(name):
+        rows = spark.read.parquet(f"{tmp_path}/{name}").select("number", "row.doc_id", F.size(F.split("row.text", " ")).alias("n"), F.monotonically_increasing_id().alias("at"))
+        shards = {}
+        for r in rows.orderBy("number", "at").collect():
+            shards.setdefault(r.number, []).append((r.doc_id, r.n))
+        return shards
+
+    got = read("a")
+    assert got == read("b") and len(got) > 3
+    assert sorted(x[0] for rows in got.values() for x in rows) == sorted(r.doc_id for r in M.mixed(df).collect())
+    sizes = [sum(x[1] for x in rows) for rows in got.values()]
+    assert max(sizes) < 1.3 * min(sizes)
+    for rows in got.values():
+        steps = [b[0] > a[0] for a, b in zip(rows, rows[1:])]
+        assert 0.35 < sum(steps) / len(steps) < 0.65

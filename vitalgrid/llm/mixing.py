@@ -164,22 +164,39 @@ def taken(docs: DataFrame, **names) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))
 
 
-def mixed(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
-    """The mix itself: a row for each copy of a document of which words were drawn, with the columns of ``docs``.
+def sharded(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
+    """shard, place, and ``row``: a row for each copy of a document of which words were drawn, with the columns of ``docs``.
 
     A document drawn whole keeps its text as it is; of one drawn in part, the drawn words stand in order, joined by spaces.
+    It goes to the shard of its first drawn block, so that no document is torn; place orders a shard.
     """
     rows, _, draws = mix(docs, text_col=text_col, **names)
+    first = F.min(F.struct("word_from", "shard", "place"))
     parts = (draws.groupBy("row_id", "copy")
              .agg(F.sort_array(F.collect_list(F.struct("word_from", "word_to"))).alias("parts"),
-                  F.sum(F.col("word_to") - F.col("word_from")).alias("n")))
+                  F.sum(F.col("word_to") - F.col("word_from")).alias("n"), first.alias("first")))
     all_words = F.regexp_extract_all(text_or_empty("text_"), F.lit(f"({WORD})"), F.lit(1))
     some = F.array_join(F.flatten(F.transform(
         "parts", lambda p: F.slice(F.col("words_"), (p["word_from"] + 1).cast("int"),
                                    (p["word_to"] - p["word_from"]).cast("int")))), " ")
-    got = (rows.select("row_id", "size", "row").join(parts, "row_id").withColumn("text_", F.col(f"row.{text_col}"))
+    got = (rows.select("row_id", "size", "spread", "row").join(parts, "row_id").withColumn("text_", F.col(f"row.{text_col}"))
            .withColumn("words_", F.when(F.col("n") < F.col("size"), all_words))
            .withColumn("text_", F.when(F.col("n") == F.col("size"), F.col("text_")).otherwise(some)))
-    return got.select(*[F.col("text_").alias(c) if c == text_col
-                        else F.length("text_").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-                        else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    own = F.struct(*[F.col("text_").alias(c) if c == text_col
+                     else F.length("text_").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+                     else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    # documents of one block share its place: their content's hash orders them
+    place = F.xxhash64("first.place", "spread", "copy")
+    dealt = got.select("first.shard", place.alias("place"), "spread", "copy", own.alias("row")).repartition("shard")
+    return dealt.sortWithinPartitions("shard", "place", "spread", "copy").select("shard", "place", "row")
+
+
+def mixed(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: shard after shard, each shuffled by itself; see ``sharded``."""
+    return sharded(docs, text_col, **names).select("row.*")
+
+
+def write_shards(docs: DataFrame, path: str, text_col: str = "text", **names) -> None:
+    """One folder a shard, ``number=...``, whose files hold its rows in shuffled order."""
+    out = sharded(docs, text_col, **names).select(F.col("shard").alias("number"), "row")
+    out.write.partitionBy("number").option("compression", "zstd").parquet(path)
