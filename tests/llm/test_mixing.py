@@ -93,7 +93,8 @@ def test_shards_are_written_in_shuffled_order(spark, make, tmp_path, monkeypatch
     assert got == read("b") and len(got) > 3
     assert sorted(x[0] for rows in got.values() for x in rows) == sorted(r.doc_id for r in M.mixed(df).collect())
     sizes = [sum(x[1] for x in rows) for rows in got.values()]
-    assert max(sizes) < 1.3 * min(sizes)
+    mean = sum(sizes) / len(sizes)
+    assert all(abs(n - mean) < 0.25 * mean for n in sizes)  # whole documents, so not exactly alike
     for rows in got.values():
         steps = [b[0] > a[0] for a, b in zip(rows, rows[1:])]
         assert 0.35 < sum(steps) / len(steps) < 0.65
