@@ -1,3 +1,9 @@
+import math
+import random
+import re
+
+import pytest
+
 from vitalgrid.llm import line_templates as T
 
 
@@ -69,3 +75,69 @@ def test_edges(odd, make):
     assert by_id[1].text is None and by_id[1].n_lines == 0 and by_id[2].text == "" and by_id[2].n_lines == 1
     assert by_id[3].text == " \t\n" and by_id[6].n_dropped == 0 and by_id[7].n_dropped == 1
     assert T.dedup_lines(make([])).count() == 0
+
+
+def brute(rows):
+    """The template tree line by line: leaves, supports and templates as plain dictionaries."""
+    def fields_leave_enough(tokens):
+        words = sum(t != T.FIELD for t in tokens)
+        return words >= T.LEAST_WORDS and words >= len(tokens) * T.WORD_SHARE
+
+    cut = {}  # (document, line number): masked line
+    for doc, text in rows:
+        for no, line in enumerate((text or "").split("\n") if text is not None else []):
+            line = re.sub(r"[ \t\x0b\f\r]+", " ", line).strip(" ")
+            masked = [T.FIELD if re.search("[0-9]", t) else t for t in line.split(" ")]
+            cut[doc, no] = " ".join(masked) if fields_leave_enough(masked) else line
+
+    def leaf(line):
+        tokens = line.split(" ")
+        if len(tokens) >= T.LEAST_TOKENS:
+            return len(tokens), *tokens[: T.DEPTH]
+        return (len(tokens), line) if len(line.encode()) >= T.LEAST_BYTES else None
+
+    docs_of = {}
+    for (doc, _), line in cut.items():
+        if leaf(line):
+            docs_of.setdefault(line, set()).add(doc)
+    leaves, support, template = {}, {}, {}
+    for line in docs_of:
+        leaves.setdefault(leaf(line), []).append(line)
+    open_ = [line for line in docs_of if len(leaves[leaf(line)]) > 1 and len(line.split(" ")) >= T.GENERAL_TOKENS]
+    for line in open_:
+        for place in enumerate(line.split(" ")):
+            support[leaf(line), place] = support.get((leaf(line), place), 0) + len(docs_of[line])
+    for line in docs_of:
+        template[line] = line
+        if line in open_:
+            own = [support[leaf(line), place] for place in enumerate(line.split(" "))]
+            usual = sorted(own, reverse=True)[math.ceil(len(own) * T.CONSTANT_SHARE) - 1]
+            general = [t if n > usual * T.FIELD_SHARE else T.FIELD for t, n in zip(line.split(" "), own)]
+            template[line] = " ".join(general) if fields_leave_enough(general) else line
+    homes = {}
+    for line, docs in docs_of.items():
+        homes.setdefault(template[line], set()).update(docs)
+    gone = {at for at, line in cut.items() if leaf(line) and len(homes[template[line]]) >= T.LEAST_DOCS and at[0] != min(homes[template[line]])}
+    out = []
+    for doc, text in rows:
+        lines = [] if text is None else text.split("\n")
+        left = [x for no, x in enumerate(lines) if (doc, no) not in gone]
+        out.append((doc, len(lines), len(lines) - len(left), None if text is None else "\n".join(left)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_plain_dictionaries(make, seed):
+    rng = random.Random(seed)
+    words = ["order", "from", "host", "was", "sent", "to", "the", "main", "door", "at", "noon", "été", "日本"]
+    shapes = [[rng.choice([rng.choice(words)] * 4 + ["#", "%"]) for _ in range(rng.choice([1, 3, 5, 7, 8, 9, 12]))] for _ in range(12)]
+
+    def line():
+        filled = [str(rng.randrange(9)) + "x" if t == "#" else rng.choice("abcdefgh") + "q" if t == "%" else t for t in rng.choice(shapes)]
+        return rng.choice([" ", " ", "  ", "\t"]).join(filled) + rng.choice(["", "", " ", "\r"])
+
+    rows = [(i, "\n".join(line() for _ in range(rng.randrange(1, 9)))) for i in range(120)] + [(200, None), (201, ""), (202, "\n\n")]
+    got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in T.dedup_lines(make([(*r, "en", "a") for r in rows])).collect())
+    want = brute(rows)
+    assert got == want
+    assert 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
