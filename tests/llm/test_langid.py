@@ -66,3 +66,25 @@ def test_accepted_keeps_columns(make):
     df = corpus(make, 60).union(make([(1000, "12 34", "en", "a"), (1001, None, "en", "a")]))
     kept = L.accepted(df)
     assert kept.columns == df.columns and kept.count() == 60
+
+
+def test_batched_products_equal_kernel_values(monkeypatch):
+    """Dense batches of any size give the same kernel values as pairs of cell sets, and scores are linear in them."""
+    import numpy as np
+
+    from vitalgrid.llm import langid as L
+
+    texts = ["the cat sat on the mat", "der hund lief in den wald", "el perro come pan", "thé été", "x", "zzz qqq"] * 3
+    rows = L.cells(texts)
+    marks = rows[:4]
+    held = np.unique(np.concatenate(marks))
+    columns = np.zeros((len(held), 4), np.float32)
+    for j, own in enumerate(marks):
+        columns[np.searchsorted(held, own), j] = 1 / np.sqrt(len(own))
+    want = [[len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)) for b in marks] for a in rows]
+    for at_once in (1, len(held) * 5, 1 << 24):
+        monkeypatch.setattr(L, "AT_ONCE", at_once)
+        assert np.allclose(L.products(rows, held, columns), want, atol=1e-6)
+    fold = np.random.default_rng(1).normal(size=(4, 3)).astype(np.float32)
+    assert np.allclose(L.products(rows, held, columns @ fold), np.array(want) @ fold, atol=1e-5)
+    assert L.products(rows, held[:0], columns[:0]).shape == (18, 4) and not L.products([], held, columns).size

@@ -3,7 +3,9 @@
 The kernel of two texts is the cosine of their presence vectors over the blended spectrum of 1- to 3-grams of lower-cased
 characters. Kernel ridge regression, one language against the rest, is fitted in the Nystroem space of a few landmark
 texts. A text is kept as the list of its n-grams' cells in a large hashed space; landmarks only have columns for the cells
-they hold, and for scoring they are folded into one weight a cell and language.
+they hold. A kernel value is the product of a text's presence with a landmark's, and the ridge scores are linear in kernel
+values: landmarks, whitening and ridge weights are multiplied once, and a batch of texts is scored by one matrix product
+of its presence with the result, one column a language.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ DIM = 1 << BITS
 #: Bounds of the fit: labelled texts of a language, and landmarks of a language.
 PER_LANG, LANDMARKS = 300, 40
 RIDGE, TEMPERATURE = 1e-2, 0.15
-BATCH = 256
+#: Texts whose n-grams are kept together, and numbers of a dense batch of them.
+BATCH, AT_ONCE = 256, 1 << 24
 UNDETERMINED = "und"
 #: Odd multipliers that hash a character, by its place in the n-gram.
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -80,12 +83,19 @@ def batch(texts) -> np.ndarray:
 
 
 def products(rows: list[np.ndarray], held: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Normed presence of each row times ``columns``, whose lines belong to the ascending cells ``held``."""
-    out = np.zeros((len(rows), columns.shape[1]))
-    for i, own in enumerate(rows):
-        at = np.searchsorted(held, own)
-        at = at[np.append(held, -1)[at] == own]
-        out[i] = columns[at].sum(0, dtype=float) / np.sqrt(max(len(own), 1))
+    """Normed presence of the rows times ``columns``, whose lines belong to the ascending cells ``held``: one matrix
+    product for as many rows as AT_ONCE allows."""
+    out, step = np.zeros((len(rows), columns.shape[1])), max(1, AT_ONCE // max(1, len(held)))
+    dense = np.zeros((min(step, len(rows)), len(held)), np.float32)
+    for lo in range(0, len(rows) if len(held) else 0, step):
+        part = rows[lo : lo + step]
+        sizes = np.array([len(own) for own in part])
+        flat, row = np.concatenate(part), np.repeat(np.arange(len(part)), sizes)
+        at = np.searchsorted(held, flat)
+        hit = np.append(held, -1)[at] == flat
+        dense[row[hit], at[hit]] = 1
+        out[lo : lo + step] = (dense[: len(part)] @ columns) / np.sqrt(np.maximum(sizes, 1))[:, None]
+        dense[row[hit], at[hit]] = 0
     return out
 
 
@@ -156,30 +166,32 @@ def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             keep: bool = False) -> DataFrame:
+             keep: bool = False, model: dict | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of each row; with ``keep`` also ``row``, the row's own columns.
 
     A null or letterless text gets ``und`` and score 0, as does every text if there is nothing to learn from. A null id
     is not held out. Repeated rows get the same answer; other columns are not looked at.
     """
-    model = docs.sparkSession.sparkContext.broadcast(trained(docs, id_col, text_col, lang_col))  # the landmarks' cells x languages floats
+    held = docs.sparkSession.sparkContext.broadcast(model or trained(docs, id_col, text_col, lang_col))  # the landmarks' cells x languages floats
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"),
                        F.col(text_col).alias("text_"), *([F.struct(*docs.columns).alias("row")] if keep else []))
 
     @F.pandas_udf("lang_pred string, score double")
     def tell(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = predict(model.value, list(texts))
+        langs, scores = predict(held.value, list(texts))
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     out = rows.withColumn("told", tell("text_"))
     return out.select("doc_id", "held_out", "told.lang_pred", "told.score", *(["row"] if keep else []))
 
 
-#: Below this the scores of four languages are as good as equal.
-LEAST_SCORE = 0.3
+#: A score below this many times that of a blind guess among the learned languages says nothing.
+LEAST_TIMES = 1.2
 
 
-def accepted(docs: DataFrame, least: float = LEAST_SCORE, **names) -> DataFrame:
-    """The rows in a known language, with their columns."""
-    told = identify(docs, keep=True, **names)
+def accepted(docs: DataFrame, times: float = LEAST_TIMES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows in a known language, with their columns; the least score follows the number of learned languages."""
+    model = trained(docs, id_col, text_col, lang_col)
+    told = identify(docs, id_col, text_col, lang_col, True, model)
+    least = min(times / max(1, len(model["names"])), 0.5)
     return told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")
