@@ -53,8 +53,11 @@ def test_factor_by_joins_equals_one_task(spark):
     near = {(r.g, r.rid): r for r in CL.local_outlier_factor(df, ("g",), "rid").collect()}
     far = {(r.g, r.rid): r for r in CL.local_outlier_factor(df, ("g",), "rid", one_task=100).collect()}
     assert set(near) == set(far) and len(near) == 203
+    cut = {g: np.quantile([-r.lof for r in near.values() if r.g == g], 0.05) for g in groups}
     for key, r in near.items():
-        assert far[key].lof == pytest.approx(r.lof, rel=1e-9) and far[key].lof_label == r.lof_label
+        assert far[key].lof == pytest.approx(r.lof, rel=1e-9)
+        # sums in another order may part rows that tie with the cut
+        assert far[key].lof_label == r.lof_label or abs(r.lof + cut[r.g]) < 1e-9
     assert sum(r.lof_label for r in near.values()) < 0
 
 
