@@ -164,11 +164,12 @@ def taken(docs: DataFrame, **names) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))
 
 
-def sharded(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
-    """shard, place, and ``row``: a row for each copy of a document of which words were drawn, with the columns of ``docs``.
+def drawn_rows(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
+    """shard, place, spread, copy, and ``row``: a row for each copy of a document of which words were drawn, with the columns
+    of ``docs``.
 
     A document drawn whole keeps its text as it is; of one drawn in part, the drawn words stand in order, joined by spaces.
-    It goes to the shard of its first drawn block, so that no document is torn; place orders a shard.
+    It goes to the shard of its first drawn block, so that no document is torn; place and spread order a shard.
     """
     rows, _, draws = mix(docs, text_col=text_col, **names)
     first = F.min(F.struct("word_from", "shard", "place"))
@@ -187,13 +188,19 @@ def sharded(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
                      else F.col(f"row.{c}").alias(c) for c in docs.columns])
     # documents of one block share its place: their content's hash orders them
     place = F.xxhash64("first.place", "spread", "copy")
-    dealt = got.select("first.shard", place.alias("place"), "spread", "copy", own.alias("row")).repartition("shard")
-    return dealt.sortWithinPartitions("shard", "place", "spread", "copy").select("shard", "place", "row")
+    return got.select("first.shard", place.alias("place"), "spread", "copy", own.alias("row"))
 
 
 def mixed(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: shard after shard, each shuffled by itself; see ``sharded``."""
-    return sharded(docs, text_col, **names).select("row.*")
+    """The mix itself, with the columns of ``docs``, in no order: dealing the rows to their shards is left to ``sharded``, as
+    it shuffles all texts once more."""
+    return drawn_rows(docs, text_col, **names).select("row.*")
+
+
+def sharded(docs: DataFrame, text_col: str = "text", **names) -> DataFrame:
+    """shard, place, ``row`` of the mix: each shard in one partition, shuffled by itself."""
+    dealt = drawn_rows(docs, text_col, **names).repartition("shard")
+    return dealt.sortWithinPartitions("shard", "place", "spread", "copy").select("shard", "place", "row")
 
 
 def write_shards(docs: DataFrame, path: str, text_col: str = "text", **names) -> None:
