@@ -12,6 +12,7 @@ template that recurs across documents is kept in its first document and dropped
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -40,6 +41,11 @@ def enough(words: Column, tokens: Column) -> Column:
     return (words >= LEAST_WORDS) & (words >= tokens * WORD_SHARE)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, even where ``use`` has it in a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row a line: document key, line_no (from 0), masked line, its two hashes, leaf (null under LEAST_BYTES)."""
     cut = docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
@@ -66,12 +72,17 @@ def templates(known: DataFrame) -> DataFrame:
     support = (placed.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("n")).filter("n > 1")
                .select("leaf", "place", "token", "n"))
     marked = placed.join(support, ["leaf", "place", "token"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    parts = (marked.groupBy("leaf", *LINE).agg(F.sort_array(F.collect_list(F.struct("place", "token", "n"))).alias("parts"))
-             .withColumn("usual", F.element_at(F.sort_array("parts.n", asc=False), F.ceil(F.size("parts") * CONSTANT_SHARE).cast("int"))))
-    cut = F.transform("parts", lambda x: F.when(x["n"] > F.col("usual") * FIELD_SHARE, x["token"]).otherwise(FIELD))
-    general = (parts.select("leaf", *LINE, cut.alias("cut")).filter(enough(F.size(F.array_remove("cut", FIELD)), F.size("cut")))
-               .select("leaf", *LINE, F.array_join("cut", " ").alias("general")))
-    both = known.join(general, ["leaf", *LINE], "left")
+    parts = marked.groupBy("leaf", *LINE).agg(F.collect_list(F.struct("place", "token", "n")).alias("parts"))
+
+    def usual(p: Column) -> Column:
+        return F.element_at(F.sort_array(p["n"], asc=False), F.ceil(F.size(p) * CONSTANT_SHARE).cast("int"))
+
+    def cut(p: Column, least: Column) -> Column:
+        return F.transform(p, lambda x: F.when(x["n"] > least * FIELD_SHARE, x["token"]).otherwise(FIELD))
+
+    general = once(F.sort_array("parts"), lambda p: once(usual(p), lambda least: once(cut(p, least), lambda c: F.when(
+        enough(F.size(F.array_remove(c, FIELD)), F.size(c)), F.array_join(c, " ")))))
+    both = known.join(parts.select("leaf", *LINE, general.alias("general")), ["leaf", *LINE], "left")
     return both.select("leaf", *LINE, F.coalesce("general", "masked").alias("template"))
 
 
