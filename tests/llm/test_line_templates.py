@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -68,6 +69,16 @@ def test_words_and_figures_together_leave_enough_constant(make):
     assert all(r.n_dropped == 0 for r in result(df).values())
 
 
+def test_differing_facts_of_few_lines_stay(make):
+    facts = [("1901", "Spain", "Madrid"), ("1902", "France", "Paris"), ("1903", "Norway", "Oslo")]
+    df = make([(i, f"In {y}, the king of {c} was crowned in {t}.", "en", "a") for i, (y, c, t) in enumerate(facts)])
+    assert all(r.n_dropped == 0 for r in result(df).values())
+    assert [r.n_dropped for r in sorted(T.dedup_lines(df, field_lines=3).collect())] == [0, 1, 1]
+    # a line that is not generalised for want of evidence still recurs as it is
+    same = make([(i, f"In {1900 + i}, the king of Spain was crowned in Madrid.", "en", "a") for i in range(2)])
+    assert [r.n_dropped for r in sorted(T.dedup_lines(same).collect())] == [0, 1]
+
+
 def test_edges(odd, make):
     rows = T.dedup_lines(odd).collect()
     assert len(rows) == odd.count()
@@ -114,6 +125,10 @@ def brute(rows):
             usual = sorted(own, reverse=True)[math.ceil(len(own) * T.CONSTANT_SHARE) - 1]
             general = [t if n > usual * T.FIELD_SHARE else T.FIELD for t, n in zip(line.split(" "), own)]
             template[line] = " ".join(general) if fields_leave_enough(general) else line
+    sharing = Counter(template[line] for line in open_)
+    for line in open_:
+        if sharing[template[line]] < T.FIELD_LINES:
+            template[line] = line
     homes = {}
     for line, docs in docs_of.items():
         homes.setdefault(template[line], set()).update(docs)

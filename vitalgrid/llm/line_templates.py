@@ -5,9 +5,10 @@ line is compared as it is. The tree has a fixed depth: lines go down by their nu
 and their leading tokens. A line of few tokens, as is any line of a script without blanks, is a leaf of its own and recurs
 as a whole; only lines of very few bytes stay as they are. A token's support is how often its leaf has it at its place,
 counted by distinct lines and their documents. Most of a line's tokens have at least the line's usual support; a token of
-no more than a part of that varies and is generalised to a field. As supports are only compared with one another, results
-do not depend on the size of the leaf, and a template that shares its leaf with a more frequent one is found as well. A
-template that recurs across documents is kept in its first document and dropped from the others. DataFrame functions only.
+no more than a part of that varies and is generalised to a field, if enough different lines then share the template. As
+supports are only compared with one another, results do not depend on the size of the leaf, and a template that shares its
+leaf with a more frequent one is found as well. A template that recurs across documents is kept in its first document and
+dropped from the others. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ LEAST_DOCS = 2
 GENERAL_TOKENS, CONSTANT_SHARE, FIELD_SHARE = 8, 0.75, 0.5
 #: What no field may take of any template: so many tokens, and this share of them, are words.
 LEAST_WORDS, WORD_SHARE = 2, 0.5
+#: Different lines that must share a template with word fields. Fewer are no evidence that the words vary by template: they
+#: may state different facts, and each is compared as it is.
+FIELD_LINES = 4
 DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 KEY, LINE = ["k_id", "k_text"], ["h1", "h2"]
@@ -63,8 +67,8 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                          .when(F.octet_length("masked") >= LEAST_BYTES, F.xxhash64(F.size("tokens"), "masked")).alias("leaf"))
 
 
-def templates(known: DataFrame) -> DataFrame:
-    """leaf, h1, h2, template of distinct masked lines (leaf, h1, h2, masked, n_docs)."""
+def templates(known: DataFrame, field_lines: int = FIELD_LINES) -> DataFrame:
+    """h1, h2, t1, t2 of distinct masked lines (leaf, h1, h2, masked, n_docs): the hashes of a line and of its template."""
     crowded = known.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1").select("leaf")
     open_ = known.join(crowded, "leaf", "left_semi").filter(F.size(F.split("masked", " ")) >= GENERAL_TOKENS)
     placed = open_.select("leaf", *LINE, "n_docs", F.posexplode(F.split("masked", " ")).alias("place", "token"))
@@ -82,11 +86,15 @@ def templates(known: DataFrame) -> DataFrame:
 
     general = once(F.sort_array("parts"), lambda p: once(usual(p), lambda least: once(cut(p, least), lambda c: F.when(
         enough(F.size(F.array_remove(c, FIELD)), F.size(c)), F.array_join(c, " ")))))
-    both = known.join(parts.select("leaf", *LINE, general.alias("general")), ["leaf", *LINE], "left")
-    return both.select("leaf", *LINE, F.coalesce("general", "masked").alias("template"))
+    hashed = (parts.select(*LINE, general.alias("general"))
+              .select(*LINE, F.xxhash64("general").alias("t1"), F.xxhash64(F.lit(1), "general").alias("t2"), F.isnull("general").alias("none")))
+    made = stored(hashed, "template-general").filter("not none").drop("none")
+    wide = made.groupBy("t1", "t2").agg(F.count("*").alias("n")).filter(F.col("n") >= field_lines).select("t1", "t2")
+    own = known.select(*LINE).join(made.join(wide, ["t1", "t2"], "left_semi"), LINE, "left")
+    return own.select(*LINE, F.coalesce("t1", "h1").alias("t1"), F.coalesce("t2", "h2").alias("t2"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field_lines: int = FIELD_LINES) -> DataFrame:
     """k_id, k_text, line_no of each line whose template has an earlier document; documents are ordered by id, null last."""
     # filtered once stored: a filter before that would be pushed down and mask every line twice
     every = stored(lines(docs, id_col, text_col), "template-lines", "zstd").filter("leaf is not null")
@@ -98,8 +106,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     held = crowd.groupBy("leaf", *LINE, *KEY).agg(F.lit(1).alias("one"))
     known = stored(held.groupBy("leaf", *LINE).agg(F.count("*").alias("n_docs"))
                    .join(crowd.groupBy("leaf", *LINE).agg(F.min("masked").alias("masked")), ["leaf", *LINE]), "template-known", "zstd")
-    made = templates(known).select(*LINE, F.xxhash64("template").alias("t1"), F.xxhash64(F.lit(1), "template").alias("t2"))
-    where = stored(held.select(*LINE, *KEY).join(made, LINE), "template-where", "zstd")
+    where = stored(held.select(*LINE, *KEY).join(templates(known, field_lines), LINE), "template-where", "zstd")
     first = stored(where.groupBy("t1", "t2", *KEY).agg(F.lit(1).alias("one"))
              .groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min(F.struct(F.col("k_id").isNull(), "k_id", "k_text")).alias("home"))
              .filter(F.col("n") >= LEAST_DOCS)
@@ -111,13 +118,15 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       & (crowd["h1"] == again["h1"]) & (crowd["h2"] == again["h2"]), "left_semi").select(*KEY, "line_no")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field_lines: int = FIELD_LINES) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (without the dropped lines) of each row.
 
+    A template with word fields counts from ``field_lines`` different lines on; below that its lines only recur as they are.
+
     Null text stays null with 0 lines; a text of which every line is dropped becomes empty. Rows that repeat one another
     are one document and get the same answer. An empty table gives an empty result; other columns are not looked at.
     """
-    gone = (dropped_lines(docs, id_col, text_col).groupBy(*KEY).agg(F.collect_set("line_no").alias("gone"))
+    gone = (dropped_lines(docs, id_col, text_col, field_lines).groupBy(*KEY).agg(F.collect_set("line_no").alias("gone"))
             .select(F.col("k_id").alias("g_id"), F.col("k_text").alias("g_text"), "gone"))
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("k_text"), F.split(text_col, "\n").alias("lines"))
     both = own.join(gone, own["doc_id"].eqNullSafe(gone["g_id"]) & (own["k_text"] == gone["g_text"]), "left")
