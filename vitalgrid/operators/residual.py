@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vitalgrid.operators import forecast as FC, series as S
 from vitalgrid.schema import KEYS
+from vitalgrid.session import stored
 
 
 def rolling_band(df: DataFrame, part, order, value: str = "value") -> DataFrame:
@@ -72,9 +73,10 @@ def detect_samples(df: DataFrame, threshold_std: float = 3.0, keys=KEYS, order=(
     """Residual detector on long series against the rolling band.
 
     The deviation of all residuals of a series is put together from one
-    (count, mean, squared distance) summary per chunk.
+    (count, mean, squared distance) summary per chunk. The band is read for
+    these and once more for the flags, so it is stored.
     """
-    rows = S.chunked(rolling_forecast(df, keys, order, ts, value, unit), ts, unit)
+    rows = S.chunked(stored(rolling_forecast(df, keys, order, ts, value, unit), "band"), ts, unit)
     rows = rows.withColumn("residual", F.col(value) - F.col("predicted"))
     chunks = S.summaries(rows, {"_n": F.count("residual"), "_m": F.avg("residual"),
                                 "_s": F.var_pop("residual") * F.count("residual")}, keys)
