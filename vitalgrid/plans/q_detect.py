@@ -237,9 +237,12 @@ VECTOR = FT.HANDCRAFTED
 
 
 def window_clusters(daily_df, eps: float = 0.5):
-    """Density labels of the handcrafted features of each 30-day window, and who is anomalous."""
-    wins = FT.windows(daily_df)
-    feats = FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win"))
+    """Density labels of the handcrafted features of each 30-day window, and who is anomalous.
+
+    Windows and features are read more than once, so they are stored.
+    """
+    wins = stored(FT.windows(daily_df), "windows")
+    feats = stored(FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win")), "features")
     scaled = FT.standardise(feats.fillna(0.0, list(FT.HANDCRAFTED)), FT.HANDCRAFTED).select(*KEYS, "win", *VECTOR)
     matrix = FT.number_windows(FT.vectors(scaled, VECTOR))
     return wins, CL.density_labels(matrix, ("user_id",), "rid", eps=eps)
@@ -422,7 +425,9 @@ def sample_votes(spark, sf, block_rows: int = 700):
     clustered = wins.select(*KEYS, "win", "ds").join(flags, [*KEYS, "win"]).drop("win")
     rows = (R.detect_samples(samples, order=("ts", "event_id"), unit="month").join(ruled, "event_id")
             .withColumn("ds", F.to_date("ts")).join(clustered, [*KEYS, "ds"], "left"))
-    numbered = S.number_rows(E.vote(rows, 1), ("ts", "event_id"), unit="month")
+    # numbering reads its rows twice
+    votes = stored(E.vote(rows, 1).select("event_id", *KEYS, "ts", *[c for c, _ in E.METHODS], "votes", "confidence_score", "ensemble_anomaly"), "votes")
+    numbered = S.number_rows(votes, ("ts", "event_id"), unit="month")
     blocks = S.row_blocks(numbered, halo_before=3, halo_after=3, size=block_rows)
     scored = E.reason(E.anomaly_type(E.severity(E.neighbours(blocks, [*KEYS, "_block"], ["rn"]))))
     return S.drop_halo(scored)
