@@ -66,3 +66,12 @@ def test_days_of_a_task(spark):
     assert TL.day_tasks(samples(spark)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     far = spark.createDataFrame([(1, "steps", START, 1.0), (1, "steps", START + timedelta(days=9 * TL.TASK_DAYS), 1.0)], SCHEMA)
     assert TL.day_tasks(far) == 10
+
+
+def test_daily_summary_needs_no_shuffle_behind_the_minutes(spark):
+    from vitalgrid.plans.q_series import per_day
+
+    rows = samples(spark, "steps")
+    dealt = per_day(TL.dense_minutes(TL.minute_sum(rows), fill=0.0, tasks=5), "value")
+    assert table(dealt) == table(per_day(TL.dense_minutes(TL.minute_sum(rows), fill=0.0), "value"))
+    assert "Exchange" not in above_the_minutes(dealt)
