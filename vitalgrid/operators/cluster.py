@@ -114,11 +114,28 @@ def square_distance(a: Column, b: Column) -> Column:
 AXES, JOINED_AXES = 8, 3
 
 
+#: Points of a group that are compared with one another without cells.
+ONE_CELL = 100
+
+
+def occupied_neighbours(placed: DataFrame, by, cells) -> DataFrame:
+    """``_to``: the cells next to each point's own, itself included, that hold points; only cells' keys are multiplied."""
+    by, cells = list(by), list(cells)
+    held = placed.select(*by, *cells).distinct()
+    ahead = held.select(*by, *[F.col(c).alias(f"_{c}") for c in cells])
+    for c in cells:
+        ahead = ahead.withColumn(c, F.explode(F.sequence(F.col(f"_{c}") - 1, F.col(f"_{c}") + 1)))
+    reach = (ahead.join(held, [*by, *cells], "left_semi").groupBy(*by, *[f"_{c}" for c in cells])
+             .agg(F.collect_list(F.struct(*cells)).alias("_to")))
+    return placed.join(reach.select(*by, *[F.col(f"_{c}").alias(c) for c in cells], "_to"), [*by, *cells])
+
+
 def close_candidates(points: DataFrame, by, x: str, eps: float, axes: int = AXES) -> DataFrame:
     """Pairs (src, dst with its weight w, and both vectors) of a group that may be within ``eps``; each point is its own pair.
 
     A rotation keeps distances, so the distance over a few axes is never more than the whole one. Cells of width ``eps`` on
-    the widest axes are joined by equality; then all of the axes must agree. ``points``: by, pid, w and the vector.
+    the widest axes are joined by equality, and a point is only sent to cells that hold points; then all of the axes must
+    agree. ``points``: by, pid, w and the vector.
     """
     by = list(by)
     found = principal_axes(points, x, axes)
@@ -126,23 +143,36 @@ def close_candidates(points: DataFrame, by, x: str, eps: float, axes: int = AXES
         found = np.zeros((1, 1))
     # a hair wider, as the rotation rounds
     wide = eps * (1 + 1e-9) + 1e-9
-    joined = range(min(JOINED_AXES, len(found)))
+    cells = [f"c{k}" for k in range(min(JOINED_AXES, len(found)))]
     placed = points.withColumn("_a", along(F.col(x), found))
-    placed = placed.withColumns({f"c{k}": F.floor(F.col("_a")[k] / wide) for k in joined})
-    probe = placed.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), F.col("_a").alias("_b"), *[f"c{k}" for k in joined])
-    near = F.sequence(F.lit(-1), F.lit(1))
-    for k in joined:
-        probe = probe.withColumn("_d", F.explode(near)).withColumn(f"c{k}", F.col(f"c{k}") + F.col("_d")).drop("_d")
-    pairs = probe.join(placed, [*by, *[f"c{k}" for k in joined]])
+    placed = placed.withColumns({c: F.floor(F.col("_a")[k] / wide) for k, c in enumerate(cells)})
+    sent = occupied_neighbours(placed.drop("w"), by, cells).withColumn("_to", F.explode("_to"))
+    probe = sent.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"), F.col("_a").alias("_b"), *[F.col(f"_to.{c}").alias(c) for c in cells])
+    pairs = probe.join(placed, [*by, *cells])
     return pairs.where(square_distance(F.col("_b"), F.col("_a")) <= wide * wide).select(*by, "src", F.col("pid").alias("dst"), "w", "_x", x)
 
 
+def near_candidates(points: DataFrame, by, x: str, eps: float, one_cell: int = ONE_CELL) -> DataFrame:
+    """``close_candidates``, but all pairs of groups of up to ``one_cell`` points, whose vectors are sent once."""
+    by = list(by)
+
+    def all_pairs(some: DataFrame) -> DataFrame:
+        own = some.select(*by, F.col("pid").alias("src"), F.col(x).alias("_x"))
+        return own.join(some, by).select(*by, "src", F.col("pid").alias("dst"), "w", "_x", x)
+
+    large = stored(points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > one_cell).select(*by), "large")
+    if large.isEmpty():
+        return all_pairs(points)
+    apart = stored(points.join(large, by, "left_semi"), "large-points")
+    return all_pairs(points.join(large, by, "left_anti")).unionByName(close_candidates(apart, by, x, eps))
+
+
 def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float = 1.0,
-                   min_samples: int = 2) -> DataFrame:
+                   min_samples: int = 2, one_cell: int = ONE_CELL) -> DataFrame:
     """Density clusters per group ``by``; label = smallest row id of the cluster, -1 for noise.
 
     Equal vectors collapse into one weighted point first, so copies cost
-    nothing. Pairs come from ``close_candidates``. Labels spread along core-core
+    nothing. Pairs come from ``near_candidates``. Labels spread along core-core
     edges and through each other's labels until nothing changes. What a later
     round reads again is a table in the shared folder: it survives lost
     executors, ends the lineage, and its known size lets Spark choose the joins.
@@ -150,7 +180,7 @@ def density_labels(matrix: DataFrame, by, row_id: str, x: str = "x", eps: float
     by = list(by)
     matrix = stored(matrix, "matrix")
     points = stored(matrix.groupBy(*by, x).agg(F.min(row_id).alias("pid"), F.count(F.lit(1)).alias("w")), "points")
-    edges = (close_candidates(points, by, x, eps).where(square_distance(F.col("_x"), F.col(x)) <= eps * eps)
+    edges = (near_candidates(points, by, x, eps, one_cell).where(square_distance(F.col("_x"), F.col(x)) <= eps * eps)
              .select(*by, "src", "dst", "w"))
     weighed = stored(edges.withColumn("_w", F.sum("w").over(Window.partitionBy(*by, "src"))), "edges")
     core = weighed.where(F.col("_w") >= min_samples).select(*by, F.col("src").alias("pid")).distinct()
