@@ -2,7 +2,9 @@
 
 from datetime import datetime, timedelta
 
-from vitalgrid.operators import residual as R
+from pyspark.sql import functions as F
+
+from vitalgrid.operators import residual as R, series as S, threshold as T
 from vitalgrid.plans import q_detect as QD
 
 
@@ -20,3 +22,53 @@ def test_windows_of_clusters_are_computed_once(spark):
     wins, labelled = QD.window_clusters(daily)
     assert wins.count() == 90 and labelled.count() == 3
     assert "Window" not in wins._jdf.queryExecution().executedPlan().toString()
+
+
+def tables(spark, folder):
+    """A month and a half of lines of four suppliers, some of it far off, and events of short series."""
+    lines = [(s, "ANR"[s % 3], datetime(2024, 1, 1) + timedelta(days=d), 900.0 if d in (20, 21, 22) and s == 1 else float(d % 7 + s)) for s in range(1, 5) for d in range(45)]
+    spark.createDataFrame(lines, "l_suppkey long, l_returnflag string, l_shipdate timestamp, l_quantity double").write.parquet(f"{folder}/lineitem.parquet")
+    events = [(d, 9, "view", datetime(2024, 1, 1) + timedelta(days=d), 150.0 if d == 3 else 60.0 + d) for d in range(8)] + [(8, 9, "view", None, 70.0), (9, None, "view", datetime(2024, 1, 9), 70.0)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp, value double").write.parquet(f"{folder}/events.parquet")
+    orders = [(f"{p}-X", datetime(2024, 1, 1) + timedelta(days=d), 100.0 + d) for p in (1, 2) for d in range(12)]
+    spark.createDataFrame(orders, "o_orderpriority string, o_orderdate timestamp, o_totalprice double").write.parquet(f"{folder}/orders.parquet")
+
+
+def test_vote_joins_no_days(spark, tmp_path):
+    """Verdicts of days travel with the days: only windows and series are joined."""
+    tables(spark, tmp_path)
+    voted = QD.voted(spark, str(tmp_path))
+    rows = voted.collect()
+    # all dated days of known users, all users together, and orders; the day without a date and the one without a user only weigh
+    assert len(rows) == 4 * 45 + 8 + 9 + 2 * 12
+    assert [(r.user_id, r.ds.day) for r in rows if r.threshold_anomaly and r.user_id == 9] == [(9, 4)]
+    assert {r.ds.day for r in rows if r.residual_anomaly and r.user_id == 1} >= {22}
+    plan = voted._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("ds#" in line for line in joins)
+
+
+def test_series_are_dealt_by_rows(spark):
+    df = spark.range(1_000).selectExpr("id % 50 as user_id", "'m' as metric", "id as y")
+    assert S.by_series(df, 1_000, task_rows=100).rdd.getNumPartitions() == 10
+    assert S.by_series(df, 1_000).rdd.getNumPartitions() == 4
+
+
+def test_metrics_without_rule_pass_by(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(u, m, start + timedelta(days=d), float(40 * d)) for u in (1, None) for m in ("heart_rate", "steps", "other", None) for d in range(6)]
+    df = spark.createDataFrame([*rows, (1, "other", None, 1.0)], "user_id long, metric string, ts timestamp, value double")
+    rules = T.rules_table(spark)
+    found = lambda out: sorted(out.collect(), key=repr)
+    assert found(T.detect_stored(df, rules, unit="year")) == found(T.detect(df, rules, unit="year"))
+    assert "other" not in str(T.detect_stored(df, rules).where("threshold_anomaly").select("metric").distinct().collect())
+
+
+def test_band_reads_short_series_only(spark):
+    days = [(u, "m", datetime(2024, 1, 1) + timedelta(days=d), float(d * d % 11), f"{u}-{d}") for u, n in ((1, 9), (2, 40)) for d in range(n)]
+    daily = spark.createDataFrame(days, "user_id long, metric string, ds timestamp, y double, note string").withColumn("ds", F.to_date("ds"))
+    flagged = R.detect(daily)
+    assert sum(r.note == f"{r.user_id}-{(r.ds.day - 1) + 31 * (r.ds.month - 1)}" for r in flagged.collect()) == 49
+    band = {(r.user_id, r.ds): r.predicted for r in R.rolling_band(daily, ["user_id", "metric"], ["ds"], "y").where("user_id = 1").collect()}
+    assert {(r.user_id, r.ds): r.predicted for r in flagged.where("user_id = 1").collect()} == band
+    assert "percentile(_short" in flagged._jdf.queryExecution().optimizedPlan().toString()

@@ -12,15 +12,21 @@ from vitalgrid.schema import KEYS
 WINDOW_ROWS = 30
 
 
-def windows(daily_df: DataFrame, rows: int = WINDOW_ROWS, keys=KEYS) -> DataFrame:
-    """Consecutive windows of ``rows`` rows per series; the ragged tail is dropped."""
+def in_windows(daily_df: DataFrame, rows: int = WINDOW_ROWS, keys=KEYS) -> DataFrame:
+    """Number ``win`` of each known row's window of ``rows`` rows and its place ``t`` in it; ``win`` is null in the ragged tail."""
     all_of = Window.partitionBy(*keys)
     known = daily_df.where(F.col("y").isNotNull())
     numbered = (known.withColumn("_i", F.row_number().over(all_of.orderBy("ds")) - 1)
                 .withColumn("_n", F.count(F.lit(1)).over(all_of)))
-    return (numbered.withColumn("win", F.floor(F.col("_i") / rows))
-            .where(F.col("win") < F.floor(F.col("_n") / rows))
-            .select(*keys, "win", (F.col("_i") % rows).alias("t"), F.col("y").alias("value"), "ds"))
+    win = F.floor(F.col("_i") / rows)
+    return (numbered.withColumn("win", F.when(win < F.floor(F.col("_n") / rows), win))
+            .withColumn("t", F.col("_i") % rows).drop("_i", "_n"))
+
+
+def windows(daily_df: DataFrame, rows: int = WINDOW_ROWS, keys=KEYS) -> DataFrame:
+    """Consecutive windows of ``rows`` rows per series; the ragged tail is dropped."""
+    return (in_windows(daily_df, rows, keys).where(F.col("win").isNotNull())
+            .select(*keys, "win", "t", F.col("y").alias("value"), "ds"))
 
 
 HANDCRAFTED = ("mean", "std", "median", "min", "max", "skew", "kurtosis", "pct_25", "pct_75", "num_peaks")
@@ -33,11 +39,13 @@ def handcrafted(df: DataFrame, keys=KEYS, order: str = "ds", y: str = "y") -> Da
              .withColumn("_step", F.abs(F.col(y) - F.lag(y).over(w.orderBy(order))))
              .withColumn("_std", F.stddev_samp(y).over(w)))
     skew, kurt = skew_kurtosis(y)
-    return known.groupBy(*keys).agg(
-        F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.percentile(y, 0.5).alias("median"),
+    # one aggregate for all quantiles: each counts the group's values anew
+    grouped = known.groupBy(*keys).agg(
+        F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.percentile(y, [0.25, 0.5, 0.75]).alias("_q"),
         F.min(y).alias("min"), F.max(y).alias("max"), skew.alias("skew"), kurt.alias("kurtosis"),
-        F.percentile(y, 0.25).alias("pct_25"), F.percentile(y, 0.75).alias("pct_75"),
         F.count_if(F.col("_step") > 1.5 * F.col("_std")).alias("num_peaks"))
+    quantiles = {"pct_25": F.col("_q")[0], "median": F.col("_q")[1], "pct_75": F.col("_q")[2]}
+    return grouped.select(*keys, *[quantiles.get(c, F.col(c)).alias(c) for c in HANDCRAFTED])
 
 
 FOURIER_TERMS = 3

@@ -28,13 +28,17 @@ def rolling_forecast(df: DataFrame, keys=KEYS, order=("ts",), ts: str = "ts", va
 
 
 def daily_forecast(daily_df: DataFrame, keys=KEYS, min_points: int = 10) -> DataFrame:
-    """Additive forecast of a daily series, or the rolling band if it is too short. Keeps ``y``."""
+    """Additive forecast of a daily series, or the rolling band if it is too short. Keeps ``y`` and other columns.
+
+    The band only reads values of short series, as others never use it and its median is the dearest step.
+    """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    counted = daily_df.where(F.col("y").isNotNull()).withColumn("_n", n)
-    fitted = FC.components(rolling_band(counted, keys, ["ds"], "y"), FC.DEFAULT, keys)
+    rest = [c for c in daily_df.columns if c not in (*keys, "ds", "y")]
     enough = F.col("_n") >= min_points
+    counted = daily_df.where(F.col("y").isNotNull()).withColumn("_n", n).withColumn("_short", F.when(~enough, F.col("y")))
+    fitted = FC.components(rolling_band(counted, keys, ["ds"], "_short"), FC.DEFAULT, keys)
     return fitted.select(
-        *keys, "ds", "y",
+        *keys, "ds", "y", *rest,
         F.when(enough, F.col("yhat")).otherwise(F.col("predicted")).alias("predicted"),
         F.when(enough, F.col("fit_lower")).otherwise(F.col("yhat_lower")).alias("yhat_lower"),
         F.when(enough, F.col("fit_upper")).otherwise(F.col("yhat_upper")).alias("yhat_upper"))
@@ -57,9 +61,9 @@ def flag(df: DataFrame, spread, value: str = "y", threshold_std: float = 3.0) ->
 
 def detect(daily_df: DataFrame, forecast: DataFrame | None = None, threshold_std: float = 3.0,
            keys=KEYS) -> DataFrame:
-    """Residual detector on daily series, with a given forecast or its own."""
+    """Residual detector on daily series, with a given forecast or its own; other columns are kept."""
     if forecast is None:
-        missing = daily_df.where(F.col("y").isNull()).select(*keys, "ds", "y")
+        missing = daily_df.where(F.col("y").isNull())
         joined = daily_forecast(daily_df, keys).unionByName(missing, allowMissingColumns=True)
     else:
         joined = with_forecast(daily_df, forecast, [*keys, "ds"])
