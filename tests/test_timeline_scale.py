@@ -1,5 +1,6 @@
 """Minutes are made where they are used: what is shuffled are observed rows and days."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -75,3 +76,41 @@ def test_daily_summary_needs_no_shuffle_behind_the_minutes(spark):
     dealt = per_day(TL.dense_minutes(TL.minute_sum(rows), fill=0.0, tasks=5), "value")
     assert table(dealt) == table(per_day(TL.dense_minutes(TL.minute_sum(rows), fill=0.0), "value"))
     assert "Exchange" not in above_the_minutes(dealt)
+
+
+def scattered(spark, users=6):
+    """Readings with and without values, whose timelines start, end and pause apart, and nights that overlap."""
+    draw = random.Random(4)
+    rows = [(u, m, START + timedelta(minutes=at + draw.randrange(span), seconds=draw.randrange(60)), draw.choice([None, float(draw.randrange(90))]))
+            for u in range(users) for m, at, span in (("heart_rate", 0, 60 + 40 * u), ("steps", 40 * u - 60, 90), ("heart_rate", 2000, 5)) for _ in range(7)]
+    rows += [(None, "steps", START, 1.0), (1, "heart_rate", None, 2.0)]
+    nights = [(u, start, start + timedelta(seconds=draw.choice([-5, 0, 1, 90, 600, 100_000])))
+              for u in [*range(users + 1), None] for start in [START + timedelta(minutes=draw.randrange(-200, 2500), seconds=draw.randrange(60)) for _ in range(5)]]
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([*nights, (1, None, START), (1, START, None)], "user_id long, start timestamp, end timestamp")
+
+
+def side_by_side(spark, limit, **how):
+    rows, asleep = scattered(spark)
+    heart = TL.interpolate(TL.dense_minutes(TL.minute_mean(rows.where("metric = 'heart_rate'")), around=bool(how), **how), limit=limit)
+    steps = TL.dense_minutes(TL.minute_sum(rows.where("metric = 'steps'")), fill=0.0, **how)
+    return TL.align(heart, steps, TL.sleep_per_minute(TL.sleep_minutes(asleep, **how)), limit=limit)
+
+
+@pytest.mark.parametrize("limit", [1, 5, 10])
+def test_runs_meet_as_minutes_do(spark, limit):
+    def seen(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select("user_id", "ts", "heart_rate", "steps", "sleep_hours").collect()), key=repr)
+
+    minutes, runs = seen(side_by_side(spark, limit)), seen(side_by_side(spark, limit, runs=True))
+    assert runs == minutes
+    assert len({r[0] for r in runs}) == 7 and any(r[2] is not None for r in runs) and any(r[4] > 0.02 for r in runs)
+
+
+def test_aligned_minutes_are_made_last(spark):
+    from vitalgrid.plans import canonical as C
+    from vitalgrid.plans.q_series import per_day
+
+    days = per_day(C.aligned(*scattered(spark)), "heart_rate", "steps", "sleep_hours")
+    made = plan(days).split("explode(sequence(_a")
+    assert len(made) == 2
+    assert not any(word in made[0] for word in ("Exchange", "Sort", "Join", "Window"))
