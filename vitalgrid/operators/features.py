@@ -29,6 +29,24 @@ def windows(daily_df: DataFrame, rows: int = WINDOW_ROWS, keys=KEYS) -> DataFram
             .select(*keys, "win", "t", F.col("y").alias("value"), "ds"))
 
 
+def windows_of_samples(samples: DataFrame, rows: int = WINDOW_ROWS, keys=KEYS, order=("ts",), ts: str = "ts", value: str = "value") -> DataFrame:
+    """``win`` of ``in_windows`` for the day of each sample with a value: its place among the days of its series that have one.
+
+    ``order`` begins with ``ts``; its other columns save later windows a sort.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    known = F.col(value).isNotNull()
+    # days without a date come first
+    day = F.when(known, F.coalesce(F.unix_date(F.to_date(ts)), F.lit(-(1 << 31))))
+    before = F.last("_day", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    placed = (samples.withColumn("_day", day).withColumn("_before", before)
+              .withColumn("_new", (known & (F.col("_before").isNull() | (F.col("_before") != F.col("_day")))).cast("long"))
+              .withColumn("_i", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+              .withColumn("_n", F.sum("_new").over(Window.partitionBy(*keys))))
+    win = F.floor(F.col("_i") / rows)
+    return placed.withColumn("win", F.when(known & (win < F.floor(F.col("_n") / rows)), win)).drop("_day", "_before", "_new", "_i", "_n")
+
+
 HANDCRAFTED = ("mean", "std", "median", "min", "max", "skew", "kurtosis", "pct_25", "pct_75", "num_peaks")
 
 

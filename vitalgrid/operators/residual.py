@@ -73,13 +73,19 @@ def detect(daily_df: DataFrame, forecast: DataFrame | None = None, threshold_std
 
 
 def detect_samples(df: DataFrame, threshold_std: float = 3.0, keys=KEYS, order=("ts",), ts: str = "ts",
-                   value: str = "value", unit: str = "hour") -> DataFrame:
+                   value: str = "value", unit: str | None = "hour") -> DataFrame:
     """Residual detector on long series against the rolling band.
 
     The deviation of all residuals of a series is put together from one
     (count, mean, squared distance) summary per chunk. The band is read for
-    these and once more for the flags, so it is stored.
+    these and once more for the flags, so it is stored. Without ``unit`` whole
+    series are scanned where they are: for rows that are dealt by ``keys`` to
+    tasks that hold them.
     """
+    if unit is None:
+        known = df.where(F.col(value).isNotNull()).dropna(subset=[*keys, ts])
+        rows = rolling_band(known, keys, order, value).withColumn("residual", F.col(value) - F.col("predicted"))
+        return flag(rows.withColumn("_std", F.stddev_samp("residual").over(S.whole(keys))), F.col("_std"), value, threshold_std).drop("_std")
     rows = S.chunked(stored(rolling_forecast(df, keys, order, ts, value, unit), "band"), ts, unit)
     rows = rows.withColumn("residual", F.col(value) - F.col("predicted"))
     chunks = S.summaries(rows, {"_n": F.count("residual"), "_m": F.avg("residual"),

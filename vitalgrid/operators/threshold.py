@@ -19,11 +19,11 @@ def rules_table(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
     return spark.range(1).select(F.inline(rows))
 
 
-def with_gaps(df: DataFrame, keys=KEYS, ts: str = "ts", unit: str = "hour") -> DataFrame:
-    """Add the time chunk, the row's place in it and the gap to the row before, in microseconds."""
-    w = Window.partitionBy(*keys, S.CHUNK).orderBy(ts)
+def with_gaps(df: DataFrame, keys=KEYS, ts: str = "ts", unit: str | None = "hour") -> DataFrame:
+    """Add the time chunk, the row's place in it and the gap to the row before, in microseconds; without unit a series is one chunk."""
+    w = Window.partitionBy(*keys, *([S.CHUNK] if unit else [])).orderBy(ts)
     micros = F.unix_micros(F.col(ts))
-    return (S.chunked(df, ts, unit)
+    return ((S.chunked(df, ts, unit) if unit else df.dropna(subset=[*keys, ts]))
             .withColumn("_rn", F.row_number().over(w))
             .withColumn("_gap", micros - F.lag(micros).over(w)))
 
@@ -65,31 +65,20 @@ def detect_stored(df: DataFrame, rules: DataFrame, keys=KEYS, ts: str = "ts", va
 
 
 def detect(df: DataFrame, rules: DataFrame, keys=KEYS, ts: str = "ts", value: str = "value",
-           unit: str = "hour") -> DataFrame:
+           unit: str | None = "hour") -> DataFrame:
     """Add ``threshold_anomaly, anomaly_reason, severity``.
 
     A rule with a sustained time flags a row once the violation has lasted for
     that many consecutive rows; low violations win over high ones. Metrics
-    without a rule stay unflagged.
+    without a rule stay unflagged. Without ``unit`` whole series are scanned
+    where they are: for rows that are dealt by ``keys`` to tasks that hold them.
     """
-    parts = [*keys, S.CHUNK]
+    parts = [*keys, *([S.CHUNK] if unit else [])]
     w = Window.partitionBy(*parts).orderBy(ts)
     rows = with_gaps(df.join(rules.drop("description"), "metric", "left"), keys, ts, unit)
     rows = (rows.withColumn("_hi", F.coalesce(F.col(value) > F.col("high"), F.lit(False)))
             .withColumn("_lo", F.coalesce(F.col(value) < F.col("low"), F.lit(False))))
-    chunks = S.summaries(rows, {
-        "_n": F.count(F.lit(1)), "_first": F.min(ts), "_last": F.max(ts),
-        "_hi_break": F.max(F.when(~F.col("_hi"), F.col("_rn"))),
-        "_lo_break": F.max(F.when(~F.col("_lo"), F.col("_rn"))),
-    }, keys)
-    chunks = (chunks.join(_period_of(rows, chunks, keys), list(keys), "left")
-              .withColumn("_offset", F.coalesce(F.sum("_n").over(S.before(keys)), F.lit(0))))
-    led = S.hand_over(rows, chunks, {
-        "_offset": F.col("_offset"),
-        "_period": F.coalesce(F.col("period_us"), F.lit(MINUTE_US)),
-        "_hi_before": F.max(F.col("_hi_break") + F.col("_offset")).over(S.before(keys)),
-        "_lo_before": F.max(F.col("_lo_break") + F.col("_offset")).over(S.before(keys)),
-    }, keys)
+    led = _carried(rows, keys, ts) if unit else _uncut(rows, keys)
     position = F.col("_rn") + F.col("_offset")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
 
@@ -112,3 +101,28 @@ def detect(df: DataFrame, rules: DataFrame, keys=KEYS, ts: str = "ts", value: st
         F.when(F.col("_lo"), reason("Low", "<", "low")).when(F.col("_hi"), reason("High", ">", "high"))
         .otherwise("").alias("anomaly_reason"),
         F.when(F.col("_lo"), "Medium").when(F.col("_hi"), "High").otherwise("Normal").alias("severity"))
+
+
+def _uncut(rows: DataFrame, keys) -> DataFrame:
+    """The sampling period of each series, found in place; nothing is carried into a series that is one chunk."""
+    period = F.mode("_gap", True).over(S.whole(keys))
+    nothing = F.lit(None).cast("long")
+    return (rows.withColumn("_period", F.coalesce(period, F.lit(MINUTE_US)))
+            .withColumns({"_offset": F.lit(0).cast("long"), "_hi_before": nothing, "_lo_before": nothing}))
+
+
+def _carried(rows: DataFrame, keys, ts: str) -> DataFrame:
+    """What each row needs to know of the chunks before its own, and the sampling period of its series."""
+    chunks = S.summaries(rows, {
+        "_n": F.count(F.lit(1)), "_first": F.min(ts), "_last": F.max(ts),
+        "_hi_break": F.max(F.when(~F.col("_hi"), F.col("_rn"))),
+        "_lo_break": F.max(F.when(~F.col("_lo"), F.col("_rn"))),
+    }, keys)
+    chunks = (chunks.join(_period_of(rows, chunks, keys), list(keys), "left")
+              .withColumn("_offset", F.coalesce(F.sum("_n").over(S.before(keys)), F.lit(0))))
+    return S.hand_over(rows, chunks, {
+        "_offset": F.col("_offset"),
+        "_period": F.coalesce(F.col("period_us"), F.lit(MINUTE_US)),
+        "_hi_before": F.max(F.col("_hi_break") + F.col("_offset")).over(S.before(keys)),
+        "_lo_before": F.max(F.col("_lo_break") + F.col("_offset")).over(S.before(keys)),
+    }, keys)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
 
-from vitalgrid.operators import cluster as CL, ensemble as E, features as FT, forecast as FC, report as RP, residual as R
+from pyspark.sql import DataFrame, functions as F
+
+from vitalgrid.operators import cluster as CL, daily as D, ensemble as E, features as FT, forecast as FC, report as RP, residual as R
 from vitalgrid.operators import series as S, sigma, stats, threshold as T
 from vitalgrid.plans import canonical as C, sql as Q
 from vitalgrid.plans.q_series import _GAPS, _HANDCRAFTED, threshold_sql
 from vitalgrid.plans.registry import plain_time, query, r, rounded, sr
 from vitalgrid.schema import DEFAULT_RULES, KEYS, Rule
-from vitalgrid.session import stored
+from vitalgrid.session import stored, stored_by
 
 MOMENTS = """moments as (select *, count(y) over w as n, avg(y) over w as mean, stddev_samp(y) over w as std
   from {t} window w as (partition by user_id, metric))"""
@@ -247,7 +249,15 @@ def window_clusters(daily_df, eps: float = 0.5):
 
 def window_labels(wins, eps: float = 0.5):
     """Density labels of the handcrafted features of windows."""
-    feats = stored(FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win")), "features")
+    return feature_labels(window_features(wins), eps)
+
+
+def window_features(wins):
+    return FT.handcrafted(wins.withColumnRenamed("value", "y"), (*KEYS, "win"))
+
+
+def feature_labels(features, eps: float = 0.5):
+    feats = stored(features, "features")
     scaled = FT.standardise(feats.fillna(0.0, list(FT.HANDCRAFTED)), FT.HANDCRAFTED).select(*KEYS, "win", *VECTOR)
     matrix = FT.number_windows(FT.vectors(scaled, VECTOR))
     return CL.density_labels(matrix, ("user_id",), "rid", eps=eps)
@@ -433,17 +443,79 @@ SAMPLE_VOTES = f"""{CLUSTERED}, {NUMBERED_WINS},
     from x window w as (partition by user_id, metric order by ts, event_id))"""
 
 
-def sample_votes(spark, sf, block_rows: int = 700):
-    """Vote of three detectors on all samples, one vote is enough; in blocks of rows with a 3-row margin."""
-    samples = stored(C.samples(spark, sf).unionByName(C.shipments(spark, sf)), "samples")
-    ruled = T.detect(samples, T.rules_table(spark, VOTE_RULES)).select("event_id", "threshold_anomaly")
-    wins, labelled = window_clusters(C.window_daily(spark, sf))
+def sample_votes(spark, sf, block_rows: int = 700, whole_rows: int = S.WHOLE_ROWS):
+    """Vote of three detectors on all samples, one vote is enough.
+
+    Samples are dealt by series once and kept so: days, windows, detectors and neighbours are found where the samples are.
+    Series of more than ``whole_rows`` rows, with an id that repeats or with days of several sources are voted on in blocks
+    of ``block_rows`` rows.
+    """
+    lines, events = (df.where(F.col("user_id").isNotNull()) for df in (C.line_samples(spark, sf), C.samples(spark, sf)))
+    raw = lines.select(*KEYS).unionByName(events.select(*KEYS))
+    apart = _apart(lines, events, raw, S.long_series(raw, rows=whole_rows))
+    tasks = S.tasks_for(raw)
+
+    def of(source, kind):
+        return source if apart is None else S.of_series(source, apart, kind=kind)
+
+    shipments = C.shipped(of(lines, "left_anti").repartition(tasks, *KEYS)).withColumn("lines", F.lit(True))
+    readings = of(events, "left_anti").withColumn("lines", F.lit(False)).repartition(tasks, *KEYS)
+    samples = stored_by(shipments.unionByName(readings), "samples", tasks, KEYS)
+    days_by = (*KEYS, "lines")
+    days = [D.daily(samples, days_by), C.everyone_daily(spark, sf).unionByName(D.daily(C.order_samples(spark, sf)))]
+    if apart is not None:
+        long = stored(C.shipped(of(lines, "left_semi")).withColumn("lines", F.lit(True)).unionByName(of(events, "left_semi").withColumn("lines", F.lit(False))), "long-samples")
+        days[1] = days[1].unionByName(D.daily(long, days_by).drop("lines"))
+    wins = [FT.windows(d.select(*KEYS, "ds", "y")) for d in days]
+    # one after the other, as a union would deal the days of samples anew
+    labelled = feature_labels(window_features(wins[0]).unionByName(window_features(wins[1])))
+    again = S.series_with_repeated_ids(samples, "event_id", others=None if apart is None else long)
+    alone = samples if again is None else S.of_series(samples, again, kind="left_anti")
+    scored = _whole_votes(alone.drop("lines"), odd_windows(labelled))
+    special = [df for df in (apart if apart is None else long, again if again is None else S.of_series(samples, again)) if df is not None]
+    if not special:
+        return scored
+    cut = stored(reduce(DataFrame.unionByName, special).drop("lines"), "cut-samples")
     flags = CL.flag_small(labelled, ("user_id",), "dbscan").select(*KEYS, "win", "cluster_anomaly")
-    clustered = wins.select(*KEYS, "win", "ds").join(flags, [*KEYS, "win"]).drop("win")
+    placed = reduce(DataFrame.unionByName, [w.select(*KEYS, "win", "ds") for w in wins])
+    clustered = S.of_series(placed, cut.select(*KEYS).distinct()).join(flags, [*KEYS, "win"]).drop("win")
+    return scored.unionByName(_cut_votes(cut, clustered, block_rows).select(*scored.columns))
+
+
+def _apart(lines, events, raw, long):
+    """Series to leave out of the whole ones: long ones, and those whose days come from more than one source."""
+    found = raw.where(F.col("user_id").isin(C.ORDERS, C.EVERYONE))
+    kinds = stored(events.select("metric").distinct().join(lines.select("metric").distinct(), "metric"), "both")
+    if not kinds.isEmpty():
+        found = found.unionByName(lines.select(*KEYS).join(kinds, "metric", "left_semi").select(*KEYS))
+    if long is not None:
+        found = found.unionByName(long)
+    found = stored(found.distinct(), "apart")
+    return None if found.isEmpty() else found
+
+
+SAMPLE_COLUMNS = ("event_id", *KEYS, "ts", *[c for c, _ in E.METHODS], "votes", "confidence_score", "ensemble_anomaly")
+
+
+def _whole_votes(samples, odd):
+    """The vote on whole series that are dealt by their keys, with ids that do not repeat."""
+    order = ("ts", "event_id")
+    placed = FT.windows_of_samples(samples, order=order)
+    ruled = T.detect(placed, T.rules_table(samples.sparkSession, VOTE_RULES), unit=None).drop("anomaly_reason", "severity")
+    rows = R.detect_samples(ruled, order=order, unit=None).where(F.col("event_id").isNotNull())
+    clustered = rows.join(odd, list(KEYS), "left").withColumn(
+        "cluster_anomaly", F.when(F.col("win").isNotNull(), F.array_contains("_odd", F.col("win"))))
+    votes = E.vote(clustered, 1).select(*SAMPLE_COLUMNS)
+    return E.reason(E.anomaly_type(E.severity(E.neighbours(votes, KEYS, order))))
+
+
+def _cut_votes(samples, clustered, block_rows: int):
+    """The vote on series of any length, in chunks and in blocks of rows with a 3-row margin."""
+    ruled = T.detect(samples, T.rules_table(samples.sparkSession, VOTE_RULES)).select("event_id", "threshold_anomaly")
     rows = (R.detect_samples(samples, order=("ts", "event_id"), unit="month").join(ruled, "event_id")
             .withColumn("ds", F.to_date("ts")).join(clustered, [*KEYS, "ds"], "left"))
     # numbering reads its rows twice
-    votes = stored(E.vote(rows, 1).select("event_id", *KEYS, "ts", *[c for c, _ in E.METHODS], "votes", "confidence_score", "ensemble_anomaly"), "votes")
+    votes = stored(E.vote(rows, 1).select(*SAMPLE_COLUMNS), "votes")
     numbered = S.number_rows(votes, ("ts", "event_id"), unit="month")
     blocks = S.row_blocks(numbered, halo_before=3, halo_after=3, size=block_rows)
     scored = E.reason(E.anomaly_type(E.severity(E.neighbours(blocks, [*KEYS, "_block"], ["rn"]))))
